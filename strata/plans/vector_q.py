@@ -1 +1,172 @@
-"""Registered queries."""
+"""Registered queries: vector tables, embeddings, PCA and nearest-neighbour search."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata import config as C
+from strata.operators import vectors as V
+from strata.operators.chunks import word_chunks
+from strata.plans.registry import Ctx, register
+from strata.plans.sqlgen import graph_ctes, q, with_ctes
+
+VALID_VECTORS = """dimq AS (SELECT len(embedding) AS d FROM embeddings GROUP BY len(embedding)
+                ORDER BY count(*) DESC, d LIMIT 1),
+valid AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+          WHERE len(embedding) = (SELECT d FROM dimq)
+            AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0)"""
+
+CENTROIDS = """cent AS (SELECT label, list(x ORDER BY i) AS c FROM (
+    SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM valid)
+    GROUP BY label, i) GROUP BY label)"""
+
+
+def valid_vectors(ctx: Ctx):
+    e = ctx.t.embeddings
+    return V.split_valid(e, V.vector_dim(e))
+
+
+def label_queries(valid):
+    return V.centroids(valid, "label").select(F.col("label").cast("long").alias("query_id"), "vector")
+
+
+@register("vector_topk_cosine", f"""
+WITH {VALID_VECTORS}, {CENTROIDS}
+SELECT query_id, vec_id, score, CAST(rk AS INTEGER) AS rk FROM (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rk
+  FROM (SELECT CAST(c.label AS BIGINT) AS query_id, v.vec_id,
+               round(list_cosine_similarity(c.c, v.v) + 1.0, 6) AS score FROM cent c, valid v))
+WHERE rk <= {C.VECTOR_TOP_K}""")
+def vector_topk_cosine(spark, d):
+    """Top 5 vectors by cosine + 1 for every label centroid query."""
+    valid, _ = valid_vectors(Ctx(spark, d))
+    return V.topk_cosine(valid.select("vec_id", "embedding"), label_queries(valid))
+
+
+@register("search_size_5", f"""
+WITH {VALID_VECTORS}, {CENTROIDS}
+SELECT query_id, CAST(count(*) AS BIGINT) AS n_hits, round(max(score), 6) AS best, round(min(score), 6) AS worst FROM (
+  SELECT query_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rk
+  FROM (SELECT CAST(c.label AS BIGINT) AS query_id, v.vec_id,
+               round(list_cosine_similarity(c.c, v.v) + 1.0, 6) AS score FROM cent c, valid v))
+WHERE rk <= {C.VECTOR_TOP_K} GROUP BY query_id""")
+def search_size_5(spark, d):
+    valid, _ = valid_vectors(Ctx(spark, d))
+    r = V.topk_cosine(valid.select("vec_id", "embedding"), label_queries(valid))
+    return r.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_hits"), F.round(F.max("score"), 6).alias("best"),
+                                     F.round(F.min("score"), 6).alias("worst"))
+
+
+@register("vector_table_replace", f"""
+WITH {VALID_VECTORS}
+SELECT vec_id, label, CAST(len(v) AS INTEGER) AS dim FROM valid""")
+def vector_table_replace(spark, d):
+    """Recreate the vector table with its declared dim: rows of another
+    length or zero norm go to quarantine (written beside it)."""
+    from strata.sources.sinks import write_vector_table
+    ctx = Ctx(spark, d)
+    valid, bad = valid_vectors(ctx)
+    path = write_vector_table(spark, valid, bad, "vectors")
+    return spark.read.parquet(path).select("vec_id", "label", F.size("embedding").alias("dim"))
+
+
+@register("vector_sink")
+def vector_sink(spark, d):
+    """Bulk write (id, vector) rows; merge by id on re-run: a second write of
+    the same rows adds none (left_anti + append)."""
+    from strata.sources.sinks import merge_by_id
+    ctx = Ctx(spark, d)
+    valid, _ = valid_vectors(ctx)
+    from strata.session import scratch_path
+    path = scratch_path(spark, "vector-sink")
+    merge_by_id(spark, valid, path, "vec_id")
+    merge_by_id(spark, valid, path, "vec_id")          # idempotent re-run
+    return spark.read.parquet(path)
+
+
+@register("vector_math", """
+SELECT vec_id, round(sqrt(list_inner_product(v, v)), 6) AS norm,
+       round(list_sum(v) / len(v), 6) AS mean,
+       round(list_inner_product(v, v) / sqrt(list_inner_product(v, v)) / sqrt(list_inner_product(v, v)), 6) AS self_cosine,
+       round(list_max(list_transform(v, lambda x: abs(x))), 6) AS max_abs
+FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE len(embedding) > 0)
+WHERE list_inner_product(v, v) > 0""")
+def vector_math(spark, d):
+    e = Ctx(spark, d).t.embeddings.where(F.size("embedding") > 0)
+    v = F.transform("embedding", lambda x: x.cast("double"))
+    dot = F.aggregate(F.transform(v, lambda x: x * x), F.lit(0.0), lambda a, b: a + b)
+    s = F.aggregate(v, F.lit(0.0), lambda a, b: a + b)
+    mx = F.array_max(F.transform(v, lambda x: F.abs(x)))
+    return e.where(dot > 0).select("vec_id", F.round(F.sqrt(dot), 6).alias("norm"),
+                                   F.round(s / F.size("embedding"), 6).alias("mean"),
+                                   F.round(dot / F.sqrt(dot) / F.sqrt(dot), 6).alias("self_cosine"),
+                                   F.round(mx, 6).alias("max_abs"))
+
+
+def _embed_sql(src: str, id_expr: str, text_expr: str, name: str) -> str:
+    return f"""{name}_t AS (
+  SELECT id, (('0x' || substr(md5(w), 1, 8))::BIGINT % {V.EMBED_DIM}) AS bucket, CAST(count(*) AS DOUBLE) AS tf
+  FROM (SELECT {id_expr} AS id, unnest(regexp_extract_all(lower({text_expr}), {q(V.EMBED_WORD_RE)})) AS w FROM {src})
+  GROUP BY id, bucket),
+{name}_n AS (SELECT id, sqrt(sum(tf * tf)) AS n FROM {name}_t GROUP BY id)"""
+
+
+@register("entity_vector_match", with_ctes(graph_ctes() + [
+    _embed_sql("entities", "('0x' || substr(id, 1, 15))::BIGINT", "'\"' || title || '\":' || description", "ev"),
+    _embed_sql("benchmark", "item_id", "text", "qv"),
+    """sc AS (SELECT qn.id AS query_id, en.id AS ent_key,
+         round(coalesce(d.dot, 0) / (qn.n * en.n) + 1.0, 6) AS score
+  FROM qv_n qn CROSS JOIN ev_n en
+  LEFT JOIN (SELECT a.id AS qid, b.id AS eid, sum(a.tf * b.tf) AS dot FROM qv_t a JOIN ev_t b USING (bucket)
+             GROUP BY a.id, b.id) d ON d.qid = qn.id AND d.eid = en.id)"""], f"""
+SELECT s.query_id, e.level, e.title, s.score, CAST(s.rk AS INTEGER) AS rk FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ent_key) AS rk FROM sc) s
+JOIN entities e ON ('0x' || substr(e.id, 1, 15))::BIGINT = s.ent_key
+WHERE s.rk <= {C.TOP_K_ENTITIES}"""))
+def entity_vector_match(spark, d):
+    """Question -> 10 nearest entity descriptions (embedding of "TITLE":description)."""
+    ctx = Ctx(spark, d)
+    ents = ctx.g.entities.select(
+        F.conv(F.substring("id", 1, 15), 16, 10).cast("long").alias("ent_key"), "level", "title",
+        F.concat(F.lit('"'), "title", F.lit('":'), "description").alias("merged"))
+    ev = V.embed_text(ents, "ent_key", "merged")
+    qv = V.embed_text(ctx.t.benchmark, "item_id", "text").select(F.col("item_id").alias("query_id"),
+                                                                   F.col("embedding").alias("vector"))
+    hits = V.topk_cosine(ev.withColumnRenamed("ent_key", "vec_id"), qv, k=C.TOP_K_ENTITIES)
+    return (hits.join(ents.withColumnRenamed("ent_key", "vec_id"), "vec_id")
+            .select("query_id", "level", "title", "score", F.col("rk").cast("int")))
+
+
+@register("embed_text")
+def embed_text(spark, d):
+    docs = Ctx(spark, d).t.documents
+    e = V.embed_text(docs, "doc_id", "text")
+    return e.select("doc_id", F.size("embedding").alias("dim"),
+                    F.round(F.aggregate("embedding", F.lit(0.0), lambda a, b: a + b * b), 6).alias("norm2"))
+
+
+@register("embed_corpus")
+def embed_corpus(spark, d):
+    """documents -> word chunks -> vectors (the directory-embedding job)."""
+    ch = word_chunks(Ctx(spark, d).t.documents)
+    ch = ch.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("chunk_ix"))
+    e = V.embed_text(ch, "chunk_id", "document_text")
+    return ch.join(e, "chunk_id").select("doc_id", "chunk_ix", "document_text", "embedding")
+
+
+@register("pca_reduce")
+def pca_reduce(spark, d):
+    """Centred PCA to min(16, n_rows, width); query vectors (label centroids)
+    are projected with the same fitted model, then searched."""
+    valid, _ = valid_vectors(Ctx(spark, d))
+    n = valid.count()
+    k = max(1, min(16, n, V.vector_dim(valid)))
+    red, model = V.pca_reduce(valid.select("vec_id", "embedding"), k)
+    qv = V.project(label_queries(valid), model)
+    return V.topk_cosine(red, qv)
+
+
+@register("vector_topk_lsh")
+def vector_topk_lsh(spark, d):
+    valid, _ = valid_vectors(Ctx(spark, d))
+    return V.lsh_topk(valid.select("vec_id", "embedding"), label_queries(valid))
