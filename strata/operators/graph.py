@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from strata import config as C
 from strata.functions.text import token_count
 from strata.operators import chunks, extract
+from strata.session import cut_lineage
 
 
 def sorted_summary(df: DataFrame, keys: list[str], text_col: str = "description",
@@ -50,10 +51,17 @@ class GraphIndex:
 
     documents: DataFrame
     min_docs: int = C.MIN_ENTITY_DOCS
+    materialize: bool = True
+
+    def _m(self, df: DataFrame) -> DataFrame:
+        """Persist a reused stage table (reliable checkpoint in the shared
+        checkpoint folder): later stages and queries read it instead of
+        re-deriving it, and a lost executor never forces a re-extraction."""
+        return cut_lineage(df) if self.materialize else df
 
     @cached_property
     def units(self) -> DataFrame:
-        return chunks.text_units(self.documents)
+        return self._m(chunks.text_units(self.documents))
 
     @cached_property
     def extracted(self) -> DataFrame:
@@ -61,11 +69,11 @@ class GraphIndex:
 
     @cached_property
     def unit_entities(self) -> DataFrame:
-        return extract.unit_entities(self.extracted)
+        return self._m(extract.unit_entities(self.extracted))
 
     @cached_property
     def unit_relationships(self) -> DataFrame:
-        return extract.unit_relationships(self.extracted)
+        return self._m(extract.unit_relationships(self.extracted))
 
     @cached_property
     def qualified(self) -> DataFrame:
@@ -88,10 +96,10 @@ class GraphIndex:
         typ = ue.groupBy("level", "title").agg(F.min("type").alias("type"))
         base = self.qualified.join(typ, ["level", "title"]).join(nunits, ["level", "title"]) \
             .join(ndesc, ["level", "title"]).join(summ, ["level", "title"], "left")
-        return base.select(
+        return self._m(base.select(
             "level", F.md5(F.concat_ws("|", "level", "title")).alias("id"), "title", "type",
             F.coalesce("summary", F.lit("")).alias("description"),
-            "n_docs", "n_units", "n_descriptions")
+            "n_docs", "n_units", "n_descriptions"))
 
     @cached_property
     def pair_rows(self) -> DataFrame:
@@ -109,10 +117,10 @@ class GraphIndex:
         nunits = distinct_counts(r, keys, "unit_id", "n_units")
         summ = sorted_summary(r, keys)
         out = w.join(nunits, keys).join(summ, keys, "left")
-        return out.select(
+        return self._m(out.select(
             "level", F.md5(F.concat_ws("|", "level", "source", "target")).alias("id"),
             "source", "target", F.coalesce("summary", F.lit("")).alias("description"),
-            "weight", "n_units")
+            "weight", "n_units"))
 
     @cached_property
     def degrees(self) -> DataFrame:
@@ -121,8 +129,8 @@ class GraphIndex:
         ends = r.select("level", F.col("source").alias("title")).unionByName(
             r.select("level", F.col("target").alias("title")))
         d = ends.groupBy("level", "title").agg(F.count(F.lit(1)).alias("degree"))
-        return (self.entities.select("level", "title").join(d, ["level", "title"], "left")
-                .select("level", "title", F.coalesce("degree", F.lit(0)).cast("long").alias("degree")))
+        return self._m(self.entities.select("level", "title").join(d, ["level", "title"], "left")
+                       .select("level", "title", F.coalesce("degree", F.lit(0)).cast("long").alias("degree")))
 
     @cached_property
     def ranked_relationships(self) -> DataFrame:
@@ -130,5 +138,5 @@ class GraphIndex:
         d = self.degrees
         ds = d.select("level", F.col("title").alias("source"), F.col("degree").alias("d_s"))
         dt = d.select("level", F.col("title").alias("target"), F.col("degree").alias("d_t"))
-        return (self.relationships.join(ds, ["level", "source"]).join(dt, ["level", "target"])
-                .withColumn("rank", (F.col("d_s") + F.col("d_t")).cast("long")).drop("d_s", "d_t"))
+        return self._m(self.relationships.join(ds, ["level", "source"]).join(dt, ["level", "target"])
+                       .withColumn("rank", (F.col("d_s") + F.col("d_t")).cast("long")).drop("d_s", "d_t"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +24,33 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-@dataclass
+_CTX_CACHE: dict = {}
+
+
 class Ctx:
+    """Per (session, input folder) index context.
+
+    The indexing stages are built once per session and input folder and
+    persisted as stage tables (reliable checkpoints); every query reads
+    them, as the query side of the pipeline reads the persisted index.
+    """
+
     spark: SparkSession
     sf_dir: str
 
+    def __new__(cls, spark=None, sf_dir=None):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        obj = _CTX_CACHE.get(key)
+        if obj is None:
+            obj = super().__new__(cls)
+            _CTX_CACHE[key] = obj
+        return obj
+
+    def __init__(self, spark, sf_dir):
+        if getattr(self, "_ready", False):
+            return
+        self.spark, self.sf_dir, self._ready = spark, sf_dir, True
+
     @cached_property
     def t(self) -> Tables:
         return Tables(self.spark, self.sf_dir)
@@ -52,7 +73,34 @@ class Ctx:
     @cached_property
     def reports(self) -> DataFrame:
         from strata.operators.reports import community_reports
-        return community_reports(self.nodes, self.g.ranked_relationships, self.g.entity_units)
+        from strata.session import cut_lineage
+        return cut_lineage(community_reports(self.nodes, self.g.ranked_relationships, self.g.entity_units))
+
+    # query-side stages
+    @property
+    def questions(self) -> DataFrame:
+        return self.t.benchmark
+
+    @cached_property
+    def gctx(self) -> DataFrame:
+        from strata.operators import search as S
+        return S.global_context(self.reports, self.assign)
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        from strata.operators import search as S
+        return S.map_scores(self.questions, self.gctx)
+
+    @cached_property
+    def reduced(self) -> DataFrame:
+        from strata.operators import search as S
+        return S.global_reduce(self.scores, self.gctx)
+
+    @cached_property
+    def matched(self) -> DataFrame:
+        from strata.operators import search as S
+        from strata.session import cut_lineage
+        return cut_lineage(S.entity_match(self.g.entities, self.questions))
 
 
 def load_all() -> None:

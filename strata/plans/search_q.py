@@ -1 +1,295 @@
-"""Registered queries."""
+"""Registered queries: community reports, global and local search, tiers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata import config as C
+from strata.operators import reports as R
+from strata.operators import search as S
+from strata.operators.windows import greedy_pack
+from strata.plans.registry import Ctx, register
+from strata.plans.sqlgen import (clearance_values, community_ctes, graph_ctes, report_ctes, search_ctes,
+                                 with_ctes)
+
+GC = graph_ctes() + community_ctes()
+GR = GC + report_ctes()
+GS = GR + search_ctes()
+
+
+def clearance_df(spark):
+    rows = [(u, t) for u, ts in C.CLEARANCE.items() for t in ts]
+    return spark.createDataFrame(rows, "user_level string, level string")
+
+
+SearchCtx = Ctx
+
+
+# ---------------------------------------------------------------- reports
+
+@register("community_reports", with_ctes(GR, """
+SELECT level, CAST(cluster_level AS INTEGER) AS cluster_level, community, title, rating, size,
+       CAST(n_findings AS INTEGER) AS n_findings, full_content FROM reports"""))
+def community_reports(spark, d):
+    r = Ctx(spark, d).reports
+    return r.select("level", F.col("cluster_level").cast("int"), "community", "title", "rating", "size",
+                    F.size("findings").alias("n_findings"), "full_content")
+
+
+@register("parse_reports_json", with_ctes(GR, """
+SELECT community, title, rating, CAST(n_findings AS INTEGER) AS n_findings, rating_explanation,
+       rating BETWEEN 0 AND 10 AS valid FROM reports"""))
+def parse_reports_json(spark, d):
+    """Report JSON -> struct (PERMISSIVE; malformed rows land in the corrupt
+    column and are flagged invalid, like out-of-range ratings)."""
+    from strata.schemas import REPORT_JSON
+    r = Ctx(spark, d).reports.select("community", "json")
+    schema = REPORT_JSON.add("_corrupt", "string")
+    p = r.select("community", F.from_json("json", schema, {"mode": "PERMISSIVE",
+                                                          "columnNameOfCorruptRecord": "_corrupt"}).alias("j"))
+    valid = F.col("j._corrupt").isNull() & F.col("j.rating").between(0, 10)
+    return p.select("community", F.col("j.title").alias("title"), F.col("j.rating").alias("rating"),
+                    F.size("j.findings").alias("n_findings"), F.col("j.rating_explanation").alias("rating_explanation"),
+                    valid.alias("valid"))
+
+
+@register("community_context", with_ctes(GC + [
+    """ctx_e AS (SELECT DISTINCT a.level, a.cluster_level, a.community, r.id, r.source, r.target, r.description, r.rank
+  FROM ranked_relationships r JOIN assign a ON r.level = a.level AND (r.source = a.title OR r.target = a.title))""",
+    """ctx_r AS (SELECT *, len(regexp_extract_all(concat_ws(',',
+      '"' || replace(substr(id, 1, 8), '"', '""') || '"', '"' || replace(source, '"', '""') || '"',
+      '"' || replace(target, '"', '""') || '"', '"' || replace(description, '"', '""') || '"',
+      CAST(rank AS VARCHAR)), '[^ \t\n\r\f]+')) AS tokens FROM ctx_e)"""], f"""
+SELECT level, CAST(cluster_level AS INTEGER) AS cluster_level, community, CAST(rn AS INTEGER) AS rn, id, source, target,
+       CAST(tokens AS INTEGER) AS tokens, CAST(cum_tokens AS BIGINT) AS cum_tokens FROM (
+  SELECT *, row_number() OVER w AS rn, sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tokens
+  FROM ctx_r WINDOW w AS (PARTITION BY level, cluster_level, community ORDER BY rank DESC, id))
+WHERE cum_tokens <= {C.REPORT_BUDGET}"""))
+def community_context(spark, d):
+    ctx = Ctx(spark, d)
+    return R.community_context(ctx.assign, ctx.g.ranked_relationships)
+
+
+@register("first_appearance_rank", with_ctes(GC + [
+    """ctx_e AS (SELECT DISTINCT a.level, a.cluster_level, a.community, r.id, r.source, r.target, r.rank
+  FROM ranked_relationships r JOIN assign a ON r.level = a.level AND (r.source = a.title OR r.target = a.title))""",
+    """ctx_n AS (SELECT *, row_number() OVER (PARTITION BY level, cluster_level, community ORDER BY rank DESC, id) AS rn
+  FROM ctx_e)""",
+    """ends AS (SELECT level, cluster_level, community, rn, source AS title FROM ctx_n
+  UNION ALL SELECT level, cluster_level, community, rn, target FROM ctx_n)"""], """
+SELECT a.level, CAST(a.cluster_level AS INTEGER) AS cluster_level, a.community, a.title, min(e.rn) AS first_rn
+FROM assign a JOIN ends e ON a.level = e.level AND a.cluster_level = e.cluster_level
+  AND a.community = e.community AND a.title = e.title
+GROUP BY a.level, a.cluster_level, a.community, a.title"""))
+def first_appearance_rank(spark, d):
+    """Members in order of first appearance in the ranked edge list (whole
+    list: the report-budget cut is applied with a budget above its size)."""
+    ctx = Ctx(spark, d)
+    full = R.community_context(ctx.assign, ctx.g.ranked_relationships, budget=10 ** 9)
+    fa = R.first_appearance(full, ctx.assign)
+    return fa.select("level", "cluster_level", "community", "title", F.col("first_rn").cast("int").alias("first_rn"))
+
+
+@register("community_context_rollup")
+def community_context_rollup(spark, d):
+    """When a community's own context overflows the report budget, its
+    largest children are replaced by their report text (child reports
+    counted in tokens), walking from the finest level up."""
+    ctx = Ctx(spark, d)
+    full = R.community_context(ctx.assign, ctx.g.ranked_relationships, budget=10 ** 9)
+    need = full.groupBy("level", "cluster_level", "community").agg(F.max("cum_tokens").alias("own_tokens"))
+    rep = ctx.reports.select("level", F.col("cluster_level").cast("int").alias("cl"), F.col("community").alias("child"),
+                             F.size(F.split("full_content", "[ \t\n\r\f]+")).alias("child_tokens"), "size")
+    parents = ctx.assign.select("level", F.col("cluster_level").cast("int").alias("cl"),
+                                F.col("community").alias("child"), "parent").where("parent IS NOT NULL").distinct()
+    kids = parents.join(rep, ["level", "cl", "child"])
+    over = need.where(F.col("own_tokens") > C.REPORT_BUDGET)
+    cand = kids.join(over.select("level", F.col("cluster_level").alias("pcl"), F.col("community").alias("parent")),
+                     ["level", "parent"]).where(F.col("cl") == F.col("pcl") + 1)
+    from pyspark.sql import Window
+    w = Window.partitionBy("level", "parent").orderBy(F.col("size").desc(), F.col("child"))
+    sub = cand.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= C.REPORT_BUDGET)
+    sub = sub.withColumn("cum", F.sum("child_tokens").over(w.rowsBetween(-(10 ** 9), 0)))
+    return sub.where(F.col("cum") <= C.REPORT_BUDGET).select("level", "parent", "child", "child_tokens", "cum")
+
+
+@register("grounding_refs", with_ctes(GC + [
+    """refs AS (SELECT level, cluster_level, community,
+  '[Data: Entities (' || string_agg(substr(md5(concat_ws('|', level, title)), 1, 8), ', ' ORDER BY rk) || ')]' AS ref
+  FROM (SELECT *, row_number() OVER (PARTITION BY level, cluster_level, community ORDER BY title) AS rk FROM assign)
+  WHERE rk <= 6 GROUP BY level, cluster_level, community)""",
+    """parsed AS (SELECT community, string_split(regexp_extract(ref, 'Entities \\(([^)]*)\\)', 1), ', ') AS ids FROM refs)"""],
+    """
+SELECT p.community, CAST(len(p.ids) AS INTEGER) AS n_ids, len(p.ids) > 5 AS too_many,
+       CAST(coalesce(m.n, 0) AS BIGINT) AS n_missing
+FROM parsed p LEFT JOIN (
+  SELECT community, count(*) AS n FROM (SELECT community, unnest(ids) AS sid FROM parsed) x
+  WHERE sid NOT IN (SELECT substr(id, 1, 8) FROM entities) GROUP BY community) m USING (community)"""))
+def grounding_refs(spark, d):
+    """Build ``[Data: Entities (id, ...)]`` references (up to 6 members per
+    report), parse them back, flag more than 5 ids and ids that do not exist."""
+    from pyspark.sql import Window
+    ctx = Ctx(spark, d)
+    a = ctx.assign.withColumn("sid", F.substring(F.md5(F.concat_ws("|", "level", "title")), 1, 8))
+    w = Window.partitionBy("level", "cluster_level", "community").orderBy("title")
+    top = (a.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= 6)
+           .groupBy("level", "cluster_level", "community")
+           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rk", "sid"))), lambda x: x["sid"]),
+                             ", ").alias("ids")))
+    refs = top.select("community", F.concat(F.lit("[Data: Entities ("), "ids", F.lit(")]")).alias("ref"))
+    parsed = refs.select("community", F.split(F.regexp_extract("ref", r"Entities \(([^)]*)\)", 1), ", ").alias("ids"))
+    known = ctx.g.entities.select(F.substring("id", 1, 8).alias("sid")).distinct()
+    missing = (parsed.select("community", F.explode("ids").alias("sid")).join(known, "sid", "left_anti")
+               .groupBy("community").agg(F.count(F.lit(1)).alias("n")))
+    return (parsed.join(missing, "community", "left")
+            .select("community", F.size("ids").alias("n_ids"), (F.size("ids") > 5).alias("too_many"),
+                    F.coalesce("n", F.lit(0)).cast("long").alias("n_missing")))
+
+
+# ---------------------------------------------------------------- global search
+
+@register("reports_at_level", with_ctes(GR, """
+SELECT level, CAST(cluster_level AS INTEGER) AS cluster_level, community, title, rating FROM rep_lvl"""))
+def reports_at_level(spark, d):
+    ctx = Ctx(spark, d)
+    r = S.reports_at_level(ctx.reports, ctx.assign)
+    return r.select("level", F.col("cluster_level").cast("int"), "community", "title", "rating")
+
+
+@register("finest_level_pick", with_ctes(GC, """
+SELECT level, title, CAST(cluster_level AS INTEGER) AS cluster_level, community FROM (
+  SELECT *, row_number() OVER (PARTITION BY level, title ORDER BY cluster_level DESC) AS r
+  FROM assign WHERE cluster_level <= 2) WHERE r = 1"""))
+def finest_level_pick(spark, d):
+    f = S.finest_communities(Ctx(spark, d).assign)
+    return f.select("level", "title", F.col("cluster_level").cast("int"), "community")
+
+
+@register("entities_at_level", with_ctes(GC, """
+SELECT f.level, f.title, CAST(f.cluster_level AS INTEGER) AS cluster_level, f.community, e.type, e.description
+FROM (SELECT *, row_number() OVER (PARTITION BY level, title ORDER BY cluster_level DESC) AS r
+      FROM assign WHERE cluster_level <= 2) f JOIN entities e ON f.level = e.level AND f.title = e.title
+WHERE f.r = 1"""))
+def entities_at_level(spark, d):
+    ctx = Ctx(spark, d)
+    f = S.finest_communities(ctx.assign)
+    return f.join(ctx.g.entities, ["level", "title"]).select(
+        "level", "title", F.col("cluster_level").cast("int"), "community", "type", "description")
+
+
+@register("occurrence_weight", with_ctes(GS, """
+SELECT level, community, n_units, occurrence_weight FROM gctx"""))
+def occurrence_weight(spark, d):
+    return SearchCtx(spark, d).gctx.select("level", "community", "n_units", "occurrence_weight")
+
+
+@register("shuffle_reports", with_ctes(GS, """
+SELECT level, community, shard, shuffle_key FROM gctx"""))
+def shuffle_reports(spark, d):
+    return SearchCtx(spark, d).gctx.select("level", "community", "shard", "shuffle_key")
+
+
+@register("global_context", with_ctes(GS, """
+SELECT level, CAST(cluster_level AS INTEGER) AS cluster_level, community, shard, shuffle_key, occurrence_weight,
+       rating, CAST(tokens AS INTEGER) AS tokens FROM gctx"""))
+def global_context(spark, d):
+    g = SearchCtx(spark, d).gctx
+    return g.select("level", F.col("cluster_level").cast("int"), "community", "shard", "shuffle_key",
+                    "occurrence_weight", "rating", F.col("tokens").cast("int"))
+
+
+@register("batch_ids_by_tokens")
+def batch_ids_by_tokens(spark, d):
+    """Greedy <= 12000-token batches of the shuffled report rows, exact per
+    (tier, shard) group; groups are bounded by the shard count."""
+    g = SearchCtx(spark, d).gctx
+    return greedy_pack(g, ["level", "shard"], "shuffle_key", "tokens", C.SEARCH_BUDGET, "community")
+
+
+@register("global_map_score", with_ctes(GS, """
+SELECT question_id, level, CAST(cluster_level AS INTEGER) AS cluster_level, community, score FROM mscore"""))
+def global_map_score(spark, d):
+    s = SearchCtx(spark, d).scores
+    return s.select("question_id", "level", F.col("cluster_level").cast("int"), "community", "score")
+
+
+@register("global_reduce", with_ctes(GS, """
+SELECT question_id, level, community, score, CAST(rn AS INTEGER) AS rn, CAST(cum_tokens AS BIGINT) AS cum_tokens
+FROM greduce"""))
+def global_reduce(spark, d):
+    r = SearchCtx(spark, d).reduced
+    return r.select("question_id", "level", "community", "score", F.col("rn").cast("int"),
+                    F.col("cum_tokens").cast("long"))
+
+
+@register("running_token_budget", with_ctes(GS, """
+SELECT question_id, level, CAST(max(cum_tokens) AS BIGINT) AS used_tokens, count(*) AS n_reports
+FROM greduce GROUP BY question_id, level"""))
+def running_token_budget(spark, d):
+    r = SearchCtx(spark, d).reduced
+    return r.groupBy("question_id", "level").agg(F.max("cum_tokens").cast("long").alias("used_tokens"),
+                                                 F.count(F.lit(1)).alias("n_reports"))
+
+
+@register("clearance_query_single", with_ctes(GS, """
+SELECT question_id, community, score, CAST(rn AS INTEGER) AS rn FROM greduce WHERE level = 'level_q'"""))
+def clearance_query_single(spark, d):
+    r = SearchCtx(spark, d).reduced.where(F.col("level") == "level_q")
+    return r.select("question_id", "community", "score", F.col("rn").cast("int"))
+
+
+@register("tiered_answer", with_ctes(GS, f"""
+SELECT a.user_level, a.question_id, CAST(count(*) AS INTEGER) AS n_responses,
+       'Please synthesize the following responses to answer the question:' || chr(10) || chr(10) ||
+       string_agg('Response ' || CAST(a.i AS VARCHAR) || ':' || chr(10) || a.answer || chr(10) || chr(10), ''
+                  ORDER BY a.i) || 'Question: ' || max(b.text) || 'Answer: ' AS prompt
+FROM (SELECT a.*, c.user_level, row_number() OVER (PARTITION BY c.user_level, a.question_id ORDER BY
+        CASE a.level WHEN 'general' THEN 1 WHEN 'level_q' THEN 2 ELSE 3 END) AS i
+      FROM answers a JOIN {clearance_values('c')} ON a.level = c.level) a
+JOIN benchmark b ON b.item_id = a.question_id
+GROUP BY a.user_level, a.question_id"""))
+def tiered_answer(spark, d):
+    ctx = SearchCtx(spark, d)
+    ans = S.answer_rows(ctx.reduced, ctx.reports)
+    return S.tiered_answer(ans, ctx.questions, clearance_df(spark))
+
+
+@register("answer_prompt", with_ctes(GS, """
+SELECT question_id, level, answer FROM answers"""))
+def answer_prompt(spark, d):
+    ctx = SearchCtx(spark, d)
+    return S.answer_rows(ctx.reduced, ctx.reports)
+
+
+# ---------------------------------------------------------------- local search
+
+@register("local_context")
+def local_context(spark, d):
+    ctx = SearchCtx(spark, d)
+    return S.local_context(ctx.matched, ctx.reports, ctx.assign, ctx.g.entity_units, ctx.g.pair_rows,
+                           ctx.g.units, ctx.g.ranked_relationships, ctx.g.degrees)
+
+
+@register("local_text_unit_rank")
+def local_text_unit_rank(spark, d):
+    ctx = SearchCtx(spark, d)
+    return S.local_text_unit_rank(ctx.matched, ctx.g.entity_units, ctx.g.pair_rows)
+
+
+@register("topk_relationships")
+def topk_relationships(spark, d):
+    ctx = SearchCtx(spark, d)
+    return S.local_relationships(ctx.matched, ctx.g.ranked_relationships).select(
+        "question_id", "level", "id", "source", "target", "rank", F.col("rn").cast("int"), "internal")
+
+
+@register("topk_entities", with_ctes(GC, f"""
+SELECT level, title, degree, CAST(r AS INTEGER) AS rk FROM (
+  SELECT *, row_number() OVER (PARTITION BY level ORDER BY degree DESC, title) AS r FROM degrees)
+WHERE r <= {C.TOP_K_ENTITIES}"""))
+def topk_entities(spark, d):
+    from pyspark.sql import Window
+    deg = Ctx(spark, d).g.degrees
+    w = Window.partitionBy("level").orderBy(F.col("degree").desc(), F.col("title"))
+    return (deg.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= C.TOP_K_ENTITIES)
+            .select("level", "title", "degree", F.col("rk").cast("int")))

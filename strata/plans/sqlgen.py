@@ -184,3 +184,81 @@ def community_ctes(rounds=C.LPA_ROUNDS, max_size: int = C.MAX_CLUSTER_SIZE) -> l
 
 def with_ctes(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def report_ctes(max_level: int = C.QUERY_COMMUNITY_LEVEL) -> list[str]:
+    """Mirror of the extractive community reports and the global context."""
+    ck = "level, cluster_level, community"
+    return [
+        """ie AS (SELECT r.*, s.cluster_level, s.community FROM ranked_relationships r
+  JOIN assign s ON r.level = s.level AND r.source = s.title
+  JOIN assign t ON r.level = t.level AND r.target = t.title AND s.cluster_level = t.cluster_level
+  WHERE s.community = t.community)""",
+        f"c_size AS (SELECT {ck}, count(*) AS size FROM assign GROUP BY {ck})",
+        f"c_edges AS (SELECT {ck}, count(*) AS n_edges FROM ie GROUP BY {ck})",
+        f"""c_units AS (SELECT x.level, x.cluster_level, x.community, count(DISTINCT q.unit_id) AS n_units
+  FROM assign x JOIN q_unit_ents q ON x.level = q.level AND x.title = q.title GROUP BY x.level, x.cluster_level, x.community)""",
+        f"""c_name AS (SELECT {ck}, string_agg(title, ' & ' ORDER BY r) AS name FROM (
+  SELECT a.*, row_number() OVER (PARTITION BY a.level, a.cluster_level, a.community
+                                 ORDER BY d.degree DESC, a.title) AS r
+  FROM assign a JOIN degrees d ON a.level = d.level AND a.title = d.title) WHERE r <= 2 GROUP BY {ck})""",
+        f"""c_find AS (SELECT {ck}, count(*) AS n_findings,
+  string_agg(concat_ws(': ', concat_ws(' - ', source, target), description), chr(10) ORDER BY r) AS fstr FROM (
+  SELECT ie.*, row_number() OVER (PARTITION BY level, cluster_level, community ORDER BY rank DESC, id) AS r FROM ie)
+  WHERE r <= 5 GROUP BY {ck})""",
+        f"""reports AS (SELECT s.level, s.cluster_level, s.community, s.size,
+  coalesce(e.n_edges, 0) AS n_edges, coalesce(u.n_units, 0) AS n_units, n.name,
+  coalesce(f.n_findings, 0) AS n_findings,
+  round(least(10.0, 10.0 * coalesce(e.n_edges, 0) / greatest(1.0, s.size * (s.size - 1) / 2.0)), 2) AS rating,
+  'Community of ' || n.name AS title,
+  'Community of ' || CAST(s.size AS VARCHAR) || ' entities around ' || n.name || '.' AS summary,
+  CAST(coalesce(e.n_edges, 0) AS VARCHAR) || ' internal relationships among ' || CAST(s.size AS VARCHAR) || ' entities.'
+    AS rating_explanation,
+  concat_ws(chr(10), '# Community of ' || n.name,
+            'Community of ' || CAST(s.size AS VARCHAR) || ' entities around ' || n.name || '.',
+            coalesce(f.fstr, '')) AS full_content
+  FROM c_size s LEFT JOIN c_edges e USING ({ck}) LEFT JOIN c_units u USING ({ck})
+  JOIN c_name n USING ({ck}) LEFT JOIN c_find f USING ({ck}))""",
+        f"""rep_fin AS (SELECT DISTINCT {ck} FROM (
+  SELECT *, row_number() OVER (PARTITION BY level, title ORDER BY cluster_level DESC) AS r
+  FROM assign WHERE cluster_level <= {max_level}) WHERE r = 1)""",
+        f"rep_lvl AS (SELECT r.* FROM reports r JOIN rep_fin USING ({ck}))",
+        f"""gctx AS (SELECT *, ntok_row AS tokens FROM (
+  SELECT x.*, {ntok('x.row')} AS ntok_row FROM (
+    SELECT r.*, CAST(('0x' || substr(md5(r.community), 1, 4))::BIGINT % {C.PACK_SHARDS} AS INTEGER) AS shard,
+           md5(r.community || {q(C.SHUFFLE_SEED)}) AS shuffle_key,
+           concat_ws('|', substr(r.community, 1, 8), r.title, printf('%.6f', r.occurrence_weight), r.full_content,
+                     printf('%.2f', r.rating)) AS row
+    FROM (SELECT r.*, round(CASE WHEN mx.mx > 0 THEN r.n_units / mx.mx ELSE 0.0 END, 6) AS occurrence_weight
+          FROM rep_lvl r JOIN (SELECT level, max(n_units) AS mx FROM rep_lvl GROUP BY level) mx USING (level)
+          WHERE r.rating >= {C.MIN_COMMUNITY_RANK}) r) x))""",
+    ]
+
+
+def words_sql(x: str) -> str:
+    from strata.operators.vectors import EMBED_WORD_RE
+    return f"list_distinct(regexp_extract_all(lower({x}), {q(EMBED_WORD_RE)}))"
+
+
+def search_ctes() -> list[str]:
+    return [
+        f"""qwords AS (SELECT item_id AS question_id, unnest({words_sql('text')}) AS w FROM benchmark)""",
+        "qn AS (SELECT question_id, count(*) AS nq FROM qwords GROUP BY question_id)",
+        f"""rwords AS (SELECT level, cluster_level, community, unnest({words_sql('row')}) AS w FROM gctx)""",
+        """mscore AS (SELECT h.question_id, h.level, h.cluster_level, h.community,
+  CAST(round(100.0 * h.hit / qn.nq) AS INTEGER) AS score FROM (
+  SELECT question_id, level, cluster_level, community, count(*) AS hit FROM qwords JOIN rwords USING (w)
+  GROUP BY question_id, level, cluster_level, community) h JOIN qn USING (question_id))""",
+        f"""greduce AS (SELECT * FROM (
+  SELECT m.*, g.tokens, row_number() OVER w AS rn, sum(g.tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tokens
+  FROM mscore m JOIN gctx g USING (level, cluster_level, community) WHERE m.score > 0
+  WINDOW w AS (PARTITION BY m.question_id, m.level ORDER BY m.score DESC, m.community))
+  WHERE cum_tokens <= {C.SEARCH_BUDGET})""",
+        """answers AS (SELECT g.question_id, g.level, r.title AS answer FROM greduce g
+  JOIN reports r USING (level, cluster_level, community) WHERE g.rn = 1)""",
+    ]
+
+
+def clearance_values(alias: str = "clearance") -> str:
+    rows = ", ".join(f"('{u}', '{t}')" for u, ts in C.CLEARANCE.items() for t in ts)
+    return f"(VALUES {rows}) AS {alias}(user_level, level)"
