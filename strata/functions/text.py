@@ -81,8 +81,8 @@ def csv_field(col) -> Column:
 
 
 def stem_of(path_col) -> Column:
-    return F.regexp_extract(path_col, lit_re("([^/]*?)(\\.[^./]*)?$"), 1)
+    return F.regexp_extract(path_col, "([^/]*?)(\\.[^./]*)?$", 1)
 
 
 def ext_of(path_col) -> Column:
-    return F.regexp_extract(path_col, lit_re("(\\.[^./]*)$"), 1)
+    return F.regexp_extract(path_col, "(\\.[^./]*)$", 1)

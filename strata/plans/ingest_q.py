@@ -1 +1,224 @@
-"""Registered queries."""
+"""Registered queries: file scans, routing, conversion, skip-existing, sinks.
+
+The file tree is derived from the ``documents`` table by Spark (one file per
+document, extension by language), so every scan grows with the input.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from strata.functions.text import ext_of, html_to_text, stem_of
+from strata.plans.registry import Ctx, register
+from strata.plans.sqlgen import STRIP, graph_ctes, q, with_ctes
+from strata.session import scratch_path
+from strata.sources import files as FS
+
+# own fixture rule: file extension by document language
+EXT_BY_LANG = (("en", ".txt"), ("fr", ".html"), ("de", ".docx"), ("es", ".xlsx"))
+
+
+def _ext_expr():
+    e = None
+    for lang, ext in EXT_BY_LANG:
+        e = F.when(F.col("lang") == lang, ext) if e is None else e.when(F.col("lang") == lang, ext)
+    return e.otherwise(".bin")
+
+
+EXT_SQL = "CASE lang " + " ".join(f"WHEN '{lg}' THEN '{x}'" for lg, x in EXT_BY_LANG) + " ELSE '.bin' END"
+PATH_SQL = f"'raw/' || source || '/doc' || CAST(doc_id AS VARCHAR) || {EXT_SQL}"
+
+
+def doc_paths(docs):
+    return docs.select("doc_id", "lang", "text", F.concat(F.lit("raw/"), "source", F.lit("/doc"),
+                                                          F.col("doc_id").cast("string"), _ext_expr()).alias("path"))
+
+
+def virtual_files(docs):
+    """binaryFile-shaped rows (path, modificationTime, length, content) built
+    from the documents: txt as UTF-8, html wrapped in paragraphs, Office
+    formats zipped by a per-batch Python helper."""
+    p = doc_paths(docs)
+    esc = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    html = F.concat(F.lit("<html><head><style>p{margin:0}</style></head><body><p>"),
+                    F.replace(esc, F.lit("\n"), F.lit("</p><p>")), F.lit("</p><!-- end --></body></html>"))
+    plain = p.select("path", F.when(F.col("path").endswith(".html"), F.encode(html, "UTF-8"))
+                     .otherwise(F.encode("text", "UTF-8")).alias("content"))
+
+    def office(batches):
+        for pdf in batches:
+            out = []
+            for path, text in zip(pdf["path"], pdf["text"]):
+                lines = (text or "").split("\n")
+                out.append(FS.make_docx(lines) if path.endswith(".docx")
+                           else FS.make_xlsx({"Sheet1": [ln.split(" ") for ln in lines]}))
+            yield pd.DataFrame({"path": pdf["path"], "content": out})
+
+    off = p.where(F.col("path").endswith(".docx") | F.col("path").endswith(".xlsx")) \
+        .select("path", "text").mapInPandas(office, "path string, content binary")
+    both = plain.where(~(F.col("path").endswith(".docx") | F.col("path").endswith(".xlsx"))).unionByName(off)
+    return both.select("path", F.current_timestamp().alias("modificationTime"),
+                       F.length("content").cast("long").alias("length"), "content")
+
+
+@register("html_to_text", f"""
+SELECT page_id, regexp_replace(regexp_replace(
+  replace(replace(replace(replace(replace(replace(replace(replace(replace(
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+      '(?s)<!--.*?-->', '', 'g'), '(?is)<script[^>]*>.*?</script[^>]*>', '', 'g'),
+      '(?is)<style[^>]*>.*?</style[^>]*>', '', 'g'), '(?i)</(p|div|h[1-6])[ \t\n\r\f]*>', chr(10), 'g'),
+      '(?i)<br[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '),
+    '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
+  {STRIP}, '', 'g'), '\n[ \t\n\r\f]*\n', chr(10) || chr(10), 'g') AS text
+FROM pages""")
+def q_html_to_text(spark, d):
+    return Ctx(spark, d).t.pages.select("page_id", html_to_text(F.col("html")).alias("text"))
+
+
+@register("path_parts", f"""
+SELECT path, regexp_extract(path, '([^/]*?)(\\.[^./]*)?$', 1) AS stem, regexp_extract(path, '(\\.[^./]*)$', 1) AS ext,
+       regexp_extract(path, '(\\.[^./]*)$', 1) IN ({', '.join(q(x) for x in FS.SUPPORTED_EXT)}) AS supported
+FROM (SELECT {PATH_SQL} AS path FROM documents)""")
+def path_parts(spark, d):
+    p = doc_paths(Ctx(spark, d).t.documents)
+    return p.select("path", stem_of(F.col("path")).alias("stem"), ext_of(F.col("path")).alias("ext"),
+                    ext_of(F.col("path")).isin(*FS.SUPPORTED_EXT).alias("supported"))
+
+
+@register("sorted_listing", f"""
+SELECT path, row_number() OVER (ORDER BY path) AS row_id FROM (SELECT {PATH_SQL} AS path FROM documents)""")
+def sorted_listing(spark, d):
+    from strata.operators.windows import global_row_number
+    p = doc_paths(Ctx(spark, d).t.documents).select("path")
+    return global_row_number(p, [F.col("path")])
+
+
+@register("head_preview", f"""
+SELECT path FROM (SELECT {PATH_SQL} AS path FROM documents) ORDER BY path LIMIT 5""")
+def head_preview(spark, d):
+    return doc_paths(Ctx(spark, d).t.documents).select("path").orderBy("path").limit(5)
+
+
+@register("ingest_skip_existing", f"""
+SELECT regexp_extract(path, '([^/]*?)(\\.[^./]*)?$', 1) AS stem, min(path) AS path
+FROM (SELECT {PATH_SQL} AS path FROM documents)
+WHERE regexp_extract(path, '([^/]*?)(\\.[^./]*)?$', 1) NOT IN (SELECT 'doc' || CAST(doc_id AS VARCHAR) FROM labels)
+GROUP BY 1""")
+def ingest_skip_existing(spark, d):
+    """Convert only files whose output (``<stem>.txt``) does not exist yet;
+    within one stem the lowest path wins (deterministic, combinable min)."""
+    ctx = Ctx(spark, d)
+    inputs = doc_paths(ctx.t.documents).select("path", stem_of(F.col("path")).alias("stem"))
+    existing = ctx.t.labels.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("stem"))
+    todo = inputs.join(existing, "stem", "left_anti")
+    return todo.groupBy("stem").agg(F.min("path").alias("path"))
+
+
+@register("set_difference_new_files", f"""
+SELECT path FROM (SELECT {PATH_SQL} AS path, doc_id FROM documents)
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def set_difference_new_files(spark, d):
+    ctx = Ctx(spark, d)
+    inputs = doc_paths(ctx.t.documents).select("doc_id", "path")
+    return inputs.join(ctx.t.labels.select("doc_id"), "doc_id", "left_anti").select("path")
+
+
+@register("anti_join_unprocessed", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def anti_join_unprocessed(spark, d):
+    t = Ctx(spark, d).t
+    return t.documents.select("doc_id").join(t.labels.select("doc_id"), "doc_id", "left_anti")
+
+
+@register("scan_binary_route")
+def scan_binary_route(spark, d):
+    """Route the derived file tree by extension; unsupported -> quarantine."""
+    vf = virtual_files(Ctx(spark, d).t.documents)
+    routed, bad = FS.route(vf)
+    return routed.select("path", "ext", F.lit("routed").alias("status")).unionByName(
+        bad.select("path", "ext", F.lit("quarantine").alias("status")))
+
+
+@register("docx_to_text")
+def docx_to_text(spark, d):
+    vf = virtual_files(Ctx(spark, d).t.documents)
+    routed, _ = FS.route(vf)
+    return FS.extract_office(routed.where(F.col("ext") == ".docx"))
+
+
+@register("xlsx_to_text")
+def xlsx_to_text(spark, d):
+    vf = virtual_files(Ctx(spark, d).t.documents)
+    routed, _ = FS.route(vf)
+    return FS.extract_office(routed.where(F.col("ext") == ".xlsx"))
+
+
+@register("pptx_to_text")
+def pptx_to_text(spark, d):
+    """Each document line becomes one slide shape; parse back in slide order."""
+    docs = Ctx(spark, d).t.documents
+
+    def mk(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"path": [f"raw/pptx/doc{i}.pptx" for i in pdf["doc_id"]],
+                                "ext": ".pptx",
+                                "content": [FS.make_pptx([[ln] for ln in (t or "").split("\n")]) for t in pdf["text"]]})
+    files = docs.select("doc_id", "text").mapInPandas(mk, "path string, ext string, content binary")
+    return FS.extract_office(files)
+
+
+@register("scan_text_docs")
+def scan_text_docs(spark, d):
+    """Documents written as one text file each (partitioned by id), scanned
+    back whole-file with a glob filter; listing sorted by path."""
+    path = scratch_path(spark, "text-docs")
+    Ctx(spark, d).t.documents.select("doc_id", "text").write.partitionBy("doc_id").text(path)
+    return FS.scan_text(spark, path, "*.txt").orderBy("path")
+
+
+@register("scan_csv_docs")
+def scan_csv_docs(spark, d):
+    from strata.schemas import INPUT_TABLES
+    path = scratch_path(spark, "csv-docs")
+    Ctx(spark, d).t.documents.write.option("header", "true").option("escape", '"').csv(path)
+    return FS.scan_csv(spark, path, INPUT_TABLES["documents"])
+
+
+@register("convert_files")
+def convert_files(spark, d):
+    """The whole ingest job: derived files -> route -> convert (txt, html,
+    docx, xlsx) -> (path, stem, text, error)."""
+    vf = virtual_files(Ctx(spark, d).t.documents)
+    routed, _ = FS.route(vf)
+    return FS.convert(routed)
+
+
+@register("table_read", with_ctes(graph_ctes(), "SELECT title, n_docs FROM entities WHERE level = 'admin'"))
+def table_read(spark, d):
+    """Emit the entity stage table partitioned by tier, read it back with its
+    declared schema: the tier filter prunes whole partition folders."""
+    from strata.schemas import ENTITIES
+    from strata.sources.sinks import emit
+    from strata.sources.tables import read_optional
+    ctx = Ctx(spark, d)
+    path = emit(ctx.g.entities, scratch_path(spark, "entities"), ("level",))
+    schema = ENTITIES.add("n_docs", "long").add("n_descriptions", "long")
+    df = read_optional(spark, path, schema)
+    return df.where(F.col("level") == "admin").select("title", "n_docs")
+
+
+@register("table_emit")
+def table_emit(spark, d):
+    """Persist every stage table; returns (table, rows) read back."""
+    from strata.sources.sinks import emit
+    ctx = Ctx(spark, d)
+    tables = {"text_units": ctx.g.units, "entities": ctx.g.entities, "relationships": ctx.g.ranked_relationships,
+              "nodes": ctx.nodes, "community_reports": ctx.reports.drop("findings")}
+    root = scratch_path(spark, "emit")
+    out = None
+    for name, df in tables.items():
+        p = emit(df, f"{root}/{name}", ("level",))
+        c = spark.read.parquet(p).groupBy().count().select(F.lit(name).alias("table"), F.col("count").alias("rows"))
+        out = c if out is None else out.unionByName(c)
+    return out
