@@ -1 +1 @@
-"""Registered queries."""
+"""Registered queries for window operators live with their stages (see access_q, search_q)."""
