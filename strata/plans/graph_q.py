@@ -252,3 +252,12 @@ def level_node_counts(spark, d):
 @register("distinct_nodes", with_ctes(G, "SELECT DISTINCT title FROM entities"))
 def distinct_nodes(spark, d):
     return Ctx(spark, d).g.entities.select("title").distinct()
+
+
+@register("node2vec_embed")
+def node2vec_embed(spark, d):
+    """Random walks (10 x 40) + Word2Vec (window 2, 3 iterations), per tier."""
+    from strata.operators.walks import node2vec
+    ctx = Ctx(spark, d)
+    v = node2vec(ctx.g.entities, ctx.g.relationships)
+    return v.select("level", "title", F.size("vector").alias("dim"))

@@ -222,3 +222,56 @@ def table_emit(spark, d):
         c = spark.read.parquet(p).groupBy().count().select(F.lit(name).alias("table"), F.col("count").alias("rows"))
         out = c if out is None else out.unionByName(c)
     return out
+
+
+@register("response_cache_scan")
+def response_cache_scan(spark, d):
+    """Memoised responses ``{result, input, parameters}`` written as JSON
+    (one file group per extraction run) and read back with a declared schema;
+    the content hash is recomputed from (input, parameters)."""
+    from strata.operators.extract import format_records
+    from strata.schemas import RESPONSE_CACHE
+    ctx = Ctx(spark, d)
+    recs = format_records(ctx.g.unit_entities, ctx.g.unit_relationships)
+    rows = recs.join(ctx.g.units.select(F.col("id").alias("unit_id"), "text"), "unit_id").select(
+        F.col("response").alias("result"), F.col("text").alias("input"),
+        F.struct(F.lit("rule-extractor").alias("model"), F.lit(0.0).alias("temperature"),
+                 F.lit(4000).alias("max_tokens")).alias("parameters"))
+    path = scratch_path(spark, "response-cache")
+    rows.write.json(path)
+    back = spark.read.schema(RESPONSE_CACHE).json(path)
+    key = F.md5(F.concat_ws("|", "input", F.to_json("parameters")))
+    return back.select(key.alias("key"), F.col("parameters.model").alias("model"),
+                       F.length("result").alias("result_chars"))
+
+
+LOG_RE = "perf - llm\\.chat ([a-z]+) \"Process\" took ([0-9.]+)\\. input_tokens=([0-9]+), output_tokens=([0-9]+)"
+
+
+@register("run_log_metrics", f"""
+SELECT kind, count(*) AS n_calls, round(sum(seconds), 6) AS total_seconds, round(max(seconds), 6) AS max_seconds,
+       sum(input_tokens) AS input_tokens
+FROM (SELECT regexp_extract(line, {q(LOG_RE)}, 1) AS kind,
+             CAST(regexp_extract(line, {q(LOG_RE)}, 2) AS DOUBLE) AS seconds,
+             CAST(regexp_extract(line, {q(LOG_RE)}, 3) AS BIGINT) AS input_tokens
+      FROM (SELECT 'perf - llm.chat ' || event_type || ' "Process" took ' || CAST(value AS VARCHAR)
+                   || '. input_tokens=' || json_extract_string(props, '$.k') || ', output_tokens='
+                   || CAST(user_id AS VARCHAR) AS line FROM events))
+GROUP BY kind""")
+def run_log_metrics(spark, d):
+    """Log lines (one per event) written as text, scanned back and parsed
+    with one regex: calls, seconds and tokens per kind."""
+    e = Ctx(spark, d).t.events
+    lines = e.select(F.concat(F.lit("perf - llm.chat "), "event_type", F.lit(' "Process" took '),
+                              F.col("value").cast("string"), F.lit(". input_tokens="),
+                              F.get_json_object("props", "$.k"), F.lit(", output_tokens="),
+                              F.col("user_id").cast("string")).alias("value"))
+    path = scratch_path(spark, "run-log")
+    lines.write.text(path)
+    t = spark.read.text(path)
+    p = t.select(F.regexp_extract("value", LOG_RE, 1).alias("kind"),
+                 F.regexp_extract("value", LOG_RE, 2).cast("double").alias("seconds"),
+                 F.regexp_extract("value", LOG_RE, 3).cast("long").alias("input_tokens"))
+    return p.groupBy("kind").agg(F.count(F.lit(1)).alias("n_calls"), F.round(F.sum("seconds"), 6).alias("total_seconds"),
+                                 F.round(F.max("seconds"), 6).alias("max_seconds"),
+                                 F.sum("input_tokens").alias("input_tokens"))
