@@ -1,12 +1,11 @@
 """Per-unit extraction and the structured-record formats.
 
-The extraction step is a deterministic rule extractor that runs as array
-expressions on each unit row (no shuffle, no Python): sentences are cut with
-a regex, capitalised words of >= 7 letters become typed mentions, mentions of
-types outside the tier's list are dropped, and consecutive mentions of two
-different entities inside one unit become a relationship.  Pairing only
-*consecutive* mentions keeps the output linear in the unit length: no
-all-pairs fan-out, whatever the entity frequency.
+The extraction step is a deterministic rule extractor (no Python): sentences
+are cut with a regex, capitalised words of >= 7 letters become typed
+mentions, mentions of types outside the tier's list are dropped, and
+consecutive mentions of two different entities inside one unit become a
+relationship.  Pairing only *consecutive* mentions keeps the output linear
+in the unit length: no all-pairs fan-out, whatever the entity frequency.
 """
 
 from __future__ import annotations
@@ -29,47 +28,49 @@ def _type_sql(x: str) -> str:
     return f"CASE {whens} ELSE '{C.DEFAULT_TYPE}' END"
 
 
-def unit_mentions_array() -> Column:
-    """array<struct<title, type, sent_ix, sentence>> in text order, type-filtered."""
-    sent_re = C.SENTENCE_RE.replace("\n", "\\n")
-    return F.expr(
-        "filter(flatten(transform("
-        f"regexp_extract_all(text, '{sent_re}', 0), (s, i) -> transform("
-        f"filter(regexp_extract_all(s, '{C.LETTER_RUN_RE}', 0), w -> w rlike '{C.ENTITY_WORD_RE}'), "
-        "w -> named_struct('title', upper(w), 'type', " + _type_sql("upper(w)") + ", "
-        "'sent_ix', i, 'sentence', regexp_replace(s, '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', ''))))), "
-        f"m -> array_contains({_tier_types_expr()}, m.type))")
+# Java-side equivalent of "a maximal letter run that fully matches
+# ENTITY_WORD_RE": lookarounds pin both ends of the run.
+ENTITY_CANDIDATE_RE = "(?<![A-Za-z])[A-Z][a-z]{6,}(?![A-Za-z])"
 
 
-def extract_units(units: DataFrame) -> DataFrame:
-    """units -> units with a ``ments`` array and a ``pairs`` array."""
-    u = units.select("id", "doc_id", "level", unit_mentions_array().alias("ments"))
-    pairs = F.expr(
-        "filter(zip_with(slice(ments, 1, greatest(size(ments) - 1, 0)), slice(ments, 2, greatest(size(ments) - 1, 0)), "
-        "(a, b) -> named_struct('a', a, 'b', b)), p -> p.a.title <> p.b.title)")
-    return u.withColumn("pairs", pairs)
+def mentions(units: DataFrame) -> DataFrame:
+    """units -> one row per type-filtered entity mention, in text order.
 
+    Two ``posexplode`` generators (sentences, then candidate words) keep the
+    extraction in whole-stage codegen; ``lead`` over the unit (a bounded
+    partition: <= 300 tokens) attaches the next mention, from which
+    consecutive pairs are read.  Columns: unit_id, doc_id, level, pos, title,
+    type, sent_ix, sentence, n_title, n_sent_ix, n_sentence."""
+    from pyspark.sql import Window
+    from strata.functions.text import entity_type, strip_ws
+    s = units.select(F.col("id").alias("unit_id"), "doc_id", "level",
+                     F.posexplode(F.regexp_extract_all("text", F.lit(C.SENTENCE_RE), 0)).alias("sent_ix", "s"))
+    w = s.select("unit_id", "doc_id", "level", "sent_ix", strip_ws(F.col("s")).alias("sentence"),
+                 F.posexplode(F.regexp_extract_all("s", F.lit(ENTITY_CANDIDATE_RE), 0)).alias("w_ix", "w"))
+    w = w.withColumn("title", F.upper("w")).withColumn("type", entity_type(F.col("title")))
+    w = w.where(F.expr(f"array_contains({_tier_types_expr()}, type)"))
+    win = Window.partitionBy("unit_id").orderBy("sent_ix", "w_ix")
+    return w.select("unit_id", "doc_id", "level", (F.row_number().over(win) - 1).alias("pos"), "title", "type",
+                    "sent_ix", "sentence", F.lead("title").over(win).alias("n_title"),
+                    F.lead("sent_ix").over(win).alias("n_sent_ix"), F.lead("sentence").over(win).alias("n_sentence"))
 
-def unit_entities(ex: DataFrame) -> DataFrame:
+
+def unit_entities(m: DataFrame) -> DataFrame:
     """One row per (unit, entity): type and the sentence of its first mention."""
-    m = ex.select("id", "doc_id", "level", F.posexplode("ments").alias("pos", "m"))
-    return (m.groupBy("level", "doc_id", F.col("id").alias("unit_id"), F.col("m.title").alias("title"))
-            .agg(F.first(F.col("m.type")).alias("type"),
-                 F.min_by(F.col("m.sentence"), F.col("pos")).alias("description")))
-
-
-def unit_relationships(ex: DataFrame) -> DataFrame:
-    """One row per (unit, unordered entity pair): strength = occurrences."""
-    p = ex.select("id", "doc_id", "level", F.posexplode("pairs").alias("pos", "p"))
-    src = F.least("p.a.title", "p.b.title")
-    tgt = F.greatest("p.a.title", "p.b.title")
-    desc = F.when(F.col("p.a.sent_ix") == F.col("p.b.sent_ix"), F.col("p.a.sentence")) \
-        .otherwise(F.concat_ws(" ", "p.a.sentence", "p.b.sentence"))
-    return (p.select("level", "doc_id", F.col("id").alias("unit_id"), src.alias("source"),
-                     tgt.alias("target"), desc.alias("description"), "pos")
+    return (m.groupBy("level", "doc_id", "unit_id", "title")
+            .agg(F.first("type").alias("type"), F.min_by("sentence", "pos").alias("description")))
+
+
+def unit_relationships(m: DataFrame) -> DataFrame:
+    """Consecutive mentions of two different entities in one unit -> one row
+    per (unit, unordered pair): strength = occurrences."""
+    p = m.where(F.col("n_title").isNotNull() & (F.col("n_title") != F.col("title")))
+    desc = F.when(F.col("sent_ix") == F.col("n_sent_ix"), F.col("sentence")) \
+        .otherwise(F.concat_ws(" ", "sentence", "n_sentence"))
+    return (p.select("level", "doc_id", "unit_id", F.least("title", "n_title").alias("source"),
+                     F.greatest("title", "n_title").alias("target"), desc.alias("description"), "pos")
             .groupBy("level", "doc_id", "unit_id", "source", "target")
-            .agg(F.count(F.lit(1)).alias("strength"),
-                 F.min_by("description", "pos").alias("description")))
+            .agg(F.count(F.lit(1)).alias("strength"), F.min_by("description", "pos").alias("description")))
 
 
 # ----------------------------------------------------------------------------
@@ -112,11 +113,11 @@ def parse_records(responses: DataFrame) -> DataFrame:
     r = r.withColumn("raw", F.regexp_replace("raw", "^[ \t\n\r\f(]+|[ \t\n\r\f)]+$", "")).where(F.col("raw") != "")
     fields = F.transform(F.split("raw", "<\\|>"), lambda f: F.regexp_replace(f, '^"|"$', ""))
     r = r.withColumn("f", fields).withColumn("n", F.size("f"))
-    kind = F.lower(F.col("f")[0])
-    strength = F.expr("try_cast(f[4] AS DOUBLE)")
+    kind = F.lower(F.get("f", 0))
+    strength = F.expr("try_cast(get(f, 4) AS DOUBLE)")
     valid = ((kind == "entity") & (F.col("n") == 4)) | \
             ((kind == "relationship") & (F.col("n") == 5) & strength.isNotNull())
     return r.select("unit_id", "rec_ix", kind.alias("kind"),
-                    F.upper(F.col("f")[1]).alias("f1"), F.col("f")[2].alias("f2"), F.col("f")[3].alias("f3"),
+                    F.upper(F.get("f", 1)).alias("f1"), F.get("f", 2).alias("f2"), F.get("f", 3).alias("f3"),
                     F.when(kind == "relationship", strength).alias("strength"),
                     valid.alias("valid"), "raw")

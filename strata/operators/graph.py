@@ -64,16 +64,16 @@ class GraphIndex:
         return self._m(chunks.text_units(self.documents))
 
     @cached_property
-    def extracted(self) -> DataFrame:
-        return extract.extract_units(self.units)
+    def mentions(self) -> DataFrame:
+        return self._m(extract.mentions(self.units))
 
     @cached_property
     def unit_entities(self) -> DataFrame:
-        return self._m(extract.unit_entities(self.extracted))
+        return self._m(extract.unit_entities(self.mentions))
 
     @cached_property
     def unit_relationships(self) -> DataFrame:
-        return self._m(extract.unit_relationships(self.extracted))
+        return self._m(extract.unit_relationships(self.mentions))
 
     @cached_property
     def qualified(self) -> DataFrame:

@@ -242,11 +242,12 @@ def claim_strings(pair_rows):
 def parse_claims(claims):
     f = F.split("claim", "<\\|>")
     none = lambda c: F.when(c == "NONE", F.lit(None)).otherwise(c)
-    status = F.upper(f[3])
+    status = F.upper(F.get(f, 3))
+    g = lambda i: F.get(f, i)  # noqa: E731  - NULL instead of an error on short records
     return claims.select(
-        "level", f[0].alias("subject"), none(f[1]).alias("object"), f[2].alias("type"), status.alias("status"),
-        F.try_to_timestamp(none(f[4])).alias("start_ts"), F.try_to_timestamp(none(f[5])).alias("end_ts"),
-        f[6].alias("description"), f[7].alias("source_text"),
+        "level", g(0).alias("subject"), none(g(1)).alias("object"), g(2).alias("type"), status.alias("status"),
+        F.try_to_timestamp(none(g(4))).alias("start_ts"), F.try_to_timestamp(none(g(5))).alias("end_ts"),
+        g(6).alias("description"), g(7).alias("source_text"),
         ((F.size(f) == 8) & status.isin(*C.CLAIM_STATUS)).alias("valid"))
 
 

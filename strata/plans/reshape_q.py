@@ -19,10 +19,8 @@ U = units_ctes()
 
 
 def _ments(ctx):
-    """(unit_id, level, pos, title, type) from the per-unit extraction arrays."""
-    ex = ctx.g.extracted
-    return ex.select(F.col("id").alias("unit_id"), "level", "doc_id", F.posexplode("ments").alias("pos", "m")) \
-        .select("unit_id", "level", "doc_id", "pos", F.col("m.title").alias("title"), F.col("m.type").alias("type"))
+    """(unit_id, level, doc_id, pos, title, type) from the mention table."""
+    return ctx.g.mentions.select("unit_id", "level", "doc_id", "pos", "title", "type")
 
 
 # ---------------------------------------------------------------- 2.2 projections and reshaping
@@ -81,11 +79,12 @@ def unroll_array(spark, d):
 @register("zip_unzip", with_ctes(G, """
 SELECT unit_id, CAST(pos - 1 AS INTEGER) AS i, title || '/' || type AS pair, title, type FROM mentions"""))
 def zip_unzip(spark, d):
-    """titles and types zipped into one array of pairs, then unzipped."""
-    ex = Ctx(spark, d).g.extracted
-    z = ex.select(F.col("id").alias("unit_id"),
-                  F.arrays_zip(F.transform("ments", lambda m: m["title"]).alias("t"),
-                               F.transform("ments", lambda m: m["type"]).alias("y")).alias("z"))
+    """titles and types of a unit collected in order (bounded: one unit),
+    zipped into one array of pairs, then unzipped."""
+    m = _ments(Ctx(spark, d))
+    arr = m.groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("pos", "title", "type"))).alias("a"))
+    z = arr.select("unit_id", F.arrays_zip(F.transform("a", lambda x: x["title"]).alias("t"),
+                                           F.transform("a", lambda x: x["type"]).alias("y")).alias("z"))
     return z.select("unit_id", F.posexplode("z").alias("i", "p")).select(
         "unit_id", F.col("i").cast("int"), F.concat_ws("/", "p.t", "p.y").alias("pair"),
         F.col("p.t").alias("title"), F.col("p.y").alias("type"))
