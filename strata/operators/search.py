@@ -82,19 +82,17 @@ def global_reduce(scores: DataFrame, ctx_rows: DataFrame, budget: int = C.SEARCH
 # ------------------------------------------------------------------ local search
 
 def entity_match(entities: DataFrame, questions: DataFrame, k: int = C.TOP_K_ENTITIES) -> DataFrame:
-    """Per (question, tier): the k entities nearest to the question
-    (cosine of hashed-TF embeddings of '"TITLE":description')."""
+    """Per (question, tier): the k entities nearest to the question (cosine
+    of hashed-TF embeddings of '"TITLE":description'); one pass over the
+    entity vectors, grouped by tier inside the scoring kernel."""
+    from strata.session import cut_lineage
     ents = entities.select(F.conv(F.substring("id", 1, 15), 16, 10).cast("long").alias("vec_id"), "level", "title",
                            F.concat(F.lit('"'), "title", F.lit('":'), "description").alias("merged"))
-    ev = V.embed_text(ents, "vec_id", "merged")
+    ev = cut_lineage(V.embed_text(ents, "vec_id", "merged").join(ents.select("vec_id", "level"), "vec_id"))
     qv = V.embed_text(questions, "item_id", "text").select(F.col("item_id").alias("query_id"),
                                                            F.col("embedding").alias("vector"))
-    out = None
-    for tier in C.TIERS:  # fixed three tiers: tier isolation of the entity index
-        corpus = ev.join(ents.where(F.col("level") == tier).select("vec_id"), "vec_id")
-        hits = V.topk_cosine(corpus, qv, k=k).withColumn("level", F.lit(tier))
-        out = hits if out is None else out.unionByName(hits)
-    return (out.join(ents.select("vec_id", "level", "title"), ["vec_id", "level"])
+    hits = V.topk_cosine(ev, qv, k=k, group_col="level")
+    return (hits.join(ents.select("vec_id", "level", "title"), ["vec_id", "level"])
             .select(F.col("query_id").alias("question_id"), "level", "title", "score", F.col("rk").cast("int")))
 
 

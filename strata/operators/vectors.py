@@ -60,65 +60,76 @@ def centroids(vectors: DataFrame, key: str, col: str = "embedding") -> DataFrame
 
 # ------------------------------------------------------------------ exact top-k
 
-def _topk_kernel(bq, k: int, id_col: str, vec_col: str):
+def _topk_kernel(bq, k: int, id_col: str, vec_col: str, group_col: str | None):
     def run(batches):
         qids, qmat = bq.value
         qn = qmat / np.linalg.norm(qmat, axis=1, keepdims=True)
-        best_ids, best_sc = None, None
+        best: dict = {}                                    # group -> (scores, ids), each (q, <=k)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            ids = pdf[id_col].to_numpy(dtype=np.int64)
-            m = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            m = m / np.linalg.norm(m, axis=1, keepdims=True)
-            sc = np.round(qn @ m.T + 1.0, 6)                     # (q, n)
-            allid = np.broadcast_to(ids, sc.shape)
-            if best_ids is not None:
-                sc = np.concatenate([best_sc, sc], axis=1)
-                allid = np.concatenate([best_ids, allid], axis=1)
-            order = np.lexsort((allid, -sc), axis=1)[:, :k]     # score desc, id asc
-            best_sc = np.take_along_axis(sc, order, axis=1)
-            best_ids = np.take_along_axis(allid, order, axis=1)
-        if best_ids is None:
-            return
-        n = best_ids.shape[1]
-        yield pd.DataFrame({"query_id": np.repeat(qids, n), id_col: best_ids.reshape(-1),
-                            "score": best_sc.reshape(-1)})
+            groups = pdf[group_col].to_numpy() if group_col else np.zeros(len(pdf), dtype=object)
+            ids_all = pdf[id_col].to_numpy(dtype=np.int64)
+            m_all = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
+            m_all = m_all / np.linalg.norm(m_all, axis=1, keepdims=True)
+            for gv in pd.unique(groups):
+                sel = groups == gv
+                ids, m = ids_all[sel], m_all[sel]
+                sc = np.round(qn @ m.T + 1.0, 6)           # (q, n)
+                allid = np.broadcast_to(ids, sc.shape)
+                if gv in best:
+                    sc = np.concatenate([best[gv][0], sc], axis=1)
+                    allid = np.concatenate([best[gv][1], allid], axis=1)
+                order = np.lexsort((allid, -sc), axis=1)[:, :k]   # score desc, id asc
+                best[gv] = (np.take_along_axis(sc, order, axis=1), np.take_along_axis(allid, order, axis=1))
+        for gv, (sc, ids) in best.items():
+            n = ids.shape[1]
+            out = {"query_id": np.repeat(qids, n), id_col: ids.reshape(-1), "score": sc.reshape(-1)}
+            if group_col:
+                out[group_col] = gv
+            yield pd.DataFrame(out)
     return run
 
 
 def topk_cosine(corpus: DataFrame, queries: DataFrame, k: int = C.VECTOR_TOP_K,
-                id_col: str = "vec_id", vec_col: str = "embedding",
+                id_col: str = "vec_id", vec_col: str = "embedding", group_col: str | None = None,
                 max_broadcast_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
-    """corpus(id_col, vec_col) x queries(query_id, vector) -> (query_id, id_col, score, rk).
+    """corpus(id_col, vec_col[, group_col]) x queries(query_id, vector)
+    -> (query_id[, group_col], id_col, score, rk): the top k per query (and
+    per group, e.g. per tier, in one pass over the corpus).
 
     score = cosine similarity + 1.0 (rounded to 6 places); ties by id.
     Corpus and queries must be valid (same dim, non-zero)."""
     spark = corpus.sparkSession
-    n_q = queries.count()
-    out_schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()),
-                               T.StructField("score", T.DoubleType())])
-    parts = []
+    fields = [T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()),
+              T.StructField("score", T.DoubleType())]
+    if group_col:
+        fields.append(T.StructField(group_col, corpus.schema[group_col].dataType))
+    out_schema = T.StructType(fields)
     qsorted = queries.select(F.col("query_id").cast("long"), "vector")
-    groups = max(1, -(-n_q // max_broadcast_queries))
-    for g in range(groups):
-        # each group is bounded by max_broadcast_queries rows: safe to collect and broadcast
-        grp = qsorted.where(F.pmod(F.col("query_id"), F.lit(groups)) == g) if groups > 1 else qsorted
-        rows = grp.collect()
-        if not rows:
+    cols = [F.col(id_col).cast("long"), vec_col] + ([group_col] if group_col else [])
+    # size check without a second pass: fetch at most max+1 query rows
+    rows = qsorted.limit(max_broadcast_queries + 1).collect()
+    if len(rows) <= max_broadcast_queries:
+        groups = [rows]
+    else:   # too many to broadcast at once: bounded groups of queries, each broadcast separately
+        n_groups = -(-qsorted.count() // max_broadcast_queries)
+        groups = [qsorted.where(F.pmod(F.col("query_id"), F.lit(n_groups)) == g).collect() for g in range(n_groups)]
+    parts = []
+    for grp in groups:
+        if not grp:
             continue
-        qids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-        qmat = np.array([r["vector"] for r in rows], dtype=np.float64)
+        qids = np.array([r["query_id"] for r in grp], dtype=np.int64)
+        qmat = np.array([r["vector"] for r in grp], dtype=np.float64)
         bq = spark.sparkContext.broadcast((qids, qmat))
-        part = corpus.select(F.col(id_col).cast("long"), vec_col).mapInPandas(
-            _topk_kernel(bq, k, id_col, vec_col), out_schema)
-        parts.append(part)
+        parts.append(corpus.select(*cols).mapInPandas(_topk_kernel(bq, k, id_col, vec_col, group_col), out_schema))
     if not parts:
         return spark.createDataFrame([], out_schema.add("rk", T.IntegerType()))
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col))
+    w = Window.partitionBy("query_id", *([group_col] if group_col else [])).orderBy(F.col("score").desc(),
+                                                                                   F.col(id_col))
     return res.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= k)
 
 
@@ -131,15 +142,27 @@ def text_terms(df: DataFrame, id_col: str, text_col: str, dim: int = EMBED_DIM)
     return words.groupBy(id_col, bucket.alias("bucket")).agg(F.count(F.lit(1)).cast("double").alias("tf"))
 
 
+def _densify(dim: int):
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def densify(buckets: pd.Series, tfs: pd.Series) -> pd.Series:
+        """(bucket ids, term frequencies) -> L2-normalised dense vector, per Arrow batch."""
+        out = []
+        for b, t in zip(buckets, tfs):
+            v = np.zeros(dim)
+            np.add.at(v, np.asarray(b, dtype=np.int64), np.asarray(t, dtype=np.float64))
+            n = np.linalg.norm(v)
+            out.append(v / n if n > 0 else v)
+        return pd.Series(out)
+    return densify
+
+
 def embed_text(df: DataFrame, id_col: str, text_col: str, dim: int = EMBED_DIM) -> DataFrame:
-    """-> (id, embedding array<double>[dim], L2-normalised); empty text -> zero vector dropped."""
+    """-> (id, embedding array<double>[dim], L2-normalised); texts without
+    words produce no row."""
     t = text_terms(df, id_col, text_col, dim)
     # bounded group: at most `dim` buckets per text
-    dense = (t.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "tf"))).alias("m"))
-             .select(id_col, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                                         lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("v")))
-    norm = F.sqrt(F.aggregate(F.transform("v", lambda x: x * x), F.lit(0.0), lambda a, b: a + b))
-    return dense.select(id_col, F.transform("v", lambda x: x / norm).alias("embedding"))
+    sparse = t.groupBy(id_col).agg(F.collect_list("bucket").alias("b"), F.collect_list("tf").alias("tf"))
+    return sparse.select(id_col, _densify(dim)(F.col("b"), F.col("tf")).alias("embedding"))
 
 
 def pca_reduce(vectors: DataFrame, k: int, id_col: str = "vec_id", col: str = "embedding") -> tuple[DataFrame, object]:
@@ -178,10 +201,14 @@ def lsh_topk(corpus: DataFrame, queries: DataFrame, k: int = C.VECTOR_TOP_K, buc
     share a bucket in any table (equi-join on (table, hash)), re-ranked
     exactly.  Scale path for very large corpora."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    unit = lambda c: F.transform(c, lambda x: x / F.sqrt(F.aggregate(
-        F.transform(c, lambda y: y.cast("double") * y.cast("double")), F.lit(0.0), lambda a, b: a + b)))
-    cv = corpus.select(F.col(id_col).alias("cid"), array_to_vector(unit(F.col(vec_col))).alias("x"))
-    qv = queries.select(F.col("query_id").cast("long"), array_to_vector(unit(F.col("vector"))).alias("x"))
+    def unit(df, idc, c):
+        # the norm is its own column: referencing it inside the lambda would
+        # re-evaluate it for every element
+        sq = F.aggregate(F.transform(c, lambda y: y.cast("double") * y.cast("double")), F.lit(0.0), lambda a, b: a + b)
+        d = df.withColumn("_n", F.sqrt(sq))
+        return d.select(idc, array_to_vector(F.transform(c, lambda x: x / F.col("_n"))).alias("x"))
+    cv = unit(corpus.select(F.col(id_col).alias("cid"), vec_col), "cid", F.col(vec_col))
+    qv = unit(queries.select(F.col("query_id").cast("long"), "vector"), "query_id", F.col("vector"))
     lsh = BucketedRandomProjectionLSH(inputCol="x", outputCol="h", bucketLength=bucket_length,
                                       numHashTables=tables, seed=7).fit(cv)
 

@@ -96,8 +96,9 @@ class Ctx:
         from strata.operators import search as S
         return S.global_reduce(self.scores, self.gctx)
 
-    @cached_property
-    def matched(self) -> DataFrame:
+    def match(self) -> DataFrame:
+        """Question -> entity matches; a query-time result, rebuilt (and
+        materialised for reuse inside the query) by every query that needs it."""
         from strata.operators import search as S
         from strata.session import cut_lineage
         return cut_lineage(S.entity_match(self.g.entities, self.questions))

@@ -266,20 +266,20 @@ def answer_prompt(spark, d):
 @register("local_context")
 def local_context(spark, d):
     ctx = SearchCtx(spark, d)
-    return S.local_context(ctx.matched, ctx.reports, ctx.assign, ctx.g.entity_units, ctx.g.pair_rows,
+    return S.local_context(ctx.match(), ctx.reports, ctx.assign, ctx.g.entity_units, ctx.g.pair_rows,
                            ctx.g.units, ctx.g.ranked_relationships, ctx.g.degrees)
 
 
 @register("local_text_unit_rank")
 def local_text_unit_rank(spark, d):
     ctx = SearchCtx(spark, d)
-    return S.local_text_unit_rank(ctx.matched, ctx.g.entity_units, ctx.g.pair_rows)
+    return S.local_text_unit_rank(ctx.match(), ctx.g.entity_units, ctx.g.pair_rows)
 
 
 @register("topk_relationships")
 def topk_relationships(spark, d):
     ctx = SearchCtx(spark, d)
-    return S.local_relationships(ctx.matched, ctx.g.ranked_relationships).select(
+    return S.local_relationships(ctx.match(), ctx.g.ranked_relationships).select(
         "question_id", "level", "id", "source", "target", "rank", F.col("rn").cast("int"), "internal")
 
 

@@ -114,27 +114,20 @@ def _embed_sql(src: str, id_expr: str, text_expr: str, name: str) -> str:
 @register("entity_vector_match", with_ctes(graph_ctes() + [
     _embed_sql("entities", "('0x' || substr(id, 1, 15))::BIGINT", "'\"' || title || '\":' || description", "ev"),
     _embed_sql("benchmark", "item_id", "text", "qv"),
-    """sc AS (SELECT qn.id AS query_id, en.id AS ent_key,
+    """ekey AS (SELECT ('0x' || substr(id, 1, 15))::BIGINT AS ent_key, level, title FROM entities)""",
+    """sc AS (SELECT qn.id AS query_id, k.level, k.title, en.id AS ent_key,
          round(coalesce(d.dot, 0) / (qn.n * en.n) + 1.0, 6) AS score
-  FROM qv_n qn CROSS JOIN ev_n en
+  FROM qv_n qn CROSS JOIN ev_n en JOIN ekey k ON k.ent_key = en.id
   LEFT JOIN (SELECT a.id AS qid, b.id AS eid, sum(a.tf * b.tf) AS dot FROM qv_t a JOIN ev_t b USING (bucket)
              GROUP BY a.id, b.id) d ON d.qid = qn.id AND d.eid = en.id)"""], f"""
-SELECT s.query_id, e.level, e.title, s.score, CAST(s.rk AS INTEGER) AS rk FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ent_key) AS rk FROM sc) s
-JOIN entities e ON ('0x' || substr(e.id, 1, 15))::BIGINT = s.ent_key
-WHERE s.rk <= {C.TOP_K_ENTITIES}"""))
+SELECT query_id AS question_id, level, title, score, CAST(rk AS INTEGER) AS rk FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, level ORDER BY score DESC, ent_key) AS rk FROM sc)
+WHERE rk <= {C.TOP_K_ENTITIES}"""))
 def entity_vector_match(spark, d):
-    """Question -> 10 nearest entity descriptions (embedding of "TITLE":description)."""
+    """Question -> 10 nearest entities of each tier (embedding of "TITLE":description)."""
+    from strata.operators.search import entity_match
     ctx = Ctx(spark, d)
-    ents = ctx.g.entities.select(
-        F.conv(F.substring("id", 1, 15), 16, 10).cast("long").alias("ent_key"), "level", "title",
-        F.concat(F.lit('"'), "title", F.lit('":'), "description").alias("merged"))
-    ev = V.embed_text(ents, "ent_key", "merged")
-    qv = V.embed_text(ctx.t.benchmark, "item_id", "text").select(F.col("item_id").alias("query_id"),
-                                                                   F.col("embedding").alias("vector"))
-    hits = V.topk_cosine(ev.withColumnRenamed("ent_key", "vec_id"), qv, k=C.TOP_K_ENTITIES)
-    return (hits.join(ents.withColumnRenamed("ent_key", "vec_id"), "vec_id")
-            .select("query_id", "level", "title", "score", F.col("rk").cast("int")))
+    return entity_match(ctx.g.entities, ctx.questions)
 
 
 @register("embed_text")
