@@ -37,6 +37,7 @@ def build_session(master: str | None = None, app: str = "strata",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.optimizer.windowGroupLimitThreshold": "20000",
         "spark.sql.adaptive.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
