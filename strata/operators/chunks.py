@@ -58,4 +58,5 @@ def truncate_tokens(col, n: int = C.EMBED_TRUNCATE):
 
 def text_units(documents: DataFrame) -> DataFrame:
     """Tiered documents -> text units (id, doc_id, level, chunk_ix, text, n_tokens)."""
-    return token_chunks(with_tier(documents))
+    from strata.sources.tables import spread_small
+    return token_chunks(with_tier(spread_small(documents.select("doc_id", "text"))))

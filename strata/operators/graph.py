@@ -25,12 +25,16 @@ from strata.operators import chunks, extract
 from strata.session import cut_lineage
 
 
-def sorted_summary(df: DataFrame, keys: list[str], text_col: str = "description",
+def distinct_texts(df: DataFrame, keys: list[str], text_col: str = "description") -> DataFrame:
+    return df.select(*keys, text_col).where(F.col(text_col).isNotNull() & (F.col(text_col) != "")).distinct()
+
+
+def sorted_summary(d: DataFrame, keys: list[str], text_col: str = "description",
                    cap: int = C.SUMMARY_CAP) -> DataFrame:
-    """Distinct texts per key, sorted, concatenated while the running token
-    sum stays within ``cap`` (the first text is always kept).  Also returns
-    the number of distinct texts."""
-    d = df.select(*keys, text_col).where(F.col(text_col).isNotNull() & (F.col(text_col) != "")).distinct()
+    """From distinct texts per key: sorted, concatenated while the running
+    token sum stays within ``cap`` (the first text is always kept).  Each
+    text has >= 1 token, so at most ``cap`` rows per key are ever sorted
+    after the shuffle (row_number limit, planned as a partial group limit)."""
     w = Window.partitionBy(*keys).orderBy(text_col)
     ranked = d.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= cap)
     ranked = ranked.withColumn("tok", token_count(F.col(text_col)))
@@ -89,13 +93,14 @@ class GraphIndex:
 
     @cached_property
     def entities(self) -> DataFrame:
-        ue = self.unit_entities.join(self.qualified.select("level", "title"), ["level", "title"], "left_semi")
-        summ = sorted_summary(ue, ["level", "title"])
-        ndesc = distinct_counts(ue, ["level", "title"], "description", "n_descriptions")
-        nunits = distinct_counts(ue, ["level", "title"], "unit_id", "n_units")
-        typ = ue.groupBy("level", "title").agg(F.min("type").alias("type"))
-        base = self.qualified.join(typ, ["level", "title"]).join(nunits, ["level", "title"]) \
-            .join(ndesc, ["level", "title"]).join(summ, ["level", "title"], "left")
+        keys = ["level", "title"]
+        ue = self.unit_entities.join(self.qualified.select(*keys), keys, "left_semi")
+        # unit_entities has one row per (unit, title): unit count = row count
+        agg = ue.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_units"), F.min("type").alias("type"))
+        d = distinct_texts(ue, keys)
+        ndesc = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_descriptions"))
+        base = self.qualified.join(agg, keys).join(ndesc, keys, "left").join(sorted_summary(d, keys), keys, "left") \
+            .fillna(0, ["n_descriptions"])
         return self._m(base.select(
             "level", F.md5(F.concat_ws("|", "level", "title")).alias("id"), "title", "type",
             F.coalesce("summary", F.lit("")).alias("description"),
@@ -113,10 +118,10 @@ class GraphIndex:
     def relationships(self) -> DataFrame:
         r = self.pair_rows
         keys = ["level", "source", "target"]
-        w = r.groupBy(*keys).agg(F.sum("strength").cast("double").alias("weight"))
-        nunits = distinct_counts(r, keys, "unit_id", "n_units")
-        summ = sorted_summary(r, keys)
-        out = w.join(nunits, keys).join(summ, keys, "left")
+        # pair_rows has one row per (unit, pair): unit count = row count
+        w = r.groupBy(*keys).agg(F.sum("strength").cast("double").alias("weight"),
+                                 F.count(F.lit(1)).alias("n_units"))
+        out = w.join(sorted_summary(distinct_texts(r, keys), keys), keys, "left")
         return self._m(out.select(
             "level", F.md5(F.concat_ws("|", "level", "source", "target")).alias("id"),
             "source", "target", F.coalesce("summary", F.lit("")).alias("description"),

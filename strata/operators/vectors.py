@@ -60,6 +60,11 @@ def centroids(vectors: DataFrame, key: str, col: str = "embedding") -> DataFrame
 
 # ------------------------------------------------------------------ exact top-k
 
+class _Held:
+    def __init__(self, value):
+        self.value = value
+
+
 def _topk_kernel(bq, k: int, id_col: str, vec_col: str, group_col: str | None):
     def run(batches):
         qids, qmat = bq.value
@@ -121,7 +126,11 @@ def topk_cosine(corpus: DataFrame, queries: DataFrame, k: int = C.VECTOR_TOP_K,
             continue
         qids = np.array([r["query_id"] for r in grp], dtype=np.int64)
         qmat = np.array([r["vector"] for r in grp], dtype=np.float64)
-        bq = spark.sparkContext.broadcast((qids, qmat))
+        from strata.session import _context
+        sc = _context(spark)
+        # bounded (checked above): broadcast once per executor; on a session
+        # without a SparkContext the matrix ships inside the function closure
+        bq = sc.broadcast((qids, qmat)) if sc is not None else _Held((qids, qmat))
         parts.append(corpus.select(*cols).mapInPandas(_topk_kernel(bq, k, id_col, vec_col, group_col), out_schema))
     if not parts:
         return spark.createDataFrame([], out_schema.add("rk", T.IntegerType()))

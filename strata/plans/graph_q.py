@@ -33,7 +33,8 @@ SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_ix, document_text FROM (
       ELSE [text] END AS parts
     FROM (SELECT doc_id, text, regexp_extract_all(text, {WS}) AS toks FROM documents)))""")
 def q_word_chunks(spark, d):
-    return word_chunks(Ctx(spark, d).t.documents)
+    from strata.sources.tables import spread_small
+    return word_chunks(spread_small(Ctx(spark, d).t.documents))
 
 
 @register("chunk_group_concat", with_ctes(U, """

@@ -74,7 +74,8 @@ SELECT page_id, regexp_replace(regexp_replace(
   {STRIP}, '', 'g'), '\n[ \t\n\r\f]*\n', chr(10) || chr(10), 'g') AS text
 FROM pages""")
 def q_html_to_text(spark, d):
-    return Ctx(spark, d).t.pages.select("page_id", html_to_text(F.col("html")).alias("text"))
+    from strata.sources.tables import spread_small
+    return spread_small(Ctx(spark, d).t.pages).select("page_id", html_to_text(F.col("html")).alias("text"))
 
 
 @register("path_parts", f"""

@@ -39,7 +39,9 @@ class Ctx:
     sf_dir: str
 
     def __new__(cls, spark=None, sf_dir=None):
-        key = (spark.sparkContext.applicationId, sf_dir)
+        from strata.session import _context
+        sc = _context(spark)
+        key = (sc.applicationId if sc is not None else id(spark), sf_dir)
         obj = _CTX_CACHE.get(key)
         if obj is None:
             obj = super().__new__(cls)

@@ -71,22 +71,27 @@ def community_context(spark, d):
 
 
 @register("first_appearance_rank", with_ctes(GC + [
-    """ctx_e AS (SELECT DISTINCT a.level, a.cluster_level, a.community, r.id, r.source, r.target, r.rank
+    """ctx_e AS (SELECT DISTINCT a.level, a.cluster_level, a.community, r.id, r.source, r.target, r.description, r.rank
   FROM ranked_relationships r JOIN assign a ON r.level = a.level AND (r.source = a.title OR r.target = a.title))""",
-    """ctx_n AS (SELECT *, row_number() OVER (PARTITION BY level, cluster_level, community ORDER BY rank DESC, id) AS rn
-  FROM ctx_e)""",
+    """ctx_r AS (SELECT *, len(regexp_extract_all(concat_ws(',',
+      '"' || replace(substr(id, 1, 8), '"', '""') || '"', '"' || replace(source, '"', '""') || '"',
+      '"' || replace(target, '"', '""') || '"', '"' || replace(description, '"', '""') || '"',
+      CAST(rank AS VARCHAR)), '[^ \t\n\r\f]+')) AS tokens FROM ctx_e)""",
+    f"""ctx_n AS (SELECT * FROM (
+  SELECT *, row_number() OVER w AS rn, sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+  FROM ctx_r WINDOW w AS (PARTITION BY level, cluster_level, community ORDER BY rank DESC, id))
+  WHERE cum <= {C.REPORT_BUDGET})""",
     """ends AS (SELECT level, cluster_level, community, rn, source AS title FROM ctx_n
   UNION ALL SELECT level, cluster_level, community, rn, target FROM ctx_n)"""], """
-SELECT a.level, CAST(a.cluster_level AS INTEGER) AS cluster_level, a.community, a.title, min(e.rn) AS first_rn
+SELECT a.level, CAST(a.cluster_level AS INTEGER) AS cluster_level, a.community, a.title, CAST(min(e.rn) AS INTEGER) AS first_rn
 FROM assign a JOIN ends e ON a.level = e.level AND a.cluster_level = e.cluster_level
   AND a.community = e.community AND a.title = e.title
 GROUP BY a.level, a.cluster_level, a.community, a.title"""))
 def first_appearance_rank(spark, d):
-    """Members in order of first appearance in the ranked edge list (whole
-    list: the report-budget cut is applied with a budget above its size)."""
+    """Members in order of first appearance in the ranked, budgeted edge list."""
     ctx = Ctx(spark, d)
-    full = R.community_context(ctx.assign, ctx.g.ranked_relationships, budget=10 ** 9)
-    fa = R.first_appearance(full, ctx.assign)
+    context = R.community_context(ctx.assign, ctx.g.ranked_relationships)
+    fa = R.first_appearance(context, ctx.assign)
     return fa.select("level", "cluster_level", "community", "title", F.col("first_rn").cast("int").alias("first_rn"))
 
 
@@ -96,8 +101,11 @@ def community_context_rollup(spark, d):
     largest children are replaced by their report text (child reports
     counted in tokens), walking from the finest level up."""
     ctx = Ctx(spark, d)
-    full = R.community_context(ctx.assign, ctx.g.ranked_relationships, budget=10 ** 9)
-    need = full.groupBy("level", "cluster_level", "community").agg(F.max("cum_tokens").alias("own_tokens"))
+    from strata.functions.text import token_count
+    touch = R.touching_edges(ctx.assign, ctx.g.ranked_relationships)
+    # own context size = total tokens of all touching edge rows: a combinable sum
+    need = (touch.withColumn("tokens", token_count(R.edge_csv(touch)))
+            .groupBy("level", "cluster_level", "community").agg(F.sum("tokens").alias("own_tokens")))
     rep = ctx.reports.select("level", F.col("cluster_level").cast("int").alias("cl"), F.col("community").alias("child"),
                              F.size(F.split("full_content", "[ \t\n\r\f]+")).alias("child_tokens"), "size")
     parents = ctx.assign.select("level", F.col("cluster_level").cast("int").alias("cl"),
@@ -109,7 +117,7 @@ def community_context_rollup(spark, d):
     from pyspark.sql import Window
     w = Window.partitionBy("level", "parent").orderBy(F.col("size").desc(), F.col("child"))
     sub = cand.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= C.REPORT_BUDGET)
-    sub = sub.withColumn("cum", F.sum("child_tokens").over(w.rowsBetween(-(10 ** 9), 0)))
+    sub = sub.withColumn("cum", F.sum("child_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return sub.where(F.col("cum") <= C.REPORT_BUDGET).select("level", "parent", "child", "child_tokens", "cum")
 
 

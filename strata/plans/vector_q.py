@@ -132,7 +132,8 @@ def entity_vector_match(spark, d):
 
 @register("embed_text")
 def embed_text(spark, d):
-    docs = Ctx(spark, d).t.documents
+    from strata.sources.tables import spread_small
+    docs = spread_small(Ctx(spark, d).t.documents)
     e = V.embed_text(docs, "doc_id", "text")
     return e.select("doc_id", F.size("embedding").alias("dim"),
                     F.round(F.aggregate("embedding", F.lit(0.0), lambda a, b: a + b * b), 6).alias("norm2"))
@@ -141,7 +142,8 @@ def embed_text(spark, d):
 @register("embed_corpus")
 def embed_corpus(spark, d):
     """documents -> word chunks -> vectors (the directory-embedding job)."""
-    ch = word_chunks(Ctx(spark, d).t.documents)
+    from strata.sources.tables import spread_small
+    ch = word_chunks(spread_small(Ctx(spark, d).t.documents))
     ch = ch.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("chunk_ix"))
     e = V.embed_text(ch, "chunk_id", "document_text")
     return ch.join(e, "chunk_id").select("doc_id", "chunk_ix", "document_text", "embedding")

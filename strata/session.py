@@ -55,7 +55,15 @@ def build_session(master: str | None = None, app: str = "strata",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.conf.get("spark.master", "local").startswith("local")
+
+
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - connect sessions expose no SparkContext
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -64,7 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
     *and* the session is local (tests) a private temp folder is used.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:      # remote session: the server's configured checkpoint dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -7,24 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.schemas import INPUT_TABLES
 
 
-# text tables: CPU-heavy per byte (regex tokenisation, extraction, HTML)
-TEXT_TABLES = ("documents", "pages", "conversations")
-
-
 def spread_small(df: DataFrame) -> DataFrame:
-    """A text table stored in fewer files than there are cores (e.g. one
-    file with one row group) would be tokenised by a single task: spread it
-    round-robin.  Inputs with at least one file per core keep their file
-    splits (no shuffle of the raw corpus at scale)."""
-    par = df.sparkSession.sparkContext.defaultParallelism
+    """Applied before CPU-heavy per-row text work (tokenising, extraction,
+    HTML, embedding): a table stored in fewer files than there are cores
+    (e.g. one file with one row group) would be processed by a single task,
+    so it is spread round-robin.  Inputs with at least one file per core
+    keep their file splits (no shuffle of the raw corpus at scale)."""
+    if df.isStreaming:          # micro-batches are bounded by maxFilesPerTrigger
+        return df
+    from strata.session import _context
+    sc = _context(df.sparkSession)
+    par = sc.defaultParallelism if sc is not None else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if len(df.inputFiles()) < par:
         return df.repartition(par)
     return df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.schema(INPUT_TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small(df) if name in TEXT_TABLES else df
+    return spark.read.schema(INPUT_TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_optional(spark: SparkSession, path: str, schema) -> DataFrame:
