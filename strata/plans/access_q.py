@@ -115,7 +115,7 @@ def history_window(spark, d):
 
 
 @register("history_budget", f"""
-SELECT conv_id, turn, cum_tokens FROM (
+SELECT conv_id, turn, CAST(cum_tokens AS BIGINT) AS cum_tokens FROM (
   SELECT conv_id, turn, sum({ntok('text')}) OVER (PARTITION BY conv_id ORDER BY turn
          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tokens,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn
@@ -164,7 +164,7 @@ def run_stats_report(spark, d):
 
 
 @register("map_ops", """
-SELECT event_type, key, sum(val) AS total, count(*) AS n FROM (
+SELECT event_type, key, CAST(sum(val) AS BIGINT) AS total, count(*) AS n FROM (
   SELECT event_type, unnest(map_keys(m)) AS key, unnest(map_values(m)) AS val FROM (
     SELECT event_type, CAST(json(props) AS MAP(VARCHAR, BIGINT)) AS m FROM events))
 GROUP BY event_type, key""")

@@ -251,7 +251,7 @@ LOG_RE = "perf - llm\\.chat ([a-z]+) \"Process\" took ([0-9.]+)\\. input_tokens=
 
 @register("run_log_metrics", f"""
 SELECT kind, count(*) AS n_calls, round(sum(seconds), 6) AS total_seconds, round(max(seconds), 6) AS max_seconds,
-       sum(input_tokens) AS input_tokens
+       CAST(sum(input_tokens) AS BIGINT) AS input_tokens
 FROM (SELECT regexp_extract(line, {q(LOG_RE)}, 1) AS kind,
              CAST(regexp_extract(line, {q(LOG_RE)}, 2) AS DOUBLE) AS seconds,
              CAST(regexp_extract(line, {q(LOG_RE)}, 3) AS BIGINT) AS input_tokens
