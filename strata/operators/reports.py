@@ -110,3 +110,36 @@ def community_reports(nodes: DataFrame, ranked_rels: DataFrame, entity_units: Da
     return rep.select("level", "cluster_level", "community", "title", "summary", "rating", "rating_explanation",
                       "findings", "size", "n_edges", "n_units", content.alias("full_content"),
                       F.to_json(F.struct("title", "summary", "rating", "rating_explanation", "findings")).alias("json"))
+
+
+def parse_report_json(df: DataFrame, col: str = "json") -> DataFrame:
+    """Report JSON -> struct columns + ``valid``.  PERMISSIVE parsing: a
+    malformed document lands in the corrupt-record column; a rating outside
+    0..10 is also invalid (quarantine = ``valid = false``)."""
+    from pyspark.sql import types as T
+    from strata.schemas import REPORT_JSON
+    # a new StructType: StructType.add would mutate the shared schema
+    schema = T.StructType(REPORT_JSON.fields + [T.StructField("_corrupt", T.StringType())])
+    p = df.withColumn("_j", F.from_json(col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    valid = (F.col("_j._corrupt").isNull() & F.col("_j.title").isNotNull()
+             & F.coalesce(F.col("_j.rating").between(0, 10), F.lit(False)))
+    return p.select(*[c for c in df.columns if c != col], F.col("_j.title").alias("title"),
+                    F.col("_j.summary").alias("summary"), F.col("_j.rating").alias("rating"),
+                    F.col("_j.rating_explanation").alias("rating_explanation"),
+                    F.col("_j.findings").alias("findings"), valid.alias("valid"))
+
+
+GROUNDING_RE = "Entities \\(([^)]*)\\)"
+
+
+def grounding_refs(df: DataFrame, text_col: str, known_ids: DataFrame, key: str) -> DataFrame:
+    """``[Data: Entities (id, ...)]`` references -> (key, n_ids, too_many,
+    n_missing): more than 5 ids and ids absent from ``known_ids(sid)`` flagged."""
+    ids = F.split(F.regexp_extract(text_col, GROUNDING_RE, 1), ", ")
+    parsed = df.select(key, F.filter(ids, lambda x: x != "").alias("ids"))
+    missing = (parsed.select(key, F.explode("ids").alias("sid")).join(known_ids.select("sid").distinct(), "sid",
+                                                                     "left_anti")
+               .groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+    return (parsed.join(missing, key, "left")
+            .select(key, F.size("ids").alias("n_ids"), (F.size("ids") > 5).alias("too_many"),
+                    F.coalesce("n", F.lit(0)).cast("long").alias("n_missing")))

@@ -204,7 +204,9 @@ def table_read(spark, d):
     from strata.sources.tables import read_optional
     ctx = Ctx(spark, d)
     path = emit(ctx.g.entities, scratch_path(spark, "entities"), ("level",))
-    schema = ENTITIES.add("n_docs", "long").add("n_descriptions", "long")
+    from pyspark.sql import types as T
+    schema = T.StructType(ENTITIES.fields + [T.StructField("n_docs", T.LongType()),
+                                             T.StructField("n_descriptions", T.LongType())])
     df = read_optional(spark, path, schema)
     return df.where(F.col("level") == "admin").select("title", "n_docs")
 

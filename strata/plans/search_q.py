@@ -40,17 +40,10 @@ def community_reports(spark, d):
 SELECT community, title, rating, CAST(n_findings AS INTEGER) AS n_findings, rating_explanation,
        rating BETWEEN 0 AND 10 AS valid FROM reports"""))
 def parse_reports_json(spark, d):
-    """Report JSON -> struct (PERMISSIVE; malformed rows land in the corrupt
-    column and are flagged invalid, like out-of-range ratings)."""
-    from strata.schemas import REPORT_JSON
-    r = Ctx(spark, d).reports.select("community", "json")
-    schema = REPORT_JSON.add("_corrupt", "string")
-    p = r.select("community", F.from_json("json", schema, {"mode": "PERMISSIVE",
-                                                          "columnNameOfCorruptRecord": "_corrupt"}).alias("j"))
-    valid = F.col("j._corrupt").isNull() & F.col("j.rating").between(0, 10)
-    return p.select("community", F.col("j.title").alias("title"), F.col("j.rating").alias("rating"),
-                    F.size("j.findings").alias("n_findings"), F.col("j.rating_explanation").alias("rating_explanation"),
-                    valid.alias("valid"))
+    """Report JSON -> struct (PERMISSIVE; malformed or out-of-range -> invalid)."""
+    r = R.parse_report_json(Ctx(spark, d).reports.select("community", "json"))
+    return r.select("community", "title", "rating", F.size("findings").alias("n_findings"), "rating_explanation",
+                    "valid")
 
 
 @register("community_context", with_ctes(GC + [
@@ -145,13 +138,8 @@ def grounding_refs(spark, d):
            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rk", "sid"))), lambda x: x["sid"]),
                              ", ").alias("ids")))
     refs = top.select("community", F.concat(F.lit("[Data: Entities ("), "ids", F.lit(")]")).alias("ref"))
-    parsed = refs.select("community", F.split(F.regexp_extract("ref", r"Entities \(([^)]*)\)", 1), ", ").alias("ids"))
-    known = ctx.g.entities.select(F.substring("id", 1, 8).alias("sid")).distinct()
-    missing = (parsed.select("community", F.explode("ids").alias("sid")).join(known, "sid", "left_anti")
-               .groupBy("community").agg(F.count(F.lit(1)).alias("n")))
-    return (parsed.join(missing, "community", "left")
-            .select("community", F.size("ids").alias("n_ids"), (F.size("ids") > 5).alias("too_many"),
-                    F.coalesce("n", F.lit(0)).cast("long").alias("n_missing")))
+    known = ctx.g.entities.select(F.substring("id", 1, 8).alias("sid"))
+    return R.grounding_refs(refs, "ref", known, "community")
 
 
 # ---------------------------------------------------------------- global search
