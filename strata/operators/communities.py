@@ -10,8 +10,9 @@ level bound how far a label travels, which is what makes the split finer.
 One round = join adjacency to neighbour labels + two combinable aggregates
 (sum of weight per (node, label); min of struct(-score, label) per node).
 Both aggregates are partial (map-side) so a hub node's vote never lands as
-one unbounded group; the adjacency join on a hub key is a skewed join that
-AQE splits.  Each level is cut with a reliable checkpoint.
+one unbounded group; the adjacency join on a hub key is salted (the hub's
+label row is replicated over the salt buckets), and AQE's skew-join split
+stays on as a second line.  Each level is cut with a reliable checkpoint.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import config as C
+from strata.operators.windows import salted_join
 from strata.session import cut_lineage
 
 
@@ -35,7 +37,8 @@ def propagate(adj: DataFrame, labels: DataFrame, rounds: int) -> DataFrame:
     """labels(level, node, label) -> labels after ``rounds`` synchronous rounds.
     Ties go to the smallest label; the own label votes with the self-loop."""
     for _ in range(rounds):
-        votes = (adj.join(labels.withColumnRenamed("node", "nbr"), ["level", "nbr"])
+        # a hub is the `nbr` of every neighbour's adjacency row: salted join
+        votes = (salted_join(adj, labels.withColumnRenamed("node", "nbr"), ["level", "nbr"], ["node"])
                  .groupBy("level", "node", "label").agg(F.sum("w").alias("s")))
         best = votes.groupBy("level", "node").agg(
             F.min(F.struct((-F.col("s")).alias("ns"), F.col("label").alias("label"))).alias("b"))

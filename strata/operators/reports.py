@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata import config as C
 from strata.functions.text import csv_field, token_count
+from strata.operators.windows import salted_join
 
 CKEYS = ["level", "cluster_level", "community"]
 N_FINDINGS = 5
@@ -22,7 +23,9 @@ def internal_edges(assign: DataFrame, rels: DataFrame) -> DataFrame:
     """Edges whose two endpoints sit in the same community (per cluster level)."""
     s = assign.select("level", F.col("title").alias("source"), "cluster_level", F.col("community").alias("cs"))
     t = assign.select("level", F.col("title").alias("target"), "cluster_level", F.col("community").alias("ct"))
-    return (rels.join(s, ["level", "source"]).join(t, ["level", "target", "cluster_level"])
+    # hub endpoints: salted joins spread one entity's edges over several reducers
+    j = salted_join(rels, s, ["level", "source"], ["id"])
+    return (salted_join(j, t, ["level", "target", "cluster_level"], ["id"])
             .where(F.col("cs") == F.col("ct")).withColumnRenamed("cs", "community").drop("ct"))
 
 
@@ -30,8 +33,8 @@ def touching_edges(assign: DataFrame, rels: DataFrame) -> DataFrame:
     """Edges with at least one endpoint in the community: source side union
     target side, an internal edge counted once."""
     a = assign.select("level", "title", "cluster_level", "community")
-    src = rels.join(a.withColumnRenamed("title", "source"), ["level", "source"])
-    tgt = rels.join(a.withColumnRenamed("title", "target"), ["level", "target"])
+    src = salted_join(rels, a.withColumnRenamed("title", "source"), ["level", "source"], ["id"])
+    tgt = salted_join(rels, a.withColumnRenamed("title", "target"), ["level", "target"], ["id"])
     return src.unionByName(tgt).dropDuplicates(CKEYS + ["id"])
 
 

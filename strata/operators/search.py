@@ -49,11 +49,13 @@ def shuffle_key(col: str, seed: str = C.SHUFFLE_SEED) -> F.Column:
 def global_context(reports: DataFrame, assign: DataFrame, min_rank: float = C.MIN_COMMUNITY_RANK) -> DataFrame:
     """Report rows for the map stage: level <= 2, rank >= min, occurrence
     weight, seeded shuffle order inside (tier, shard), CSV row and tokens."""
+    from strata.operators.windows import pack_shards
     r = occurrence_weight(reports_at_level(reports, assign)).where(F.col("rating") >= min_rank)
+    n_shards = pack_shards(r)
     row = F.concat_ws("|", F.substring("community", 1, 8), "title",
                       F.format_string("%.6f", "occurrence_weight"), "full_content",
                       F.format_string("%.2f", "rating"))
-    return (r.withColumn("shard", shard_of("community").cast("int"))
+    return (r.withColumn("shard", shard_of("community", n_shards).cast("int"))
             .withColumn("shuffle_key", shuffle_key("community"))
             .withColumn("row", row).withColumn("tokens", token_count(F.col("row"))))
 

@@ -53,10 +53,23 @@ def budget_prefix(df: DataFrame, part: list[str], order: list[Column], tokens_co
 
 def count_batches(df: DataFrame, id_col: str, size: int = C.EMBED_BATCH_SIZE, shards: int = C.PACK_SHARDS,
                   part: tuple[str, ...] = ()) -> DataFrame:
-    """batch = floor((row_number - 1) / size) within (part, shard) by id."""
+    """batch = floor((row_number - 1) / size) within (part, shard) by id.
+
+    The row number inside a group is a global number (range-partitioned
+    sort) minus the group's first number (a combinable min), so a large
+    shard is never numbered by one task."""
     d = df.withColumn("shard", shard_of(id_col, shards))
-    w = Window.partitionBy(*part, "shard").orderBy(id_col)
-    return d.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    keys = [*part, "shard"]
+    n = global_row_number(d, [F.col(k) for k in keys] + [F.col(id_col)], "_g")
+    first = n.groupBy(*keys).agg(F.min("_g").alias("_g0"))
+    return (n.join(first, keys)
+            .withColumn("batch", F.floor((F.col("_g") - F.col("_g0")) / size).cast("int")).drop("_g", "_g0"))
+
+
+def pack_shards(df: DataFrame, rows_per_shard: int = C.PACK_ROWS_PER_SHARD, minimum: int = C.PACK_SHARDS) -> int:
+    """Shard count for order-dependent packing: grows with the row count so a
+    shard (one ``applyInPandas`` group) stays bounded."""
+    return max(minimum, -(-df.count() // rows_per_shard))
 
 
 def greedy_pack(df: DataFrame, part: list[str], order_col: str, tokens_col: str, budget: int,
@@ -84,3 +97,15 @@ def greedy_pack(df: DataFrame, part: list[str], order_col: str, tokens_col: str,
         return out
 
     return df.groupBy(*keys).applyInPandas(pack, schema)
+
+
+def salted_join(big: DataFrame, small: DataFrame, on: list[str], salt_cols: list[str],
+                buckets: int = C.SKEW_SALT_BUCKETS, how: str = "inner") -> DataFrame:
+    """Equi-join where one key of ``big`` may hold a large share of its rows
+    (a hub entity).  ``big`` rows get a salt from a hash of ``salt_cols``;
+    ``small`` (one or few rows per key) is replicated once per salt value,
+    so a hot key is spread over ``buckets`` reducers instead of one.
+    Results are identical to ``big.join(small, on, how)``."""
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(buckets)))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return b.join(s, on + ["_salt"], how).drop("_salt")
