@@ -9,12 +9,13 @@ from strata.operators import reports as R
 from strata.operators import search as S
 from strata.operators.windows import greedy_pack
 from strata.plans.registry import Ctx, register
-from strata.plans.sqlgen import (clearance_values, community_ctes, graph_ctes, report_ctes, search_ctes,
-                                 with_ctes)
+from strata.plans.sqlgen import (clearance_values, community_ctes, entity_match_ctes, graph_ctes, local_ctes,
+                                 report_ctes, search_ctes, with_ctes)
 
 GC = graph_ctes() + community_ctes()
 GR = GC + report_ctes()
 GS = GR + search_ctes()
+GL = GR + entity_match_ctes() + local_ctes()
 
 
 def clearance_df(spark):
@@ -194,7 +195,19 @@ def global_context(spark, d):
                     "occurrence_weight", "rating", F.col("tokens").cast("int"))
 
 
-@register("batch_ids_by_tokens")
+@register("batch_ids_by_tokens", with_ctes(GS + [
+    """ord AS (SELECT level, shard, community, tokens,
+  row_number() OVER (PARTITION BY level, shard ORDER BY shuffle_key, community) AS rn FROM gctx)""",
+    f"""pack(level, shard, rn, community, tokens, batch, used) AS (
+  SELECT level, shard, rn, community, tokens, 0, tokens FROM ord WHERE rn = 1
+  UNION ALL
+  SELECT o.level, o.shard, o.rn, o.community, o.tokens,
+         CASE WHEN p.used + o.tokens > {C.SEARCH_BUDGET} THEN p.batch + 1 ELSE p.batch END,
+         CASE WHEN p.used + o.tokens > {C.SEARCH_BUDGET} THEN o.tokens ELSE p.used + o.tokens END
+  FROM pack p JOIN ord o ON o.level = p.level AND o.shard = p.shard AND o.rn = p.rn + 1)"""], """
+SELECT level, shard, community, CAST(batch AS INTEGER) AS batch,
+       CAST(sum(tokens) OVER (PARTITION BY level, shard, batch) AS BIGINT) AS batch_tokens FROM pack""",
+    recursive=True))
 def batch_ids_by_tokens(spark, d):
     """Greedy <= 12000-token batches of the shuffled report rows, exact per
     (tier, shard) group; groups are bounded by the shard count."""
@@ -259,20 +272,24 @@ def answer_prompt(spark, d):
 
 # ---------------------------------------------------------------- local search
 
-@register("local_context")
+@register("local_context", with_ctes(GL, """
+SELECT question_id, level, section, item, CAST(rn AS INTEGER) AS rn, tokens, CAST(cum_tokens AS BIGINT) AS cum_tokens
+FROM lctx"""))
 def local_context(spark, d):
     ctx = SearchCtx(spark, d)
     return S.local_context(ctx.match(), ctx.reports, ctx.assign, ctx.g.entity_units, ctx.g.pair_rows,
                            ctx.g.units, ctx.g.ranked_relationships, ctx.g.degrees)
 
 
-@register("local_text_unit_rank")
+@register("local_text_unit_rank", with_ctes(GL, """
+SELECT question_id, level, unit_id, entity_rk, CAST(n_rels AS BIGINT) AS n_rels FROM lunits"""))
 def local_text_unit_rank(spark, d):
     ctx = SearchCtx(spark, d)
     return S.local_text_unit_rank(ctx.match(), ctx.g.entity_units, ctx.g.pair_rows)
 
 
-@register("topk_relationships")
+@register("topk_relationships", with_ctes(GL, """
+SELECT question_id, level, id, source, target, rank, CAST(rn AS INTEGER) AS rn, ends = 2 AS internal FROM lrels"""))
 def topk_relationships(spark, d):
     ctx = SearchCtx(spark, d)
     return S.local_relationships(ctx.match(), ctx.g.ranked_relationships).select(

@@ -182,8 +182,8 @@ def community_ctes(rounds=C.LPA_ROUNDS, max_size: int = C.MAX_CLUSTER_SIZE) -> l
     return out
 
 
-def with_ctes(ctes: list[str], body: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+def with_ctes(ctes: list[str], body: str, recursive: bool = False) -> str:
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n" + body
 
 
 def report_ctes(max_level: int = C.QUERY_COMMUNITY_LEVEL) -> list[str]:
@@ -262,3 +262,77 @@ def search_ctes() -> list[str]:
 def clearance_values(alias: str = "clearance") -> str:
     rows = ", ".join(f"('{u}', '{t}')" for u, ts in C.CLEARANCE.items() for t in ts)
     return f"(VALUES {rows}) AS {alias}(user_level, level)"
+
+
+def embed_sql(src: str, id_expr: str, text_expr: str, name: str) -> str:
+    """Hashed term frequencies (sparse) and their norms, as two CTEs."""
+    from strata.operators.vectors import EMBED_DIM, EMBED_WORD_RE
+    return f"""{name}_t AS (
+  SELECT id, (('0x' || substr(md5(w), 1, 8))::BIGINT % {EMBED_DIM}) AS bucket, CAST(count(*) AS DOUBLE) AS tf
+  FROM (SELECT {id_expr} AS id, unnest(regexp_extract_all(lower({text_expr}), {q(EMBED_WORD_RE)})) AS w FROM {src})
+  GROUP BY id, bucket),
+{name}_n AS (SELECT id, sqrt(sum(tf * tf)) AS n FROM {name}_t GROUP BY id)"""
+
+
+def entity_match_ctes(k: int = C.TOP_K_ENTITIES) -> list[str]:
+    """ematch(question_id, level, title, score, rk): per (question, tier)
+    the k nearest entities, by a sparse dot product on shared buckets."""
+    return [
+        embed_sql("entities", "('0x' || substr(id, 1, 15))::BIGINT", "'\"' || title || '\":' || description", "ev"),
+        embed_sql("benchmark", "item_id", "text", "qv"),
+        "ekey AS (SELECT ('0x' || substr(id, 1, 15))::BIGINT AS ent_key, level, title FROM entities)",
+        """sc AS (SELECT qn.id AS query_id, k.level, k.title, en.id AS ent_key,
+         round(coalesce(d.dot, 0) / (qn.n * en.n) + 1.0, 6) AS score
+  FROM qv_n qn CROSS JOIN ev_n en JOIN ekey k ON k.ent_key = en.id
+  LEFT JOIN (SELECT a.id AS qid, b.id AS eid, sum(a.tf * b.tf) AS dot FROM qv_t a JOIN ev_t b USING (bucket)
+             GROUP BY a.id, b.id) d ON d.qid = qn.id AND d.eid = en.id)""",
+        f"""ematch AS (SELECT query_id AS question_id, level, title, score, CAST(rk AS INTEGER) AS rk FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, level ORDER BY score DESC, ent_key) AS rk FROM sc)
+  WHERE rk <= {k})""",
+    ]
+
+
+def local_ctes() -> list[str]:
+    """Local search sections (mirror of strata.operators.search.local_context)."""
+    b_rep = int(C.SEARCH_BUDGET * C.COMMUNITY_PROP)
+    b_unit = int(C.SEARCH_BUDGET * C.TEXT_UNIT_PROP)
+    b_rest = int(C.SEARCH_BUDGET * (1 - C.COMMUNITY_PROP - C.TEXT_UNIT_PROP))
+    return [
+        """touch AS (SELECT m.question_id, r.level, r.id, r.source, r.target, r.rank, r.weight, count(*) AS ends
+  FROM ranked_relationships r JOIN ematch m ON r.level = m.level AND (r.source = m.title OR r.target = m.title)
+  GROUP BY m.question_id, r.level, r.id, r.source, r.target, r.rank, r.weight)""",
+        f"""lrels AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id, level
+  ORDER BY ends DESC, rank DESC, id) AS rn FROM touch) WHERE rn <= {C.TOP_K_RELATIONSHIPS})""",
+        """lunits AS (SELECT u.question_id, u.level, u.unit_id, u.entity_rk, coalesce(r.n_rels, 0) AS n_rels FROM
+  (SELECT m.question_id, q.level, q.unit_id, min(m.rk) AS entity_rk FROM q_unit_ents q
+   JOIN ematch m ON q.level = m.level AND q.title = m.title GROUP BY m.question_id, q.level, q.unit_id) u
+  LEFT JOIN (SELECT a.question_id, p.level, p.unit_id, count(*) AS n_rels FROM pair_rows p
+             JOIN ematch a ON p.level = a.level AND p.source = a.title
+             JOIN ematch b ON p.level = b.level AND p.target = b.title AND a.question_id = b.question_id
+             GROUP BY a.question_id, p.level, p.unit_id) r
+  ON u.question_id = r.question_id AND u.level = r.level AND u.unit_id = r.unit_id)""",
+        f"""fin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY level, title ORDER BY cluster_level DESC) AS r
+  FROM assign WHERE cluster_level <= {C.QUERY_COMMUNITY_LEVEL}) WHERE r = 1)""",
+        f"""lrows AS (
+  SELECT m.question_id, m.level, 'entity' AS section, m.title AS item, CAST(m.rk AS BIGINT) AS ord1, CAST(0 AS BIGINT) AS ord2,
+         CAST({ntok("concat_ws(',', m.title, CAST(d.degree AS VARCHAR))")} AS BIGINT) AS tokens, {b_rest} AS budget
+  FROM ematch m JOIN degrees d ON m.level = d.level AND m.title = d.title
+  UNION ALL
+  SELECT question_id, level, 'relationship', id, CAST(rn AS BIGINT), CAST(0 AS BIGINT),
+         CAST({ntok("concat_ws(',', source, target, CAST(weight AS VARCHAR))")} AS BIGINT), {b_rest} FROM lrels
+  UNION ALL
+  SELECT c.question_id, c.level, 'report', c.community, CAST(-c.n_matched AS BIGINT),
+         CAST(round(-r.rating * 100) AS BIGINT), CAST({ntok('r.full_content')} AS BIGINT), {b_rep}
+  FROM (SELECT m.question_id, f.level, f.cluster_level, f.community, count(*) AS n_matched FROM ematch m
+        JOIN fin f ON m.level = f.level AND m.title = f.title
+        GROUP BY m.question_id, f.level, f.cluster_level, f.community) c
+  JOIN reports r ON c.level = r.level AND c.cluster_level = r.cluster_level AND c.community = r.community
+  UNION ALL
+  SELECT l.question_id, l.level, 'unit', l.unit_id, CAST(l.entity_rk AS BIGINT), CAST(-l.n_rels AS BIGINT),
+         CAST(u.n_tokens AS BIGINT), {b_unit}
+  FROM lunits l JOIN units u ON u.id = l.unit_id)""",
+        f"""lctx AS (SELECT * FROM (
+  SELECT *, row_number() OVER w AS rn, sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tokens
+  FROM lrows WINDOW w AS (PARTITION BY question_id, level, section ORDER BY ord1, ord2, item))
+  WHERE rn <= {C.SEARCH_BUDGET} AND cum_tokens <= budget)""",
+    ]

@@ -8,7 +8,7 @@ from strata import config as C
 from strata.operators import vectors as V
 from strata.operators.chunks import word_chunks
 from strata.plans.registry import Ctx, register
-from strata.plans.sqlgen import graph_ctes, q, with_ctes
+from strata.plans.sqlgen import entity_match_ctes, graph_ctes, q, with_ctes
 
 VALID_VECTORS = """dimq AS (SELECT len(embedding) AS d FROM embeddings GROUP BY len(embedding)
                 ORDER BY count(*) DESC, d LIMIT 1),
@@ -103,26 +103,8 @@ def vector_math(spark, d):
                                    F.round(mx, 6).alias("max_abs"))
 
 
-def _embed_sql(src: str, id_expr: str, text_expr: str, name: str) -> str:
-    return f"""{name}_t AS (
-  SELECT id, (('0x' || substr(md5(w), 1, 8))::BIGINT % {V.EMBED_DIM}) AS bucket, CAST(count(*) AS DOUBLE) AS tf
-  FROM (SELECT {id_expr} AS id, unnest(regexp_extract_all(lower({text_expr}), {q(V.EMBED_WORD_RE)})) AS w FROM {src})
-  GROUP BY id, bucket),
-{name}_n AS (SELECT id, sqrt(sum(tf * tf)) AS n FROM {name}_t GROUP BY id)"""
-
-
-@register("entity_vector_match", with_ctes(graph_ctes() + [
-    _embed_sql("entities", "('0x' || substr(id, 1, 15))::BIGINT", "'\"' || title || '\":' || description", "ev"),
-    _embed_sql("benchmark", "item_id", "text", "qv"),
-    """ekey AS (SELECT ('0x' || substr(id, 1, 15))::BIGINT AS ent_key, level, title FROM entities)""",
-    """sc AS (SELECT qn.id AS query_id, k.level, k.title, en.id AS ent_key,
-         round(coalesce(d.dot, 0) / (qn.n * en.n) + 1.0, 6) AS score
-  FROM qv_n qn CROSS JOIN ev_n en JOIN ekey k ON k.ent_key = en.id
-  LEFT JOIN (SELECT a.id AS qid, b.id AS eid, sum(a.tf * b.tf) AS dot FROM qv_t a JOIN ev_t b USING (bucket)
-             GROUP BY a.id, b.id) d ON d.qid = qn.id AND d.eid = en.id)"""], f"""
-SELECT query_id AS question_id, level, title, score, CAST(rk AS INTEGER) AS rk FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id, level ORDER BY score DESC, ent_key) AS rk FROM sc)
-WHERE rk <= {C.TOP_K_ENTITIES}"""))
+@register("entity_vector_match", with_ctes(graph_ctes() + entity_match_ctes(),
+                                          "SELECT question_id, level, title, score, rk FROM ematch"))
 def entity_vector_match(spark, d):
     """Question -> 10 nearest entities of each tier (embedding of "TITLE":description)."""
     from strata.operators.search import entity_match
