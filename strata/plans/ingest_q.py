@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from strata.functions.text import ext_of, html_to_text, stem_of
+from strata.plans.html_sql import WRAP_SQL, html_sql
 from strata.plans.registry import Ctx, register
 from strata.plans.sqlgen import STRIP, graph_ctes, q, with_ctes
 from strata.session import scratch_path
@@ -62,17 +63,7 @@ def virtual_files(docs):
                        F.length("content").cast("long").alias("length"), "content")
 
 
-@register("html_to_text", f"""
-SELECT page_id, regexp_replace(regexp_replace(
-  replace(replace(replace(replace(replace(replace(replace(replace(replace(
-    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-      '(?s)<!--.*?-->', '', 'g'), '(?is)<script[^>]*>.*?</script[^>]*>', '', 'g'),
-      '(?is)<style[^>]*>.*?</style[^>]*>', '', 'g'), '(?i)</(p|div|h[1-6])[ \t\n\r\f]*>', chr(10), 'g'),
-      '(?i)<br[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '),
-    '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
-  {STRIP}, '', 'g'), '\n[ \t\n\r\f]*\n', chr(10) || chr(10), 'g') AS text
-FROM pages""")
+@register("html_to_text", f"SELECT page_id, {html_sql('html')} AS text FROM pages")
 def q_html_to_text(spark, d):
     from strata.sources.tables import spread_small
     return spread_small(Ctx(spark, d).t.pages).select("page_id", html_to_text(F.col("html")).alias("text"))
@@ -132,7 +123,10 @@ def anti_join_unprocessed(spark, d):
     return t.documents.select("doc_id").join(t.labels.select("doc_id"), "doc_id", "left_anti")
 
 
-@register("scan_binary_route")
+@register("scan_binary_route", f"""
+SELECT path, regexp_extract(path, '(\\.[^./]*)$', 1) AS ext,
+       CASE WHEN regexp_extract(path, '(\\.[^./]*)$', 1) IN ('.txt', '.html', '.docx', '.xlsx', '.pptx') THEN 'routed' ELSE 'quarantine' END AS status
+FROM (SELECT {PATH_SQL} AS path FROM documents)""")
 def scan_binary_route(spark, d):
     """Route the derived file tree by extension; unsupported -> quarantine."""
     vf = virtual_files(Ctx(spark, d).t.documents)
@@ -141,21 +135,26 @@ def scan_binary_route(spark, d):
         bad.select("path", "ext", F.lit("quarantine").alias("status")))
 
 
-@register("docx_to_text")
+@register("docx_to_text", f"""
+SELECT {PATH_SQL} AS path, text, CAST(NULL AS VARCHAR) AS error FROM documents WHERE lang = 'de'""")
 def docx_to_text(spark, d):
     vf = virtual_files(Ctx(spark, d).t.documents)
     routed, _ = FS.route(vf)
     return FS.extract_office(routed.where(F.col("ext") == ".docx"))
 
 
-@register("xlsx_to_text")
+@register("xlsx_to_text", f"""
+SELECT {PATH_SQL} AS path, 'Sheet: Sheet1' || chr(10) || text || chr(10) AS text, CAST(NULL AS VARCHAR) AS error
+FROM documents WHERE lang = 'es'""")
 def xlsx_to_text(spark, d):
     vf = virtual_files(Ctx(spark, d).t.documents)
     routed, _ = FS.route(vf)
     return FS.extract_office(routed.where(F.col("ext") == ".xlsx"))
 
 
-@register("pptx_to_text")
+@register("pptx_to_text", """
+SELECT 'raw/pptx/doc' || CAST(doc_id AS VARCHAR) || '.pptx' AS path, text || chr(10) AS text,
+       CAST(NULL AS VARCHAR) AS error FROM documents""")
 def pptx_to_text(spark, d):
     """Each document line becomes one slide shape; parse back in slide order."""
     docs = Ctx(spark, d).t.documents
@@ -169,24 +168,34 @@ def pptx_to_text(spark, d):
     return FS.extract_office(files)
 
 
-@register("scan_text_docs")
+@register("scan_text_docs", "SELECT doc_id, text FROM documents")
 def scan_text_docs(spark, d):
     """Documents written as one text file each (partitioned by id), scanned
-    back whole-file with a glob filter; listing sorted by path."""
+    back whole-file with a glob filter (the writer's final line separator
+    removed); the id comes from the partition folder in the path."""
     path = scratch_path(spark, "text-docs")
     Ctx(spark, d).t.documents.select("doc_id", "text").write.partitionBy("doc_id").text(path)
-    return FS.scan_text(spark, path, "*.txt").orderBy("path")
+    t = FS.scan_text(spark, path, "*.txt")
+    return t.select(F.regexp_extract("path", "doc_id=([0-9]+)", 1).cast("long").alias("doc_id"),
+                    F.regexp_replace("text", "\n$", "").alias("text"))
 
 
-@register("scan_csv_docs")
+@register("scan_csv_docs", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def scan_csv_docs(spark, d):
     from strata.schemas import INPUT_TABLES
     path = scratch_path(spark, "csv-docs")
-    Ctx(spark, d).t.documents.write.option("header", "true").option("escape", '"').csv(path)
+    (Ctx(spark, d).t.documents.write.option("header", "true").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
     return FS.scan_csv(spark, path, INPUT_TABLES["documents"])
 
 
-@register("convert_files")
+@register("convert_files", f"""
+SELECT {PATH_SQL} AS path, regexp_extract({PATH_SQL}, '([^/]*?)(\\.[^./]*)?$', 1) AS stem,
+       CASE lang WHEN 'es' THEN 'Sheet: Sheet1' || chr(10) || text || chr(10)
+                 WHEN 'fr' THEN {html_sql(WRAP_SQL)}
+                 WHEN 'en' THEN regexp_replace(text, '^﻿', '')
+                 ELSE text END AS text, CAST(NULL AS VARCHAR) AS error
+FROM documents WHERE lang IN ('en', 'fr', 'de', 'es')""")
 def convert_files(spark, d):
     """The whole ingest job: derived files -> route -> convert (txt, html,
     docx, xlsx) -> (path, stem, text, error)."""

@@ -70,7 +70,9 @@ def vector_table_replace(spark, d):
     return spark.read.parquet(path).select("vec_id", "label", F.size("embedding").alias("dim"))
 
 
-@register("vector_sink")
+@register("vector_sink", f"""
+WITH {VALID_VECTORS}
+SELECT vec_id, embedding, label FROM embeddings WHERE vec_id IN (SELECT vec_id FROM valid)""")
 def vector_sink(spark, d):
     """Bulk write (id, vector) rows; merge by id on re-run: a second write of
     the same rows adds none (left_anti + append)."""
@@ -81,7 +83,7 @@ def vector_sink(spark, d):
     path = scratch_path(spark, "vector-sink")
     merge_by_id(spark, valid, path, "vec_id")
     merge_by_id(spark, valid, path, "vec_id")          # idempotent re-run
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select("vec_id", "embedding", "label")
 
 
 @register("vector_math", """
@@ -112,7 +114,9 @@ def entity_vector_match(spark, d):
     return entity_match(ctx.g.entities, ctx.questions)
 
 
-@register("embed_text")
+@register("embed_text", f"""
+SELECT doc_id, CAST({V.EMBED_DIM} AS INTEGER) AS dim, CAST(1.0 AS DOUBLE) AS norm2 FROM documents
+WHERE len(regexp_extract_all(lower(text), {q(V.EMBED_WORD_RE)})) > 0""")
 def embed_text(spark, d):
     from strata.sources.tables import spread_small
     docs = spread_small(Ctx(spark, d).t.documents)
