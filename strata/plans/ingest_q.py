@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata.functions.text import ext_of, html_to_text, stem_of
 from strata.plans.html_sql import WRAP_SQL, html_sql
 from strata.plans.registry import Ctx, register
-from strata.plans.sqlgen import STRIP, graph_ctes, q, with_ctes
+from strata.plans.sqlgen import STRIP, community_ctes, graph_ctes, q, report_ctes, with_ctes
 from strata.session import scratch_path
 from strata.sources import files as FS
 
@@ -220,7 +220,12 @@ def table_read(spark, d):
     return df.where(F.col("level") == "admin").select("title", "n_docs")
 
 
-@register("table_emit")
+@register("table_emit", with_ctes(graph_ctes() + community_ctes() + report_ctes(), """
+SELECT 'text_units' AS "table", count(*) AS "rows" FROM units
+UNION ALL SELECT 'entities', count(*) FROM entities
+UNION ALL SELECT 'relationships', count(*) FROM ranked_relationships
+UNION ALL SELECT 'nodes', count(*) FROM assign
+UNION ALL SELECT 'community_reports', count(*) FROM reports"""))
 def table_emit(spark, d):
     """Persist every stage table; returns (table, rows) read back."""
     from strata.sources.sinks import emit
