@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from strata import config as C
 from strata.functions.text import csv_field, strip_bom, strip_ws, tokens
 from strata.operators.chunks import with_tier
-from strata.operators.windows import count_batches, global_row_number, shard_of
+from strata.operators.windows import count_batches, global_row_number
 from strata.plans.registry import Ctx, register
-from strata.plans.sqlgen import STRIP, WS, clearance_values, community_ctes, graph_ctes, ntok, report_ctes, q, \
+from strata.plans.sqlgen import STRIP, WS, clearance_values, community_ctes, graph_ctes, ntok, report_ctes, \
     tier_sql, with_ctes
 
 G = graph_ctes()

@@ -8,7 +8,7 @@ from strata import config as C
 from strata.functions.text import token_count, tokens
 from strata.operators import communities as com
 from strata.operators import extract
-from strata.operators.chunks import truncate_tokens, with_tier, word_chunks
+from strata.operators.chunks import truncate_tokens, word_chunks
 from strata.plans.registry import Ctx, register
 from strata.plans.sqlgen import WS, community_ctes, graph_ctes, ntok, type_sql, units_ctes, with_ctes
 

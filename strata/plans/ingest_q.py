@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata.functions.text import ext_of, html_to_text, stem_of
 from strata.plans.html_sql import WRAP_SQL, html_sql
 from strata.plans.registry import Ctx, register
-from strata.plans.sqlgen import STRIP, community_ctes, graph_ctes, q, report_ctes, with_ctes
+from strata.plans.sqlgen import community_ctes, graph_ctes, q, report_ctes, with_ctes
 from strata.session import scratch_path
 from strata.sources import files as FS
 

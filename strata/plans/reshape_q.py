@@ -6,7 +6,6 @@ Array-valued results are rendered as sorted, joined strings for the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators.windows import global_row_number

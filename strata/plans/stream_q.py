@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from strata.plans.access_q import _expensive, label_cache
 from strata.plans.registry import Ctx, register
 from strata.plans.sqlgen import ntok, units_ctes, with_ctes
