@@ -83,7 +83,7 @@ class GraphIndex:
     def qualified(self) -> DataFrame:
         """(level, title) of entities recurring in >= min_docs documents."""
         c = distinct_counts(self.unit_entities, ["level", "title"], "doc_id", "n_docs")
-        return c.where(F.col("n_docs") >= self.min_docs)
+        return self._m(c.where(F.col("n_docs") >= self.min_docs))
 
     @cached_property
     def entity_units(self) -> DataFrame:

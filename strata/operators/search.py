@@ -51,7 +51,8 @@ def global_context(reports: DataFrame, assign: DataFrame, min_rank: float = C.MI
     weight, seeded shuffle order inside (tier, shard), CSV row and tokens."""
     from strata.operators.windows import pack_shards
     r = occurrence_weight(reports_at_level(reports, assign)).where(F.col("rating") >= min_rank)
-    n_shards = pack_shards(r)
+    # sized from the persisted report table (a superset): a cheap count
+    n_shards = pack_shards(reports)
     row = F.concat_ws("|", F.substring("community", 1, 8), "title",
                       F.format_string("%.6f", "occurrence_weight"), "full_content",
                       F.format_string("%.2f", "rating"))
