@@ -51,7 +51,7 @@ def _cid(*parts) -> F.Column:
 
 
 def cluster_graph(entities: DataFrame, rels: DataFrame, rounds=C.LPA_ROUNDS,
-                  max_size: int = C.MAX_CLUSTER_SIZE, checkpoint: bool = True) -> DataFrame:
+                  max_size: int = C.MAX_CLUSTER_SIZE) -> DataFrame:
     """-> (level, title, cluster_level, community, parent).  Every entity is
     in exactly one community per cluster level.  Empty edge set -> every
     entity is its own community (never an error)."""
@@ -59,8 +59,7 @@ def cluster_graph(entities: DataFrame, rels: DataFrame, rounds=C.LPA_ROUNDS,
     nodes = entities.select("level", F.col("title").alias("node"))
     lab = propagate(adj, nodes.withColumn("label", F.col("node")), rounds[0])
     prev = lab.select("level", "node", _cid("level", F.lit("0"), "label").alias("community"))
-    if checkpoint:
-        prev = cut_lineage(prev)
+    prev = cut_lineage(prev)     # each level is reused several times below
     out = [prev.select("level", "node", F.lit(0).alias("cluster_level"), "community",
                        F.lit(None).cast("string").alias("parent"))]
     for lvl in range(1, len(rounds)):
@@ -75,8 +74,7 @@ def cluster_graph(entities: DataFrame, rels: DataFrame, rounds=C.LPA_ROUNDS,
         cur = (prev.join(lab, ["level", "node"], "left")
                .select("level", "node", F.col("community").alias("parent"),
                        _cid("level", F.lit(str(lvl)), "community", F.coalesce("label", F.lit(""))).alias("community")))
-        if checkpoint:
-            cur = cut_lineage(cur)
+        cur = cut_lineage(cur)
         out.append(cur.select("level", "node", F.lit(lvl).alias("cluster_level"), "community", "parent"))
         prev = cur.select("level", "node", "community")
     res = out[0]

@@ -24,7 +24,7 @@ def _check_partition(assign, n_nodes, levels=3):
 
 def test_empty_edge_set_gives_singletons(spark):
     ents, rels = _graph(spark, [], nodes=["A", "B", "C"])
-    a = cluster_graph(ents, rels.limit(0), checkpoint=False)
+    a = cluster_graph(ents, rels.limit(0))
     _check_partition(a, 3)
     assert a.where("cluster_level = 0").select("community").distinct().count() == 3
 
@@ -33,7 +33,7 @@ def test_two_cliques_with_bridge(spark):
     left = [(f"L{i}", f"L{j}", 3) for i in range(5) for j in range(i + 1, 5)]
     right = [(f"R{i}", f"R{j}", 3) for i in range(5) for j in range(i + 1, 5)]
     ents, rels = _graph(spark, left + right + [("L0", "R0", 1)])
-    a = cluster_graph(ents, rels, checkpoint=False)
+    a = cluster_graph(ents, rels)
     _check_partition(a, 10)
     c0 = {r.title: r.community for r in a.where("cluster_level = 0").collect()}
     assert len({c0[f"L{i}"] for i in range(5)}) == 1
@@ -44,7 +44,7 @@ def test_two_cliques_with_bridge(spark):
 def test_long_path_is_split_below_cap(spark):
     path = [(f"N{i:02d}", f"N{i + 1:02d}", 1) for i in range(24)]
     ents, rels = _graph(spark, path)
-    a = cluster_graph(ents, rels, checkpoint=False)
+    a = cluster_graph(ents, rels)
     _check_partition(a, 25)
     finest = a.where("cluster_level = 2").groupBy("community").count().collect()
     assert max(r["count"] for r in finest) <= 10
