@@ -109,4 +109,4 @@ class Ctx:
 def load_all() -> None:
     """Import every plan module so its queries register."""
     from strata.plans import (access_q, graph_q, ingest_q, reshape_q, search_q,  # noqa: F401
-                              stream_q, vector_q, windows_q)
+                              stream_q, vector_q)
