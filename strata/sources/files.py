@@ -35,7 +35,8 @@ def scan_binary(spark: SparkSession, root: str, glob: str | None = None) -> Data
 
 
 def scan_text(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
-    """One row per file (whole text, UTF-8, BOM stripped), listing order = path."""
+    """One row per file (whole text, UTF-8, BOM stripped).  No order is
+    implied; ``sorted_listing`` numbers paths in name order when needed."""
     df = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
           .text(root, wholetext=True))
     return df.select(F.col("_metadata.file_path").alias("path"), strip_bom(F.col("value")).alias("text"))
