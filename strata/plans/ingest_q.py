@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from strata import config as C
 from strata.functions.text import ext_of, html_to_text, stem_of
 from strata.plans.html_sql import WRAP_SQL, html_sql
 from strata.plans.registry import Ctx, register
@@ -241,7 +242,11 @@ def table_emit(spark, d):
     return out
 
 
-@register("response_cache_scan")
+@register("response_cache_scan", with_ctes(graph_ctes(), """
+SELECT md5(concat_ws('|', u.text, 'rule-extractor', '0.0', '4000')) AS key, 'rule-extractor' AS model,
+       CAST(r.n AS INTEGER) AS n_records
+FROM (SELECT unit_id, count(*) AS n FROM (SELECT unit_id FROM unit_ents UNION ALL SELECT unit_id FROM unit_rels)
+      GROUP BY unit_id) r JOIN units u ON u.id = r.unit_id"""))
 def response_cache_scan(spark, d):
     """Memoised responses ``{result, input, parameters}`` written as JSON
     (one file group per extraction run) and read back with a declared schema;
@@ -257,9 +262,10 @@ def response_cache_scan(spark, d):
     path = scratch_path(spark, "response-cache")
     rows.write.json(path)
     back = spark.read.schema(RESPONSE_CACHE).json(path)
-    key = F.md5(F.concat_ws("|", "input", F.to_json("parameters")))
-    return back.select(key.alias("key"), F.col("parameters.model").alias("model"),
-                       F.length("result").alias("result_chars"))
+    key = F.md5(F.concat_ws("|", "input", "parameters.model", F.col("parameters.temperature").cast("string"),
+                            F.col("parameters.max_tokens").cast("string")))
+    n_records = F.size(F.split(F.replace("result", F.lit(C.COMPLETE), F.lit("")), C.RECORD_DELIM))
+    return back.select(key.alias("key"), F.col("parameters.model").alias("model"), n_records.alias("n_records"))
 
 
 LOG_RE = "perf - llm\\.chat ([a-z]+) \"Process\" took ([0-9.]+)\\. input_tokens=([0-9]+), output_tokens=([0-9]+)"

@@ -8,7 +8,7 @@ from strata import config as C
 from strata.operators import vectors as V
 from strata.operators.chunks import word_chunks
 from strata.plans.registry import Ctx, register
-from strata.plans.sqlgen import entity_match_ctes, graph_ctes, q, with_ctes
+from strata.plans.sqlgen import WS, embed_sql, entity_match_ctes, graph_ctes, q, with_ctes
 
 VALID_VECTORS = """dimq AS (SELECT len(embedding) AS d FROM embeddings GROUP BY len(embedding)
                 ORDER BY count(*) DESC, d LIMIT 1),
@@ -125,7 +125,21 @@ def embed_text(spark, d):
                     F.round(F.aggregate("embedding", F.lit(0.0), lambda a, b: a + b * b), 6).alias("norm2"))
 
 
-@register("embed_corpus")
+@register("embed_corpus", f"""
+WITH ch AS (
+  SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_ix, document_text, doc_id * 100000 + (i - 1) AS chunk_id FROM (
+    SELECT doc_id, unnest(parts) AS document_text, generate_subscripts(parts, 1) AS i FROM (
+      SELECT doc_id, CASE WHEN len(toks) > {C.WORD_CHUNK}
+        THEN list_transform(range(0, len(toks), {C.WORD_STRIDE}),
+                            lambda s: array_to_string(toks[s + 1 : s + {C.WORD_CHUNK}], ' '))
+        ELSE [text] END AS parts
+      FROM (SELECT doc_id, text, regexp_extract_all(text, {WS}) AS toks FROM documents)))),
+{embed_sql("ch", "chunk_id", "document_text", "cv")},
+dense AS (SELECT t.id, map_from_entries(list(struct_pack(k := t.bucket, v := t.tf / n.n))) AS m
+          FROM cv_t t JOIN cv_n n USING (id) GROUP BY t.id)
+SELECT ch.doc_id, ch.chunk_ix, ch.document_text,
+       list_transform(range(0, {V.EMBED_DIM}), lambda i: coalesce(d.m[i], 0.0)) AS embedding
+FROM ch JOIN dense d ON d.id = ch.chunk_id""")
 def embed_corpus(spark, d):
     """documents -> word chunks -> vectors (the directory-embedding job)."""
     from strata.sources.tables import spread_small
