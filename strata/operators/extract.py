@@ -33,7 +33,7 @@ def _type_sql(x: str) -> str:
 ENTITY_CANDIDATE_RE = "(?<![A-Za-z])[A-Z][a-z]{6,}(?![A-Za-z])"
 
 
-def mentions(units: DataFrame) -> DataFrame:
+def mentions(units: DataFrame, type_filter: bool = True) -> DataFrame:
     """units -> one row per type-filtered entity mention, in text order.
 
     Two ``posexplode`` generators (sentences, then candidate words) keep the
@@ -48,7 +48,8 @@ def mentions(units: DataFrame) -> DataFrame:
     w = s.select("unit_id", "doc_id", "level", "sent_ix", strip_ws(F.col("s")).alias("sentence"),
                  F.posexplode(F.regexp_extract_all("s", F.lit(ENTITY_CANDIDATE_RE), 0)).alias("w_ix", "w"))
     w = w.withColumn("title", F.upper("w")).withColumn("type", entity_type(F.col("title")))
-    w = w.where(F.expr(f"array_contains({_tier_types_expr()}, type)"))
+    if type_filter:
+        w = w.where(F.expr(f"array_contains({_tier_types_expr()}, type)"))
     win = Window.partitionBy("unit_id").orderBy("sent_ix", "w_ix")
     return w.select("unit_id", "doc_id", "level", (F.row_number().over(win) - 1).alias("pos"), "title", "type",
                     "sent_ix", "sentence", F.lead("title").over(win).alias("n_title"),

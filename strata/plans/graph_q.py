@@ -102,13 +102,10 @@ GROUP BY m.level, m.type"""))
 def entity_type_filter(spark, d):
     """Mentions of every type, then a semi-join on the (tier, type) allow
     list: a fixed, tiny table, so broadcasting it is size-safe."""
-    from strata.functions.text import entity_type
     ctx = Ctx(spark, d)
-    allowed = spark.createDataFrame([(t, ty) for t, tys in C.TIER_TYPES.items() for ty in tys], "level string, type string")
-    ms = ctx.g.units.select("level", F.explode(F.expr(
-        f"flatten(transform(regexp_extract_all(text, '{C.SENTENCE_RE.replace(chr(10), chr(92) + 'n')}', 0), "
-        f"s -> filter(regexp_extract_all(s, '{C.LETTER_RUN_RE}', 0), w -> w rlike '{C.ENTITY_WORD_RE}')))")).alias("w"))
-    ms = ms.select("level", entity_type(F.upper("w")).alias("type"))
+    allowed = spark.createDataFrame([(t, ty) for t, tys in C.TIER_TYPES.items() for ty in tys],
+                                    "level string, type string")
+    ms = extract.mentions(ctx.g.units, type_filter=False).select("level", "type")
     return (ms.join(F.broadcast(allowed), ["level", "type"], "left_semi")
             .groupBy("level", "type").agg(F.count(F.lit(1)).alias("n_mentions")))
 
