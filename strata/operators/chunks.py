@@ -23,17 +23,20 @@ def token_chunks(docs: DataFrame, size: int = C.UNIT_SIZE, overlap: int = C.UNIT
     """Windows of ``size`` tokens every ``size-overlap`` tokens, starting at
     0 while start < n; the contained tail is kept; never across documents.
 
+    One ``explode`` of the start offsets: inside whole-stage codegen the
+    token array is read by reference for every start, so the cost is linear
+    in the output, not in chunks x document length.
     Output: id, <keys>, chunk_ix, text, n_tokens (empty units dropped).
     """
     stride = size - overlap
     toks = docs.select(*keys, tokens(F.col("text")).alias("toks"))
-    chunk = F.expr(
-        f"transform(sequence(0, greatest(size(toks) - 1, 0), {stride}), s -> named_struct("
-        f"'chunk_ix', cast(s div {stride} as int), "
-        f"'text', array_join(slice(toks, s + 1, {size}), ' '), "
-        f"'n_tokens', cast(least({size}, size(toks) - s) as int)))")
-    out = (toks.select(*keys, F.inline(chunk))
-           .where(F.col("n_tokens") > 0))
+    n = F.size("toks")
+    starts = toks.select(*keys, "toks", F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)),
+                                                             F.lit(stride))).alias("s"))
+    out = starts.select(*keys, (F.col("s") / stride).cast("int").alias("chunk_ix"),
+                        F.array_join(F.slice("toks", F.col("s") + 1, F.lit(size)), " ").alias("text"),
+                        F.least(F.lit(size), F.size("toks") - F.col("s")).cast("int").alias("n_tokens"))
+    out = out.where(F.col("n_tokens") > 0)
     uid = F.md5(F.concat_ws(":", F.col(keys[0]).cast("string"), F.col("chunk_ix").cast("string")))
     return out.select(uid.alias("id"), *keys, "chunk_ix", "text", "n_tokens")
 
@@ -44,12 +47,12 @@ def word_chunks(docs: DataFrame, max_words: int = C.WORD_CHUNK, overlap: int = C
     text whole (its whitespace kept)."""
     stride = max_words - overlap
     toks = docs.select("doc_id", "text", tokens(F.col("text")).alias("toks"))
-    parts = F.expr(
-        f"CASE WHEN size(toks) > {max_words} THEN "
-        f"transform(sequence(0, size(toks) - 1, {stride}), s -> array_join(slice(toks, s + 1, {max_words}), ' ')) "
-        f"ELSE array(text) END")
-    return (toks.select("doc_id", F.posexplode(parts).alias("chunk_ix", "document_text"))
-            .select("doc_id", F.col("chunk_ix").cast("int").alias("chunk_ix"), "document_text"))
+    long_doc = F.size("toks") > max_words
+    starts = F.when(long_doc, F.sequence(F.lit(0), F.size("toks") - 1, F.lit(stride))).otherwise(F.array(F.lit(0)))
+    s = toks.select("doc_id", "text", "toks", long_doc.alias("long"), F.explode(starts).alias("s"))
+    body = F.when(F.col("long"), F.array_join(F.slice("toks", F.col("s") + 1, F.lit(max_words)), " ")) \
+        .otherwise(F.col("text"))
+    return s.select("doc_id", (F.col("s") / stride).cast("int").alias("chunk_ix"), body.alias("document_text"))
 
 
 def truncate_tokens(col, n: int = C.EMBED_TRUNCATE):
