@@ -71,14 +71,17 @@ def map_scores(questions: DataFrame, ctx_rows: DataFrame) -> DataFrame:
     words are skewed keys split by AQE."""
     qw = questions.select(F.col("item_id").alias("question_id"), F.explode(words(F.col("text"))).alias("w"))
     nq = qw.groupBy("question_id").agg(F.count(F.lit(1)).alias("nq"))
-    rw = ctx_rows.select(*CKEYS, F.explode(words(F.col("row"))).alias("w"))
-    hits = qw.join(rw, "w").groupBy("question_id", *CKEYS).agg(F.count(F.lit(1)).alias("hit"))
+    # tokens depends on the community only: carried through so the reduce
+    # step needs no second pass over the context rows
+    rw = ctx_rows.select(*CKEYS, "tokens", F.explode(words(F.col("row"))).alias("w"))
+    hits = qw.join(rw, "w").groupBy("question_id", *CKEYS, "tokens").agg(F.count(F.lit(1)).alias("hit"))
     return (hits.join(nq, "question_id")
-            .select("question_id", *CKEYS, F.round(100.0 * F.col("hit") / F.col("nq")).cast("int").alias("score")))
+            .select("question_id", *CKEYS, "tokens",
+                    F.round(100.0 * F.col("hit") / F.col("nq")).cast("int").alias("score")))
 
 
 def global_reduce(scores: DataFrame, ctx_rows: DataFrame, budget: int = C.SEARCH_BUDGET) -> DataFrame:
-    s = scores.where(F.col("score") > 0).join(ctx_rows.select(*CKEYS, "tokens"), CKEYS)
+    s = scores.where(F.col("score") > 0)
     return budget_prefix(s, ["question_id", "level"], [F.col("score").desc(), F.col("community")], "tokens", budget)
 
 
