@@ -1,8 +1,9 @@
 """Text units and word chunks.
 
-Chunks are computed inside one row with ``transform(sequence(...))`` and
-exploded once, so a long document is never copied per chunk and no shuffle
-is needed: the work is partitioned exactly like the document scan.
+Tokenise, explode the chunk start offsets, slice: one whole-stage-codegen
+stage per document partition (the token array is read by reference for
+every start, so a long document is never copied per chunk) and no shuffle:
+the work is partitioned exactly like the document scan.
 """
 
 from __future__ import annotations
