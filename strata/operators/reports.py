@@ -146,3 +146,27 @@ def grounding_refs(df: DataFrame, text_col: str, known_ids: DataFrame, key: str)
     return (parsed.join(missing, key, "left")
             .select(key, F.size("ids").alias("n_ids"), (F.size("ids") > 5).alias("too_many"),
                     F.coalesce("n", F.lit(0)).cast("long").alias("n_missing")))
+
+
+def context_rollup(assign: DataFrame, ranked_rels: DataFrame, reports: DataFrame,
+                   budget: int = C.REPORT_BUDGET) -> DataFrame:
+    """Parents whose own context overflows ``budget`` get their largest
+    children substituted by the child reports, while the child report tokens
+    fit: -> (level, parent, child, child_tokens, cum).  The overflow test is a
+    combinable token sum; the child pick is a budget-limited window."""
+    touch = touching_edges(assign, ranked_rels)
+    need = (touch.withColumn("tokens", token_count(edge_csv(touch)))
+            .groupBy(*CKEYS).agg(F.sum("tokens").alias("own_tokens")))
+    rep = reports.select("level", F.col("cluster_level").cast("int").alias("cl"), F.col("community").alias("child"),
+                         token_count(F.col("full_content")).alias("child_tokens"), "size")
+    parents = (assign.select("level", F.col("cluster_level").cast("int").alias("cl"),
+                             F.col("community").alias("child"), "parent")
+               .where("parent IS NOT NULL").distinct())
+    over = need.where(F.col("own_tokens") > budget).select(
+        "level", F.col("cluster_level").cast("int").alias("pcl"), F.col("community").alias("parent"))
+    cand = (parents.join(rep, ["level", "cl", "child"]).join(over, ["level", "parent"])
+            .where(F.col("cl") == F.col("pcl") + 1))
+    w = Window.partitionBy("level", "parent").orderBy(F.col("size").desc(), F.col("child"))
+    sub = cand.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= budget)
+    sub = sub.withColumn("cum", F.sum("child_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return sub.where(F.col("cum") <= budget).select("level", "parent", "child", "child_tokens", "cum")

@@ -93,26 +93,9 @@ def first_appearance_rank(spark, d):
 def community_context_rollup(spark, d):
     """When a community's own context overflows the report budget, its
     largest children are replaced by their report text (child reports
-    counted in tokens), walking from the finest level up."""
+    counted in tokens)."""
     ctx = Ctx(spark, d)
-    from strata.functions.text import token_count
-    touch = R.touching_edges(ctx.assign, ctx.g.ranked_relationships)
-    # own context size = total tokens of all touching edge rows: a combinable sum
-    need = (touch.withColumn("tokens", token_count(R.edge_csv(touch)))
-            .groupBy("level", "cluster_level", "community").agg(F.sum("tokens").alias("own_tokens")))
-    rep = ctx.reports.select("level", F.col("cluster_level").cast("int").alias("cl"), F.col("community").alias("child"),
-                             F.size(F.split("full_content", "[ \t\n\r\f]+")).alias("child_tokens"), "size")
-    parents = ctx.assign.select("level", F.col("cluster_level").cast("int").alias("cl"),
-                                F.col("community").alias("child"), "parent").where("parent IS NOT NULL").distinct()
-    kids = parents.join(rep, ["level", "cl", "child"])
-    over = need.where(F.col("own_tokens") > C.REPORT_BUDGET)
-    cand = kids.join(over.select("level", F.col("cluster_level").alias("pcl"), F.col("community").alias("parent")),
-                     ["level", "parent"]).where(F.col("cl") == F.col("pcl") + 1)
-    from pyspark.sql import Window
-    w = Window.partitionBy("level", "parent").orderBy(F.col("size").desc(), F.col("child"))
-    sub = cand.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= C.REPORT_BUDGET)
-    sub = sub.withColumn("cum", F.sum("child_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return sub.where(F.col("cum") <= C.REPORT_BUDGET).select("level", "parent", "child", "child_tokens", "cum")
+    return R.context_rollup(ctx.assign, ctx.g.ranked_relationships, ctx.reports)
 
 
 @register("grounding_refs", with_ctes(GC + [
