@@ -75,7 +75,7 @@ def first_appearance(context: DataFrame, assign: DataFrame) -> DataFrame:
         context.select(*CKEYS, "rn", F.col("target").alias("title")))
     first = ends.groupBy(*CKEYS, "title").agg(F.min("rn").alias("first_rn"))
     members = assign.select("level", F.col("cluster_level").cast("int"), "community", "title")
-    return members.join(first, CKEYS + ["title"], "left_semi").join(first, CKEYS + ["title"])
+    return members.join(first, CKEYS + ["title"])
 
 
 def community_reports(nodes: DataFrame, ranked_rels: DataFrame, entity_units: DataFrame) -> DataFrame:
