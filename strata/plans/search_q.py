@@ -23,7 +23,6 @@ def clearance_df(spark):
     return spark.createDataFrame(rows, "user_level string, level string")
 
 
-SearchCtx = Ctx
 
 
 # ---------------------------------------------------------------- reports
@@ -160,20 +159,20 @@ def entities_at_level(spark, d):
 @register("occurrence_weight", with_ctes(GS, """
 SELECT level, community, n_units, occurrence_weight FROM gctx"""))
 def occurrence_weight(spark, d):
-    return SearchCtx(spark, d).gctx.select("level", "community", "n_units", "occurrence_weight")
+    return Ctx(spark, d).gctx.select("level", "community", "n_units", "occurrence_weight")
 
 
 @register("shuffle_reports", with_ctes(GS, """
 SELECT level, community, shard, shuffle_key FROM gctx"""))
 def shuffle_reports(spark, d):
-    return SearchCtx(spark, d).gctx.select("level", "community", "shard", "shuffle_key")
+    return Ctx(spark, d).gctx.select("level", "community", "shard", "shuffle_key")
 
 
 @register("global_context", with_ctes(GS, """
 SELECT level, CAST(cluster_level AS INTEGER) AS cluster_level, community, shard, shuffle_key, occurrence_weight,
        rating, CAST(tokens AS INTEGER) AS tokens FROM gctx"""))
 def global_context(spark, d):
-    g = SearchCtx(spark, d).gctx
+    g = Ctx(spark, d).gctx
     return g.select("level", F.col("cluster_level").cast("int"), "community", "shard", "shuffle_key",
                     "occurrence_weight", "rating", F.col("tokens").cast("int"))
 
@@ -194,14 +193,14 @@ SELECT level, shard, community, CAST(batch AS INTEGER) AS batch,
 def batch_ids_by_tokens(spark, d):
     """Greedy <= 12000-token batches of the shuffled report rows, exact per
     (tier, shard) group; groups are bounded by the shard count."""
-    g = SearchCtx(spark, d).gctx
+    g = Ctx(spark, d).gctx
     return greedy_pack(g, ["level", "shard"], "shuffle_key", "tokens", C.SEARCH_BUDGET, "community")
 
 
 @register("global_map_score", with_ctes(GS, """
 SELECT question_id, level, CAST(cluster_level AS INTEGER) AS cluster_level, community, score FROM mscore"""))
 def global_map_score(spark, d):
-    s = SearchCtx(spark, d).scores
+    s = Ctx(spark, d).scores
     return s.select("question_id", "level", F.col("cluster_level").cast("int"), "community", "score")
 
 
@@ -209,7 +208,7 @@ def global_map_score(spark, d):
 SELECT question_id, level, community, score, CAST(rn AS INTEGER) AS rn, CAST(cum_tokens AS BIGINT) AS cum_tokens
 FROM greduce"""))
 def global_reduce(spark, d):
-    r = SearchCtx(spark, d).reduced
+    r = Ctx(spark, d).reduced
     return r.select("question_id", "level", "community", "score", F.col("rn").cast("int"),
                     F.col("cum_tokens").cast("long"))
 
@@ -218,7 +217,7 @@ def global_reduce(spark, d):
 SELECT question_id, level, CAST(max(cum_tokens) AS BIGINT) AS used_tokens, count(*) AS n_reports
 FROM greduce GROUP BY question_id, level"""))
 def running_token_budget(spark, d):
-    r = SearchCtx(spark, d).reduced
+    r = Ctx(spark, d).reduced
     return r.groupBy("question_id", "level").agg(F.max("cum_tokens").cast("long").alias("used_tokens"),
                                                  F.count(F.lit(1)).alias("n_reports"))
 
@@ -226,7 +225,7 @@ def running_token_budget(spark, d):
 @register("clearance_query_single", with_ctes(GS, """
 SELECT question_id, community, score, CAST(rn AS INTEGER) AS rn FROM greduce WHERE level = 'level_q'"""))
 def clearance_query_single(spark, d):
-    r = SearchCtx(spark, d).reduced.where(F.col("level") == "level_q")
+    r = Ctx(spark, d).reduced.where(F.col("level") == "level_q")
     return r.select("question_id", "community", "score", F.col("rn").cast("int"))
 
 
@@ -241,7 +240,7 @@ FROM (SELECT a.*, c.user_level, row_number() OVER (PARTITION BY c.user_level, a.
 JOIN benchmark b ON b.item_id = a.question_id
 GROUP BY a.user_level, a.question_id"""))
 def tiered_answer(spark, d):
-    ctx = SearchCtx(spark, d)
+    ctx = Ctx(spark, d)
     ans = S.answer_rows(ctx.reduced, ctx.reports)
     return S.tiered_answer(ans, ctx.questions, clearance_df(spark))
 
@@ -249,7 +248,7 @@ def tiered_answer(spark, d):
 @register("answer_prompt", with_ctes(GS, """
 SELECT question_id, level, answer FROM answers"""))
 def answer_prompt(spark, d):
-    ctx = SearchCtx(spark, d)
+    ctx = Ctx(spark, d)
     return S.answer_rows(ctx.reduced, ctx.reports)
 
 
@@ -259,7 +258,7 @@ def answer_prompt(spark, d):
 SELECT question_id, level, section, item, CAST(rn AS INTEGER) AS rn, tokens, CAST(cum_tokens AS BIGINT) AS cum_tokens
 FROM lctx"""))
 def local_context(spark, d):
-    ctx = SearchCtx(spark, d)
+    ctx = Ctx(spark, d)
     return S.local_context(ctx.match(), ctx.reports, ctx.assign, ctx.g.entity_units, ctx.g.pair_rows,
                            ctx.g.units, ctx.g.ranked_relationships, ctx.g.degrees)
 
@@ -267,14 +266,14 @@ def local_context(spark, d):
 @register("local_text_unit_rank", with_ctes(GL, """
 SELECT question_id, level, unit_id, entity_rk, CAST(n_rels AS BIGINT) AS n_rels FROM lunits"""))
 def local_text_unit_rank(spark, d):
-    ctx = SearchCtx(spark, d)
+    ctx = Ctx(spark, d)
     return S.local_text_unit_rank(ctx.match(), ctx.g.entity_units, ctx.g.pair_rows)
 
 
 @register("topk_relationships", with_ctes(GL, """
 SELECT question_id, level, id, source, target, rank, CAST(rn AS INTEGER) AS rn, ends = 2 AS internal FROM lrels"""))
 def topk_relationships(spark, d):
-    ctx = SearchCtx(spark, d)
+    ctx = Ctx(spark, d)
     return S.local_relationships(ctx.match(), ctx.g.ranked_relationships).select(
         "question_id", "level", "id", "source", "target", "rank", F.col("rn").cast("int"), "internal")
 
