@@ -22,3 +22,14 @@ def test_budget_prefix(spark):
     df = spark.createDataFrame([("q", i, 10) for i in range(50)], "q string, i int, tokens int")
     r = budget_prefix(df, ["q"], [F.col("i")], "tokens", 95).collect()
     assert len(r) == 9 and max(x.cum_tokens for x in r) <= 95
+
+
+def test_global_row_number_with_hot_value(spark):
+    # a third of the rows share one sort value; the unique tie-break lets the
+    # range partitioner split them across partitions
+    df = spark.range(900).withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")))
+    r = global_row_number(df, [F.col("k"), F.col("id")], parts=6)
+    rows = sorted(r.collect(), key=lambda x: (x.k, x.id))
+    assert [x.row_id for x in rows] == list(range(1, 901))
+    sizes = [c["count"] for c in r.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 900
