@@ -33,3 +33,15 @@ def test_global_row_number_with_hot_value(spark):
     assert [x.row_id for x in rows] == list(range(1, 901))
     sizes = [c["count"] for c in r.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert max(sizes) < 900
+
+
+def test_salted_join_equals_plain_join(spark):
+    from strata.operators.windows import salted_join
+    big = spark.createDataFrame([("t", "HUB" if i % 3 == 0 else f"n{i}", f"e{i}") for i in range(600)],
+                                "level string, nbr string, id string")
+    small = spark.createDataFrame([("t", "HUB", "L0")] + [("t", f"n{i}", f"L{i}") for i in range(600)],
+                                  "level string, nbr string, label string")
+    a = salted_join(big, small, ["level", "nbr"], ["id"]).select("id", "label")
+    b = big.join(small, ["level", "nbr"]).select("id", "label")
+    assert a.count() == b.count() == 600
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
