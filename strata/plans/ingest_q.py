@@ -103,10 +103,8 @@ def ingest_skip_existing(spark, d):
     """Convert only files whose output (``<stem>.txt``) does not exist yet;
     within one stem the lowest path wins (deterministic, combinable min)."""
     ctx = Ctx(spark, d)
-    inputs = doc_paths(ctx.t.documents).select("path", stem_of(F.col("path")).alias("stem"))
     existing = ctx.t.labels.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("stem"))
-    todo = inputs.join(existing, "stem", "left_anti")
-    return todo.groupBy("stem").agg(F.min("path").alias("path"))
+    return FS.skip_existing(doc_paths(ctx.t.documents).select("path"), existing)
 
 
 @register("set_difference_new_files", f"""

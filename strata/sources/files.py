@@ -197,3 +197,12 @@ def make_xlsx(sheets: dict[str, list[list[str]]]) -> bytes:
             z.writestr(f"xl/worksheets/sheet{i}.xml",
                        f'<worksheet xmlns="{_S[1:-1]}"><sheetData>{xml_rows}</sheetData></worksheet>')
     return buf.getvalue()
+
+
+def skip_existing(inputs: DataFrame, existing_stems: DataFrame) -> DataFrame:
+    """Files still to convert: their stem has no output yet; within one stem
+    (``a.html`` and ``a.txt``, or the same name in two folders) the lowest
+    path wins deterministically (a combinable ``min``, no window)."""
+    s = inputs.select("path", stem_of(F.col("path")).alias("stem"))
+    todo = s.join(existing_stems.select("stem"), "stem", "left_anti")
+    return todo.groupBy("stem").agg(F.min("path").alias("path"))
