@@ -17,6 +17,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.llm.common import materialize
 
@@ -57,7 +58,7 @@ def text_counts(text: str) -> tuple[int, ...]:
             len(lines), len(lines) - len(set(lines)), repeated_words(words))
 
 
-@F.arrow_udf("struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ">")
+@F.arrow_udf(StructType([StructField(c, LongType()) for c in COUNTS]))
 def _counts(texts: pa.Array) -> pa.Array:
     rows = [text_counts(t.as_py() or "") for t in texts]
     columns = zip(*rows) if rows else [()] * len(COUNTS)
