@@ -27,6 +27,7 @@ MAX_SYMBOLS_PER_10_WORDS = 1
 MAX_DUP_LINE_PERCENT = 30
 MEAN_WORD_CHARS = (3, 10)
 MAX_HOST_RATE = 0.5          # a host whose shrunk failure rate is above is bad at that rule
+MAX_BROADCAST_HOSTS = 1_000_000   # counted before; with more hosts the join is shuffled
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -116,10 +117,13 @@ def judge(docs: DataFrame, text: str = "text", drop: tuple[str, ...] = ()) -> Da
     """``docs`` without ``drop`` plus counts, ``base_failed``, ``host_bad`` and ``kept``.
 
     The ruled documents are written once; both the host rates and the verdicts
-    read them from there.  The host table has one row per host: Spark broadcasts
-    it only below its size threshold and splits skewed hosts otherwise."""
+    read them from there.  The host table is counted: up to MAX_BROADCAST_HOSTS rows
+    it is broadcast, beyond that Spark joins by shuffle and splits skewed hosts."""
     ruled = materialize(with_rules(docs, text).drop(*drop), "quality")
-    hosts = host_verdicts(ruled).select(F.col("source").alias("_host"), *[f"bad_{r}" for r in HOST_RULES])
+    hosts = materialize(host_verdicts(ruled), "hosts").select(
+        F.col("source").alias("_host"), *[f"bad_{r}" for r in HOST_RULES])
+    if hosts.count() <= MAX_BROADCAST_HOSTS:
+        hosts = F.broadcast(hosts)
     out = ruled.join(hosts, ruled["source"] == hosts["_host"], "left")
     host_bad = F.lit(False)
     for r in DOCUMENT_RULES:
