@@ -53,7 +53,7 @@ class ByteLevelEncoder:
 
     def _units(self, units: list[str]):
         spelled = [u[1:] if u[0] == _FIRST else " " + u for u in units]
-        return [e.ids for e in self._tokenizer.encode_batch(spelled, add_special_tokens=False)], [True] * len(units)
+        return [e.ids for e in self._tokenizer.encode_batch(spelled, add_special_tokens=False)], [3] * len(units)
 
     @staticmethod
     def _split(text: str) -> list[str]:

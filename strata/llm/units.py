@@ -29,12 +29,12 @@ def split_units(text: str) -> list[str]:
 
 
 class UnitTable:
-    """Ids of units and, by unit, the flag that ``encode`` gives with them.
+    """Ids of units and, by unit, the flags (two bits) that ``encode`` gives with them.
 
     The table stops growing at MAX_CACHED_UNITS; units met after that are encoded
     where they occur, so memory is bounded and no unit is left out."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[list[list[int]], list[bool]]]):
+    def __init__(self, encode: Callable[[list[str]], tuple[list[list[int]], list[int]]]):
         self._encode = encode
         self.index: dict[str, int] = {}
         self.rows = _pack([], [])
@@ -55,8 +55,8 @@ class UnitTable:
 
     def encode(self, texts: list[str], split: Callable[[str], list[str]],
                tail: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of all texts, ids per text, per text whether all its units are flagged).
-        An empty text has no units; ``tail`` is appended to every text."""
+        """(ids of all texts, ids per text, per text the bits that all its units have).
+        An empty text has no units and all bits; ``tail`` is appended to every text."""
         units: list[str] = []
         counts = np.zeros(len(texts), np.int64)
         for k, t in enumerate(texts):
@@ -71,18 +71,19 @@ class UnitTable:
         first = last - counts
         per_text = ends[last] - ends[first]
         flat = ids[np.repeat(starts[rows] - ends[:-1], n) + np.arange(ends[-1])]
-        bad = np.concatenate([[0], np.cumsum(~flags[rows])])
+        lacks = [np.concatenate([[0], np.cumsum((~flags[rows] >> k) & 1)]) for k in (0, 1)]
         if tail is not None:
             flat = np.insert(flat, np.cumsum(per_text), tail)
             per_text = per_text + 1
-        return flat.astype(np.int32), per_text, bad[last] == bad[first]
+        bits = [(x[last] == x[first]).astype(np.int64) << k for k, x in enumerate(lacks)]
+        return flat.astype(np.int32), per_text, bits[0] | bits[1]
 
 
-def _pack(lists: list[list[int]], flags: list[bool]):
-    """(ids, start and length by row, flag by row)."""
+def _pack(lists: list[list[int]], flags: list[int]):
+    """(ids, start and length by row, flags by row)."""
     lengths = np.fromiter(map(len, lists), np.int64, len(lists))
     ids = np.fromiter((i for x in lists for i in x), np.int32, int(lengths.sum()))
-    return ids, np.cumsum(lengths) - lengths, lengths, np.array(flags, bool)
+    return ids, np.cumsum(lengths) - lengths, lengths, np.array(flags, np.int64)
 
 
 def _join(a, b):
