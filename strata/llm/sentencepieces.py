@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from strata.llm.units import UnitTable, list_array, slices, split_units
+from strata.llm.units import UnitTable, keep_whole, list_array, slices, split_between
 
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
@@ -139,7 +139,7 @@ class SentencePieceCodec:
             self.model = SentencePieceModel(f.read())
         self.tokenizer = self.model.tokenizer()
         self._original = sentencepiece.SentencePieceProcessor(model_file=path)
-        self._split = split_units if self.model.splits_at_spaces else lambda text: [text]
+        self._split = split_between if self.model.splits_at_spaces else keep_whole
         self._table = UnitTable(self._units)
 
     def _units(self, units: list[str]):
@@ -149,7 +149,7 @@ class SentencePieceCodec:
         # two flags in one number: 1 for parity, 2 for a lossless way back
         return lists, [(a == b) + 2 * (u == d) for a, b, u, d in zip(lists, theirs, units, back)]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text, parity per text, lossless per text)."""
         ids, n, flags = self._table.encode(texts, self._split)
         return ids, n, (flags & 1) == 1, (flags & 2) == 2

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from strata.llm.units import UnitTable, list_array, slices, split_units
+from strata.llm.units import UnitTable, list_array, slices, split_space_led
 
 END_ID = 2
 SCHEMA = "shard int, shard_start bigint, doc_id bigint, n_tokens int, ids array<int>"
@@ -39,9 +39,6 @@ FILE_OPTIONS = {
 }
 
 
-_FIRST = "\x00"    # marks the first unit of a text, which has no space before it
-
-
 class ByteLevelEncoder:
     """Ids of whole texts by a byte-level tokenizer of the tokenizers library."""
 
@@ -52,18 +49,11 @@ class ByteLevelEncoder:
         self._table = UnitTable(self._units)
 
     def _units(self, units: list[str]):
-        spelled = [u[1:] if u[0] == _FIRST else " " + u for u in units]
-        return [e.ids for e in self._tokenizer.encode_batch(spelled, add_special_tokens=False)], [3] * len(units)
-
-    @staticmethod
-    def _split(text: str) -> list[str]:
-        units = split_units(text)
-        units[0] = _FIRST + units[0]
-        return units
-
-    def encode(self, texts: list[str], tail: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, ids per text)."""
-        ids, n, _ = self._table.encode(texts, self._split, tail)
+        return [e.ids for e in self._tokenizer.encode_batch(units, add_special_tokens=False)], [3] * len(units)
+
+    def encode(self, texts: pa.Array, tail: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids per text); no text is null."""
+        ids, n, _ = self._table.encode(texts, split_space_led, tail)
         return ids, n
 
 

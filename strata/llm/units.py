@@ -1,31 +1,63 @@
-"""Encoding of whole texts by way of their space-separated units.
+"""Encoding of whole texts by way of their units (words with the space before them).
 
 The pre-tokenisers and vocabularies used here never join characters across a
 single space between two printable characters, so the ids of a text are the ids
-of its units in order.  A unit is encoded by the tokenizers library once per
-worker, kept in a table of bounded size, and looked up; ids of a batch are gathered with numpy.
+of its units in order.  Units of a batch are split and told apart in Arrow, each
+distinct one is encoded by the tokenizers library or found in a table of bounded
+size, and the ids of the batch are gathered with numpy.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-MAX_CACHED_UNITS = 400_000     # memory bound of a worker's table
-SLICE_CHARS = 2_000_000        # characters handled at a time
+MAX_CACHED_UNITS = 250_000     # memory bound of a worker's table
+UNITS_AT_ONCE = 8_192          # units given to the library at a time
+SLICE_CHARS = 4_000_000        # characters handled at a time
 
 # Printable ASCII and Latin letters: on both sides of a space they make it a boundary.
 _EDGE = "[!-~À-ɏ]"
-SPACE_BETWEEN = re.compile(f"(?<={_EDGE}) (?={_EDGE})")
-_OTHER_SPACE = re.compile(f" (?!{_EDGE})|(?<!{_EDGE}) ")
+_OTHER = r"[^\n -~À-ɏ]|  | \n|\n |^ | $"
+_SPACE_LED = re.compile(f"(?<={_EDGE})(?= {_EDGE})")
+_SPACE_BETWEEN = re.compile(f"(?<={_EDGE}) (?={_EDGE})")
+_CUT = "\x01"
 
 
-def split_units(text: str) -> list[str]:
-    """The text cut at every single space between two printable characters."""
-    return SPACE_BETWEEN.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
+def _split(texts: pa.Array, other: str, fast: Callable[[pa.Array], pa.Array], slow: re.Pattern) -> pa.Array:
+    """Lists of units: by ``fast`` for texts without ``other``, by ``slow`` for the rest."""
+    rest = pc.match_substring_regex(texts, other)
+    if not pc.any(rest).as_py():
+        return fast(texts)
+    plain = fast(texts.filter(pc.invert(rest)))
+    odd = pa.array([slow.split(t) for t in texts.filter(rest).to_pylist()], plain.type)
+    odd_mask = rest.to_numpy(zero_copy_only=False)
+    order = np.where(odd_mask, len(plain) + np.cumsum(odd_mask) - 1, np.cumsum(~odd_mask) - 1)
+    return pa.concat_arrays([plain, odd]).take(pa.array(order))
+
+
+def split_space_led(texts: pa.Array) -> pa.Array:
+    """Units with the space before them; a line end between printable characters is its own."""
+
+    def fast(plain: pa.Array) -> pa.Array:
+        cut = pc.replace_substring(pc.replace_substring(plain, " ", _CUT + " "), "\n", f"{_CUT}\n{_CUT}")
+        return pc.split_pattern(cut, _CUT)
+
+    return _split(texts, _OTHER + r"|\n\n|^\n|\n$", fast, _SPACE_LED)
+
+
+def split_between(texts: pa.Array) -> pa.Array:
+    """Units without the single space between them."""
+    return _split(texts, _OTHER, lambda plain: pc.split_pattern(plain, " "), _SPACE_BETWEEN)
+
+
+def keep_whole(texts: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(range(len(texts) + 1), pa.int32()), texts)
 
 
 class UnitTable:
@@ -40,41 +72,39 @@ class UnitTable:
         self.rows = _pack([], [])
 
     def _lookup(self, units: list[str]):
-        """(row of each unit, table of rows) for this call."""
-        at = list(map(self.index.get, units))
-        if None not in at:
-            return np.array(at, np.int64), self.rows
-        new = list(dict.fromkeys(u for u, r in zip(units, at) if r is None))
-        table = _join(self.rows, _pack(*self._encode(new)))
-        places = {u: len(self.index) + k for k, u in enumerate(new)}
-        at = [places[u] if r is None else r for u, r in zip(units, at)]
-        if len(self.index) + len(new) <= MAX_CACHED_UNITS:
-            self.index.update(places)
+        """(row of each of the distinct units, table of rows) for this call."""
+        at = np.array([self.index.get(u, -1) for u in units], np.int64)
+        missing = np.flatnonzero(at < 0)
+        if not len(missing):
+            return at, self.rows
+        at[missing] = len(self.index) + np.arange(len(missing))
+        new, table = [units[i] for i in missing.tolist()], self.rows
+        for i in range(0, len(new), UNITS_AT_ONCE):
+            table = _join(table, _pack(*self._encode(new[i:i + UNITS_AT_ONCE])))
+        if len(at) and len(self.index) + len(new) <= MAX_CACHED_UNITS:
+            self.index.update(zip(new, at[missing].tolist()))
             self.rows = table
-        return np.array(at, np.int64), table
+        return at, table
 
-    def encode(self, texts: list[str], split: Callable[[str], list[str]],
+    def encode(self, texts: pa.Array, split: Callable[[pa.Array], pa.Array],
                tail: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text, per text the bits that all its units have).
-        An empty text has no units and all bits; ``tail`` is appended to every text."""
-        units: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for k, t in enumerate(texts):
-            if t:
-                u = split(t)
-                counts[k] = len(u)
-                units += u
-        rows, (ids, starts, lengths, flags) = self._lookup(units)
+        ``texts`` has no nulls; ``tail`` is appended to every text."""
+        lists = split(texts)
+        counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        found, (ids, starts, lengths, flags) = self._lookup(coded.dictionary.to_pylist())
+        rows = found[coded.indices.to_numpy()]
         n = lengths[rows]
         ends = np.concatenate([[0], np.cumsum(n)])
         last = np.cumsum(counts)
         first = last - counts
         per_text = ends[last] - ends[first]
         flat = ids[np.repeat(starts[rows] - ends[:-1], n) + np.arange(ends[-1])]
-        lacks = [np.concatenate([[0], np.cumsum((~flags[rows] >> k) & 1)]) for k in (0, 1)]
         if tail is not None:
             flat = np.insert(flat, np.cumsum(per_text), tail)
             per_text = per_text + 1
+        lacks = [np.concatenate([[0], np.cumsum((~flags[rows] >> k) & 1)]) for k in (0, 1)]
         bits = [(x[last] == x[first]).astype(np.int64) << k for k, x in enumerate(lacks)]
         return flat.astype(np.int32), per_text, bits[0] | bits[1]
 
@@ -82,7 +112,7 @@ class UnitTable:
 def _pack(lists: list[list[int]], flags: list[int]):
     """(ids, start and length by row, flags by row)."""
     lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-    ids = np.fromiter((i for x in lists for i in x), np.int32, int(lengths.sum()))
+    ids = np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum()))
     return ids, np.cumsum(lengths) - lengths, lengths, np.array(flags, np.int64)
 
 
@@ -91,18 +121,16 @@ def _join(a, b):
             np.concatenate([a[2], b[2]]), np.concatenate([a[3], b[3]]))
 
 
-def slices(texts: pa.Array) -> Iterator[list[str]]:
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
     """The texts of a batch (null as empty) in runs of about SLICE_CHARS characters."""
-    run, size = [], 0
-    for t in texts:
-        s = t.as_py() or ""
-        run.append(s)
-        size += len(s)
-        if size >= SLICE_CHARS:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+    texts = pc.fill_null(texts, "")
+    sizes = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        done = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, done + SLICE_CHARS)))
+        yield texts.slice(start, end - start)
+        start = end
 
 
 def list_array(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -9,7 +10,7 @@ from strata.llm import sentencepieces as S
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = ["", None, " ", "  two  spaces ", "a\nb c\t d", "it's we'll 12 345,67", "naïve œuvre ß € 漢字 漢 字 🙂 x",
-         "</s> a <s>b <unk>", "x" * 2000, "word " * 3000, "a \u00a0b", "lead\u2581ing mark", "<0x0A> byte", "tie", "tie"]
+         "</s> a <s>b <unk>", "x" * 2000, "word " * 3000, "a \u00a0b", "lead\u2581ing mark", "<0x0A> byte", "\nab \n cd\n", "x\n\ny", "one two\nthree", "\x01 cut \x01", "tie", "tie"]
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +41,7 @@ def test_parity_with_the_original(spark, original):
 def test_table_texts_parity(spark, original):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
     c = S.SentencePieceCodec(PATH)
-    ids, n, parity, lossless = c.encode([r.text for r in rows])
+    ids, n, parity, lossless = c.encode(pa.array([r.text for r in rows]))
     theirs = original.encode([r.text for r in rows])
     assert ids.tolist() == [i for t in theirs for i in t] and n.tolist() == list(map(len, theirs))
     assert parity.all() and lossless.all()

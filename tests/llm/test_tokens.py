@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -9,7 +10,7 @@ from strata.llm import tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = ["", None, " ", "  two  spaces ", "a\nb c\t d", "it's we'll 12 345,67", "naïve œuvre ß € 漢字 漢 字 🙂 x",
-         "<|endoftext|> a <|endoftext|>b", "x" * 3000, "word " * 5000, "a \u00a0b \x1c c", "\x00 first", "tie", "tie"]
+         "<|endoftext|> a <|endoftext|>b", "x" * 3000, "word " * 5000, "a \u00a0b \x1c c", "\x00 first", "\nab \n cd\n", "x\n\ny", "one two\nthree", "\x01 cut \x01", "tie", "tie"]
 
 
 @pytest.fixture(scope="module")
@@ -22,14 +23,14 @@ def reference():
 def test_units_give_the_ids_of_whole_texts(reference):
     enc = tokens.ByteLevelEncoder(PATH)
     for _ in range(2):                 # second time from the table
-        ids, n = enc.encode([t or "" for t in TEXTS])
+        ids, n = enc.encode(pa.array([t or "" for t in TEXTS]))
         assert n.tolist() == [len(reference(t)) for t in TEXTS]
         assert ids.tolist() == [i for t in TEXTS for i in reference(t)]
 
 
 def test_full_table_still_encodes(reference, monkeypatch):
     monkeypatch.setattr("strata.llm.units.MAX_CACHED_UNITS", 3)
-    ids, _ = tokens.ByteLevelEncoder(PATH).encode([t or "" for t in TEXTS])
+    ids, _ = tokens.ByteLevelEncoder(PATH).encode(pa.array([t or "" for t in TEXTS]))
     assert ids.tolist() == [i for t in TEXTS for i in reference(t)]
 
 
