@@ -9,8 +9,8 @@ windows the earliest by (doc_id, hash of the text, line) stays; the lines of all
 ones go, so a maximal repeated run goes whole and each line keeps a first copy.
 
 Everything is DataFrame functions.  Keys met often are counted and minimised with
-partial aggregates, and joined as one row per key against many, which Spark splits
-when skewed.
+partial aggregates and written, then joined as one row per key against many, which
+Spark splits when skewed.
 
 Defined cases: a null text stays null, an empty one empty; blank lines are never
 removed and do not interrupt a run; documents of fewer than RUN lines stay as they are;
@@ -55,13 +55,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, units): first units of all windows with an earlier equal."""
     found = materialize(fingerprints(docs), "fingerprints")
-    often = found.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint")
+    often = materialize(found.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                        .select("fingerprint"), "often")
     windows = found.join(often, "fingerprint", "left_semi").select(
         "doc_id", "text_hash", F.explode("windows").alias("w")).select("doc_id", "text_hash", "w.*")
     windows = materialize(windows, "windows")
     place = F.struct("doc_id", "text_hash", "unit")
-    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(
-        "first != last").select("h1", "h2", "first")
+    first = materialize(windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                        .where("NOT (first <=> last)").select("h1", "h2", "first"), "first")
     later = windows.join(first, ["h1", "h2"]).where(place > F.col("first"))
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set("unit").alias("units"))
 
@@ -72,7 +73,7 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     gone = materialize(repeated_windows(docs), "repeated")
     keyed = docs.withColumn("_text_hash", text_key())
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"),
-                       F.col("units").alias("_units"))
+                       F.col("units").alias("_units")).hint("merge")   # it grows with the documents
     joined = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["_gone_id"])
                         & (keyed["_text_hash"] == gone["_gone_hash"]), "left")
     lines = joined.withColumn("_lines", F.expr(_LINES))
