@@ -34,6 +34,7 @@ from strata.llm.common import materialize, same_document, text_key
 
 WINDOW = 13
 BLOCK_WORDS = 500_000
+MAX_BROADCAST_ROWS = 500_000   # counted before; larger tables are joined by sort and merge
 HIT_SHARE = 20           # contaminated: 20 * n_hit >= n_words
 
 _WORD_BYTES = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
@@ -184,6 +185,10 @@ def aligned(ws: list[bytes], item: tuple[bytes, ...], at: int) -> tuple[int, lis
     return same, stretches
 
 
+def _sized(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df.hint("merge")
+
+
 MATCHES = ("doc_id bigint, text_hash bigint, item int, at int, n_aligned int, "
            "stretches array<struct<start:int,end:int>>")
 
@@ -193,8 +198,9 @@ def verify(docs: DataFrame, found: DataFrame, block: QueryBlock) -> DataFrame:
 
     A row without stretches is a proximity match: its two rarest terms stand as in
     the item, n_aligned words in all, but no whole window does."""
+    found = materialize(found, "candidates")
     places = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item", "at")).alias("places"))
-    places = materialize(places, "places")
+    places = _sized(places, found.count())
     texts = docs.select("doc_id", text_key().alias("text_hash"), "text")
     both = texts.join(places, same_document(texts, places)).select(
         places["doc_id"], places["text_hash"], "text", "places")
@@ -248,6 +254,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.flatten(F.collect_list("stretches")), lambda s: F.sequence(s["start"], s["end"] - 1))))).alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("items"))
     hits = materialize(hits, "hits")
+    hits = _sized(hits, hits.count())
     joined = lengths.join(hits, same_document(lengths, hits), "left").select(
         lengths["doc_id"], lengths["text_hash"], "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
@@ -260,4 +267,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = contamination(docs, benchmark).where("contaminated").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     bad = materialize(bad, "contaminated")
+    bad = _sized(bad, bad.count())
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"]), "left_anti")
