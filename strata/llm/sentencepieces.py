@@ -14,6 +14,7 @@ carried along, columns named like the computed ones are replaced.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -143,6 +144,7 @@ class SentencePieceCodec:
         self._table = UnitTable(self._units)
 
     def _units(self, units: list[str]):
+        os.environ["TOKENIZERS_PARALLELISM"] = "true"
         lists = [e.ids for e in self.tokenizer.encode_batch(units, add_special_tokens=False)]
         theirs = self._original.encode(units, num_threads=1)
         back = self.tokenizer.decode_batch(lists, skip_special_tokens=False)

@@ -13,6 +13,7 @@ an empty table writes no rows; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -49,6 +50,7 @@ class ByteLevelEncoder:
         self._table = UnitTable(self._units)
 
     def _units(self, units: list[str]):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # the cores belong to Spark's tasks
         return [e.ids for e in self._tokenizer.encode_batch(units, add_special_tokens=False)], [3] * len(units)
 
     def encode(self, texts: pa.Array, tail: int | None = None) -> tuple[np.ndarray, np.ndarray]:

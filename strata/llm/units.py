@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_CACHED_UNITS = 250_000     # memory bound of a worker's table
+MAX_CACHED_UNITS = 350_000     # memory bound of a worker's table
 UNITS_AT_ONCE = 8_192          # units given to the library at a time
 SLICE_CHARS = 4_000_000        # characters handled at a time
 
@@ -93,20 +93,26 @@ class UnitTable:
         lists = split(texts)
         counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        found, (ids, starts, lengths, flags) = self._lookup(coded.dictionary.to_pylist())
+        found, table = self._lookup(coded.dictionary.to_pylist())
         rows = found[coded.indices.to_numpy()]
-        n = lengths[rows]
-        ends = np.concatenate([[0], np.cumsum(n)])
+        if tail is not None:             # a unit of its own after each text
+            table = _join(table, _pack([[tail]], [3]))
+            rows = np.insert(rows, np.cumsum(counts), len(table[1]) - 1)
+            counts += 1
+        ids, starts, lengths, flags = table
         last = np.cumsum(counts)
         first = last - counts
-        per_text = ends[last] - ends[first]
-        flat = ids[np.repeat(starts[rows] - ends[:-1], n) + np.arange(ends[-1])]
-        if tail is not None:
-            flat = np.insert(flat, np.cumsum(per_text), tail)
-            per_text = per_text + 1
-        lacks = [np.concatenate([[0], np.cumsum((~flags[rows] >> k) & 1)]) for k in (0, 1)]
-        bits = [(x[last] == x[first]).astype(np.int64) << k for k, x in enumerate(lacks)]
-        return flat.astype(np.int32), per_text, bits[0] | bits[1]
+        n = lengths[rows]
+        ends = np.zeros(len(n) + 1, np.int64)
+        np.cumsum(n, out=ends[1:])
+        places = np.repeat(starts[rows] - ends[:-1], n)
+        places += np.arange(ends[-1])
+        bits = np.full(len(texts), 3)
+        for k in (0, 1):
+            lacks = np.flatnonzero(~flags[rows] >> k & 1) if not (flags >> k & 1).all() else []
+            if len(lacks):
+                bits[np.searchsorted(last, lacks, side="right")] &= ~(1 << k)
+        return ids[places], ends[last] - ends[first], bits
 
 
 def _pack(lists: list[list[int]], flags: list[int]):
