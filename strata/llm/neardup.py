@@ -10,11 +10,14 @@ with equal sets form a class, and only classes are compared:
    most others is the centre, and the others are paired with it alone.
 3. Pairs whose sizes and collision-corrected Jaccard estimate allow the threshold are
    confirmed on the full sets; confirmed links give components.
-4. Buckets whose members are not all in one component go on: large ones are cut
-   further by a second band, then the CENTRES most connected members of each are
-   paired with the members of other components, settled and left out, until no bucket
-   has members of two components left to compare.  So no pair of a bucket is dropped,
-   and no step makes more than CENTRES rows per member.
+4. Buckets whose members are not all in one component go on.  Members of small ones are
+   paired across components.  Members of large ones are compared by the rarest shingles
+   of their full sets instead, in order of frequency: where sets reach the threshold, one
+   of the first n - ceil(0.85 n) + 1 shingles of the larger is among the first
+   m - ceil(1.7 m / 1.85) + 1 of the smaller.  So texts that only share a common passage
+   no longer meet, and no pair is lost.  CENTRES members of each such shingle, from its
+   smallest components, are paired with the members of other components, settled and left
+   out, until nothing is left to compare.  No step makes more than CENTRES rows a member.
 
 Defined cases: null and wordless texts have an empty set, are linked with nothing and
 keep their own id; with fewer than 5 words the whole sequence is the one shingle;
@@ -43,8 +46,8 @@ BAND, BANDS = 6, 24
 REGISTERS = BAND * BANDS
 MANTISSA = 10
 SIGMAS = 5              # estimates this far below the threshold are still confirmed
+SMALL_BUCKET = 8        # members up to which a bucket's pairs are listed
 CENTRES = 64
-SPLIT_ABOVE = 64        # members left in a bucket before a second band cuts it
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BORROW = np.random.RandomState(7).rand(REGISTERS, REGISTERS).argsort(axis=1)
@@ -200,30 +203,31 @@ def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(shared.where(100 * F.col("s") >= MIN_PERCENT * (n + m - F.col("s"))).select("a", "b"), "links")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that links reach, by rounds of taking the
     smallest label of the neighbours and then the label of that label."""
-    both = materialize(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = materialize(both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")), "labels")
+    both = links.select("a", "b").union(links.select("b", "a")).distinct()
+    labels = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("component")), "labels").select(
+        F.col("a").alias("node"), "component")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(
             F.min("component").alias("near"))
         step = labels.join(near, labels["node"] == near["a"]).select(
             "node", F.col("component").alias("old"), F.least("component", "near").alias("mid"))
         over = labels.select(F.col("node").alias("mid"), F.col("component").alias("jump"))
-        step = materialize(step.join(over, "mid").select(
+        labels = materialize(step.join(over, "mid").select(
             "node", "old", F.least("mid", "jump").alias("component")), "labels")
-        labels = step.select("node", "component")
-        if step.where("old != component").isEmpty():
-            return labels
+        if labels.where("old != component").isEmpty():
+            return labels.select("node", "component")
+        labels = labels.select("node", "component")
 
 
 def band_keys(nodes: DataFrame) -> DataFrame:
-    """(node, band, key) for every band of every class."""
+    """(node, key) for every band of every class."""
     size = 2 * BAND
-    return nodes.select("node", F.posexplode(F.expr(
+    return nodes.select("node", F.explode(F.expr(
         f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(registers, {size} * b + 1, {size})))")
-    ).alias("band", "key"))
+    ).alias("key"))
 
 
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -235,6 +239,35 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(mixed, "key")
 
 
+def _rarest_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, node, weight, n, v, first): the shingles of each node's set among which one is shared with
+    every set that reaches the threshold, in order of their frequency in these sets.
+    Shingles of one set alone count for the order but are no key; v of the n are in
+    others too.  ``first`` marks those that count for the smaller of two sets."""
+    tokens = materialize(sets.join(nodes, "node").select(
+        "node", "weight", F.size("shingles").alias("n"), F.explode("shingles").alias("key")), "shingles")
+    common = materialize(tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
+    tokens = tokens.join(common, "key")
+    by_node = Window.partitionBy("node")
+    prefix = F.col("n") - F.ceil(F.col("n") * MIN_PERCENT / 100) + 1 - (F.col("n") - F.col("v"))
+    ranked = tokens.withColumn("v", F.count(F.lit(1)).over(by_node)).withColumn("prefix", prefix).withColumn(
+        "rank", F.row_number().over(by_node.orderBy("df", "key")))
+    first = F.col("v") - F.ceil(F.col("n") * (2 * MIN_PERCENT) / (100 + MIN_PERCENT)) + 1
+    keys = materialize(ranked.where("rank <= prefix").select(
+        "key", "node", "weight", "n", "v", (F.col("rank") <= first).alias("first")), "keys")
+    # members that reach the threshold with no other of their bucket, whatever it is
+    bounds = keys.groupBy("key").agg(F.min("n").alias("n_least"), F.max("v").alias("v_most"),
+                                     F.min(F.when(F.col("first"), F.col("n"))).alias("first_least"))
+    return keys.join(materialize(bounds, "bounds"), "key").where(
+        _may_reach("n", "v", "n_least", "v_most") & (F.col("first") | (F.col("first_least") <= F.col("n")))).drop(
+        "n_least", "v_most", "first_least")
+
+
+def _may_reach(n: str, v: str, m: str, w: str):
+    """Whether sets of n and m shingles, v and w of them shared with any set, can reach the threshold."""
+    return (100 + MIN_PERCENT) * F.least(v, w) >= MIN_PERCENT * (F.col(n) + F.col(m))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, text_hash) per row of ``docs``."""
     rows = materialize(sketches(docs), "sketches")
@@ -245,34 +278,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     banded = band_keys(classes)
     shared = materialize(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    members = materialize(banded.join(shared, "key"), "members")
-    met = materialize(members.groupBy("node").agg(F.sum("n").alias("weight")), "met")
-    members = materialize(members.join(met, "node").select("key", "node", "band", "weight"), "members")
+    met = banded.join(shared, "key").select("key", "node", "n")
+    weights = met.groupBy("node").agg(F.sum("n").alias("weight"))
+    members = materialize(met.join(weights, "node").select("key", "node", "weight"), "members")
     repeated = not rows.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
-    sets = materialize(_full_sets(docs, classes.join(met, "node", "left_semi"), repeated), "sets")
+    sets = materialize(_full_sets(docs, classes.join(members, "node", "left_semi"), repeated), "sets")
 
-    centre = materialize(members.groupBy("key").agg(
-        F.max(F.struct("weight", "node")).alias("c")).select("key", F.col("c.node").alias("a")), "centres")
-    pairs = members.join(centre, "key").where("a != node").select("a", F.col("node").alias("b")).distinct()
-    links = confirm(pairs, classes, sets)
-    labels = components(classes, links)
+    centre = members.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("c")).select(
+        "key", F.col("c.node").alias("a"))
+    links = confirm(members.join(centre, "key").where("a != node").select("a", F.col("node").alias("b")).distinct(),
+                    classes, sets)
+    labels = components(links)
 
     left = materialize(_unsettled(members, labels), "left")
-    large = left.where(F.col("members") > SPLIT_ABOVE)
-    second = large.join(band_keys(classes).select("node", F.col("band").alias("other"), F.col("key").alias("by")), "node")
-    second = second.where("band != other").select(F.xxhash64("key", "by").alias("key"), "node", "weight")
-    active = left.where(F.col("members") <= SPLIT_ABOVE).select("key", "node", "weight").union(second)
-    left = materialize(_unsettled(active, labels), "left")
+    small = left.where(F.col("members") <= SMALL_BUCKET).select("key", "node", "component")
+    pairs = small.alias("x").join(small.alias("y"), "key").where(
+        "x.node < y.node AND x.component != y.component").selectExpr("x.node AS a", "y.node AS b").distinct()
+    links = links.union(confirm(pairs, classes, sets))
+    large = left.where(F.col("members") > SMALL_BUCKET).select("node", "weight").distinct()
+    left = materialize(_unsettled(_rarest_shingles(large, sets), labels), "left")
     while not left.isEmpty():
-        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "node"))
-        chosen = materialize(left.withColumn("rank", rank).where(F.col("rank") <= CENTRES)
-                             .select("key", F.col("node").alias("a"), F.col("component").alias("ca")), "chosen")
-        pairs = left.join(chosen, "key").where("ca != component").select(
-            F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        links = materialize(links.union(confirm(pairs, classes, sets)), "links")
-        labels = components(classes, links)
+        # the largest component of a bucket comes last: without the others nothing is left
+        share = left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("share"))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("share", F.desc("weight"), "node"))
+        chosen = materialize(left.join(share, ["key", "component"]).withColumn("rank", rank).where(F.col("rank") <= CENTRES).select(
+            "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("v").alias("va"),
+            F.col("first").alias("fa")), "chosen")
+        smaller_first = F.when(F.struct("n", "node") < F.struct("na", "a"), F.col("first")).otherwise(F.col("fa"))
+        pairs = left.join(chosen, "key").where(
+            (F.col("ca") != F.col("component")) & smaller_first & _may_reach("n", "v", "na", "va"))
+        new = confirm(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(),
+                      classes, sets)
+        if not new.isEmpty():
+            links = links.union(new)
+            labels = components(links)
         rest = left.join(chosen.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
-        left = materialize(_unsettled(rest.select("key", "node", "weight"), labels), "left")
+        left = materialize(_unsettled(rest.select("key", "node", "weight", "n", "v", "first"), labels), "left")
+    labels = components(links)
 
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = materialize(named.select("node", "doc_id", "component"), "named")

@@ -65,8 +65,8 @@ def got(df):
 @pytest.mark.parametrize("seed", range(2))
 def test_equals_brute_force(spark, seed, monkeypatch):
     if seed:
-        monkeypatch.setattr(N, "CENTRES", 2)
-        monkeypatch.setattr(N, "SPLIT_ABOVE", 3)
+        monkeypatch.setattr(N, "CENTRES", 16)
+        monkeypatch.setattr(N, "SMALL_BUCKET", 2)
     rows = corpus(seed) + [(9000, None), (9001, ""), (9002, " \n"), (9003, "a b"), (9004, "A  b"), (9005, "x" * 9999)]
     docs = spark.createDataFrame([(*x, "c") for x in rows], "doc_id bigint, text string, node string").repartition(4)
     out = N.near_duplicates(docs)
