@@ -55,11 +55,10 @@ CLAIM_STATUS = ("TRUE", "FALSE", "SUSPECTED")
 
 # --- rule-based extraction (the engine's deterministic stand-in for the
 # model call; own design, not reference values) ---
-ENTITY_WORD_RE = "^[A-Z][a-z]{6,}$"      # capitalised alphabetic word, >= 7 letters
-LETTER_RUN_RE = "[A-Za-z]+"
+ENTITY_WORD_RE = r"^\p{Lu}\p{L}+$"        # capitalised word of any script with case
+LETTER_RUN_RE = r"\p{L}+"
 SENTENCE_RE = "[^.!?\n]+[.!?]?"
 WS_TOKEN_RE = "[^ \t\n\r\f]+"
-MIN_ENTITY_DOCS = 3                      # an entity recurs in >= 3 documents of its tier
 # type rule by upper-cased suffix, first match wins
 TYPE_RULES = (("%TION", "EVENT"), ("%ER", "PERSON"), ("%OR", "PERSON"), ("%AN", "GEO"), ("%IA", "GEO"))
 DEFAULT_TYPE = "ORGANIZATION"

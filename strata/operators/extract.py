@@ -1,8 +1,7 @@
 """Per-unit extraction and the structured-record formats.
 
 The extraction step is a deterministic rule extractor (no Python): sentences
-are cut with a regex, capitalised words of >= 7 letters become typed
-mentions, mentions of types outside the tier's list are dropped, and
+are cut with a regex, capitalised words become typed mentions, mentions of types outside the tier's list are dropped, and
 consecutive mentions of two different entities inside one unit become a
 relationship.  Pairing only *consecutive* mentions keeps the output linear
 in the unit length: no all-pairs fan-out, whatever the entity frequency.
@@ -30,7 +29,7 @@ def _type_sql(x: str) -> str:
 
 # Java-side equivalent of "a maximal letter run that fully matches
 # ENTITY_WORD_RE": lookarounds pin both ends of the run.
-ENTITY_CANDIDATE_RE = "(?<![A-Za-z])[A-Z][a-z]{6,}(?![A-Za-z])"
+ENTITY_CANDIDATE_RE = r"(?<!\p{L})\p{Lu}\p{L}++"
 
 
 def mentions(units: DataFrame, type_filter: bool = True) -> DataFrame:

@@ -54,7 +54,6 @@ class GraphIndex:
     """Lazily built, memoised stage DataFrames of one indexing run."""
 
     documents: DataFrame
-    min_docs: int = C.MIN_ENTITY_DOCS
     materialize: bool = True
 
     def _m(self, df: DataFrame) -> DataFrame:
@@ -81,20 +80,18 @@ class GraphIndex:
 
     @cached_property
     def qualified(self) -> DataFrame:
-        """(level, title) of entities recurring in >= min_docs documents."""
-        c = distinct_counts(self.unit_entities, ["level", "title"], "doc_id", "n_docs")
-        return self._m(c.where(F.col("n_docs") >= self.min_docs))
+        """(level, title, n_docs) of every entity; how often it recurs is a column, no filter."""
+        return self._m(distinct_counts(self.unit_entities, ["level", "title"], "doc_id", "n_docs"))
 
     @cached_property
     def entity_units(self) -> DataFrame:
-        """Link table (level, title, unit_id, doc_id) for qualified entities."""
-        return (self.unit_entities.join(self.qualified.select("level", "title"), ["level", "title"], "left_semi")
-                .select("level", "title", "unit_id", "doc_id"))
+        """Link table (level, title, unit_id, doc_id) of all entities."""
+        return self.unit_entities.select("level", "title", "unit_id", "doc_id")
 
     @cached_property
     def entities(self) -> DataFrame:
         keys = ["level", "title"]
-        ue = self.unit_entities.join(self.qualified.select(*keys), keys, "left_semi")
+        ue = self.unit_entities
         # unit_entities has one row per (unit, title): unit count = row count
         agg = ue.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_units"), F.min("type").alias("type"))
         d = distinct_texts(ue, keys)
@@ -108,11 +105,8 @@ class GraphIndex:
 
     @cached_property
     def pair_rows(self) -> DataFrame:
-        """Per-unit relationship rows whose both endpoints are qualified."""
-        q = self.qualified.select("level", "title")
-        r = self.unit_relationships
-        r = r.join(q.withColumnRenamed("title", "source"), ["level", "source"], "left_semi")
-        return r.join(q.withColumnRenamed("title", "target"), ["level", "target"], "left_semi")
+        """Per-unit relationship rows."""
+        return self.unit_relationships
 
     @cached_property
     def relationships(self) -> DataFrame:

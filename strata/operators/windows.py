@@ -1,8 +1,8 @@
 """Window-shaped operators that must not funnel into one partition.
 
 * ``global_row_number``: a dense 1..N numbering in a total order, done as a
-  range-partitioned sort + per-partition numbering + per-partition offsets
-  (offsets table has one row per partition: bounded, broadcast-safe).
+  range-partitioned sort + per-partition numbering, checkpointed once, +
+  per-partition offsets (one row per partition: bounded, broadcast-safe).
 * ``shard_of``: deterministic shard of an id, part of the definition of
   order-dependent packings (same data + same shard count -> same batches).
 * ``greedy_pack``: reset-on-overflow token packing, exact within a shard,
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata import config as C
+from strata.session import cut_lineage
 
 
 def shard_of(id_col, n: int = C.PACK_SHARDS) -> Column:
@@ -31,9 +32,12 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_id",
     order), without a single-partition window."""
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(*order)
-    local = ranged.withColumn("_local", F.row_number().over(w))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # range bounds are sampled anew by every run of the plan: the partition and the
+    # number in it (upper and lower bits of the id) are fixed once, before counting
+    numbered = cut_lineage(ranged.withColumn("_id", F.monotonically_increasing_id()))
+    local = (numbered.withColumn("_pid", F.shiftright("_id", 33))
+             .withColumn("_local", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_id"))
     counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.withColumn("_off", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1))).select("_pid", F.coalesce("_off", F.lit(0)).alias("_off"))

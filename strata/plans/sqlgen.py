@@ -83,7 +83,7 @@ def graph_ctes() -> list[str]:
         f"""mentions AS (
   SELECT id AS unit_id, doc_id, level, title, type, sent_ix, w_ix, sentence,
          row_number() OVER (PARTITION BY id ORDER BY sent_ix, w_ix) AS pos
-  FROM (SELECT *, upper(w) AS title, {type_sql('upper(w)')} AS type FROM sent_words)
+  FROM (SELECT *, upper(replace(w, 'ß', 'ss')) AS title, {type_sql("upper(replace(w, 'ß', 'ss'))")} AS type FROM sent_words)
   WHERE list_contains({tier_types_sql()}, type))""",
         """unit_ents AS (
   SELECT level, doc_id, unit_id, title, min(type) AS type, arg_min(sentence, pos) AS description
@@ -100,7 +100,7 @@ def graph_ctes() -> list[str]:
   GROUP BY level, doc_id, unit_id, least(a_t, b_t), greatest(a_t, b_t))""",
         f"""qualified AS (
   SELECT level, title, count(DISTINCT doc_id) AS n_docs FROM unit_ents
-  GROUP BY level, title HAVING count(DISTINCT doc_id) >= {C.MIN_ENTITY_DOCS})""",
+  GROUP BY level, title)""",
         """q_unit_ents AS (
   SELECT u.* FROM unit_ents u JOIN qualified q ON u.level = q.level AND u.title = q.title)""",
         summary_cte("ent_summary", "q_unit_ents", ["level", "title"]),

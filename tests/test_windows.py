@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from strata.operators.windows import budget_prefix, global_row_number, greedy_pack
+from strata.operators.windows import budget_prefix, count_batches, global_row_number, greedy_pack
 
 
 def test_global_row_number_dense(spark):
@@ -45,3 +45,21 @@ def test_salted_join_equals_plain_join(spark):
     b = big.join(small, ["level", "nbr"]).select("id", "label")
     assert a.count() == b.count() == 600
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_numbering_of_a_million_rows_when_written(spark, tmp_path):
+    df = spark.range(1_000_000).select(F.pmod(F.xxhash64("id"), F.lit(1000)).alias("k"), F.col("id"))
+    path = str(tmp_path / "numbered")
+    global_row_number(df, [F.col("k"), F.col("id")], parts=8).write.parquet(path)
+    r = spark.read.parquet(path).agg(F.countDistinct("row_id"), F.min("row_id"), F.max("row_id")).first()
+    assert tuple(r) == (1_000_000, 1, 1_000_000)
+
+
+def test_count_batches_of_a_million_rows(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    count_batches(spark.range(1_000_000), "id", size=16).write.parquet(path)
+    got = spark.read.parquet(path)
+    sizes = got.groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n"))
+    assert sizes.agg(F.max("n"), F.min("batch")).first()[:] == (16, 0)
+    full = got.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), (F.max("batch") + 1).alias("batches"))
+    assert full.where("batches != ceil(rows / 16)").count() == 0 and got.count() == 1_000_000
