@@ -134,21 +134,30 @@ def scan_binary_route(spark, d):
         bad.select("path", "ext", F.lit("quarantine").alias("status")))
 
 
-@register("docx_to_text", f"""
-SELECT {PATH_SQL} AS path, text, CAST(NULL AS VARCHAR) AS error FROM documents WHERE lang = 'de'""")
+def _office_files(docs, ext: str, make):
+    """One Office file per document, made of its lines by ``make``."""
+    def build(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"path": [f"raw/{ext}/doc{i}.{ext}" for i in pdf["doc_id"]], "ext": f".{ext}",
+                                "content": [make((t or "").split("\n")) for t in pdf["text"]]})
+    return docs.select("doc_id", "text").mapInPandas(build, "path string, ext string, content binary")
+
+
+@register("docx_to_text", """
+SELECT 'raw/docx/doc' || CAST(doc_id AS VARCHAR) || '.docx' AS path, text, CAST(NULL AS VARCHAR) AS error
+FROM documents""")
 def docx_to_text(spark, d):
-    vf = virtual_files(Ctx(spark, d).t.documents)
-    routed, _ = FS.route(vf)
-    return FS.extract_office(routed.where(F.col("ext") == ".docx"))
+    """Each document line becomes one paragraph; parse back in order."""
+    return FS.extract_office(_office_files(Ctx(spark, d).t.documents, "docx", FS.make_docx))
 
 
-@register("xlsx_to_text", f"""
-SELECT {PATH_SQL} AS path, 'Sheet: Sheet1' || chr(10) || text || chr(10) AS text, CAST(NULL AS VARCHAR) AS error
-FROM documents WHERE lang = 'es'""")
+@register("xlsx_to_text", """
+SELECT 'raw/xlsx/doc' || CAST(doc_id AS VARCHAR) || '.xlsx' AS path,
+       'Sheet: Sheet1' || chr(10) || text || chr(10) AS text, CAST(NULL AS VARCHAR) AS error FROM documents""")
 def xlsx_to_text(spark, d):
-    vf = virtual_files(Ctx(spark, d).t.documents)
-    routed, _ = FS.route(vf)
-    return FS.extract_office(routed.where(F.col("ext") == ".xlsx"))
+    """Each document line becomes one row of cells; parse back in row order."""
+    return FS.extract_office(_office_files(
+        Ctx(spark, d).t.documents, "xlsx", lambda lines: FS.make_xlsx({"Sheet1": [ln.split(" ") for ln in lines]})))
 
 
 @register("pptx_to_text", """
@@ -156,15 +165,8 @@ SELECT 'raw/pptx/doc' || CAST(doc_id AS VARCHAR) || '.pptx' AS path, text || chr
        CAST(NULL AS VARCHAR) AS error FROM documents""")
 def pptx_to_text(spark, d):
     """Each document line becomes one slide shape; parse back in slide order."""
-    docs = Ctx(spark, d).t.documents
-
-    def mk(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"path": [f"raw/pptx/doc{i}.pptx" for i in pdf["doc_id"]],
-                                "ext": ".pptx",
-                                "content": [FS.make_pptx([[ln] for ln in (t or "").split("\n")]) for t in pdf["text"]]})
-    files = docs.select("doc_id", "text").mapInPandas(mk, "path string, ext string, content binary")
-    return FS.extract_office(files)
+    return FS.extract_office(_office_files(
+        Ctx(spark, d).t.documents, "pptx", lambda lines: FS.make_pptx([[ln] for ln in lines])))
 
 
 @register("scan_text_docs", "SELECT doc_id, text FROM documents")

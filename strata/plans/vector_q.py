@@ -127,7 +127,7 @@ def embed_text(spark, d):
 
 @register("embed_corpus", f"""
 WITH ch AS (
-  SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_ix, document_text, doc_id * 100000 + (i - 1) AS chunk_id FROM (
+  SELECT doc_id, CAST(i - 1 AS INTEGER) AS chunk_ix, document_text, doc_id || ':' || (i - 1) AS chunk_id FROM (
     SELECT doc_id, unnest(parts) AS document_text, generate_subscripts(parts, 1) AS i FROM (
       SELECT doc_id, CASE WHEN len(toks) > {C.WORD_CHUNK}
         THEN list_transform(range(0, len(toks), {C.WORD_STRIDE}),
@@ -144,7 +144,7 @@ def embed_corpus(spark, d):
     """documents -> word chunks -> vectors (the directory-embedding job)."""
     from strata.sources.tables import spread_small
     ch = word_chunks(spread_small(Ctx(spark, d).t.documents))
-    ch = ch.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("chunk_ix"))
+    ch = ch.withColumn("chunk_id", F.concat_ws(":", "doc_id", "chunk_ix"))
     e = V.embed_text(ch, "chunk_id", "document_text")
     return ch.join(e, "chunk_id").select("doc_id", "chunk_ix", "document_text", "embedding")
 

@@ -141,7 +141,7 @@ def extract_office(routed: DataFrame) -> DataFrame:
                     errs.append(None)
                 except Exception as exc:  # noqa: BLE001 - corrupt input -> quarantine row
                     texts.append(None)
-                    errs.append(f"{type(exc).__name__}: {exc}"[:200])
+                    errs.append(f"{type(exc).__name__}: {exc}")
             yield pd.DataFrame({"path": pdf["path"], "text": texts, "error": errs})
 
     office = routed.where(F.col("ext").isin(*PARSERS))
@@ -149,11 +149,12 @@ def extract_office(routed: DataFrame) -> DataFrame:
 
 
 def convert(routed: DataFrame) -> DataFrame:
-    """All natively handled kinds -> (path, stem, text, error)."""
-    txt = routed.where(F.col("ext") == ".txt").select(
-        "path", strip_bom(F.decode("content", "UTF-8")).alias("text"), F.lit(None).cast("string").alias("error"))
-    htm = routed.where(F.col("ext") == ".html").select(
-        "path", html_to_text(F.decode("content", "UTF-8")).alias("text"), F.lit(None).cast("string").alias("error"))
+    """All natively handled kinds -> (path, stem, text, error); malformed UTF-8 gives
+    a row with an error and no text."""
+    decoded = F.try_validate_utf8(F.col("content").cast("string"))
+    error = F.when(F.col("content").isNotNull() & decoded.isNull(), "malformed UTF-8").alias("error")
+    txt = routed.where(F.col("ext") == ".txt").select("path", strip_bom(decoded).alias("text"), error)
+    htm = routed.where(F.col("ext") == ".html").select("path", html_to_text(decoded).alias("text"), error)
     off = extract_office(routed)
     return txt.unionByName(htm).unionByName(off).withColumn("stem", stem_of(F.col("path")))
 
