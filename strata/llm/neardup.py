@@ -243,7 +243,7 @@ def _rarest_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """(key, node, weight, n, v, first): the shingles of each node's set among which one is shared with
     every set that reaches the threshold, in order of their frequency in these sets.
     Shingles of one set alone count for the order but are no key; v of the n are in
-    others too.  ``first`` marks those that count for the smaller of two sets."""
+    others too, ``rest`` from this one on.  ``first`` marks those that count for the smaller set."""
     tokens = materialize(sets.join(nodes, "node").select(
         "node", "weight", F.size("shingles").alias("n"), F.explode("shingles").alias("key")), "shingles")
     common = materialize(tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
@@ -254,7 +254,8 @@ def _rarest_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
         "rank", F.row_number().over(by_node.orderBy("df", "key")))
     first = F.col("v") - F.ceil(F.col("n") * (2 * MIN_PERCENT) / (100 + MIN_PERCENT)) + 1
     keys = materialize(ranked.where("rank <= prefix").select(
-        "key", "node", "weight", "n", "v", (F.col("rank") <= first).alias("first")), "keys")
+        "key", "node", "weight", "n", "v", (F.col("v") - F.col("rank") + 1).alias("rest"),
+        (F.col("rank") <= first).alias("first")), "keys")
     # members that reach the threshold with no other of their bucket, whatever it is
     bounds = keys.groupBy("key").agg(F.min("n").alias("n_least"), F.max("v").alias("v_most"),
                                      F.min(F.when(F.col("first"), F.col("n"))).alias("first_least"))
@@ -298,22 +299,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     large = left.where(F.col("members") > SMALL_BUCKET).select("node", "weight").distinct()
     left = materialize(_unsettled(_rarest_shingles(large, sets), labels), "left")
     while not left.isEmpty():
-        # the largest component of a bucket comes last: without the others nothing is left
+        # the largest component of a bucket comes last: without the others nothing is left.
+        # A pair is made where this may be its first shingle in common: then the overlap is
+        # at most what follows in either set, and the smaller set has it among its first.
         share = left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("share"))
         rank = F.row_number().over(Window.partitionBy("key").orderBy("share", F.desc("weight"), "node"))
         chosen = materialize(left.join(share, ["key", "component"]).withColumn("rank", rank).where(F.col("rank") <= CENTRES).select(
-            "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("v").alias("va"),
+            "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("rest").alias("ra"),
             F.col("first").alias("fa")), "chosen")
         smaller_first = F.when(F.struct("n", "node") < F.struct("na", "a"), F.col("first")).otherwise(F.col("fa"))
         pairs = left.join(chosen, "key").where(
-            (F.col("ca") != F.col("component")) & smaller_first & _may_reach("n", "v", "na", "va"))
+            (F.col("ca") != F.col("component")) & smaller_first & _may_reach("n", "rest", "na", "ra"))
         new = confirm(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(),
                       classes, sets)
         if not new.isEmpty():
             links = links.union(new)
             labels = components(links)
         rest = left.join(chosen.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
-        left = materialize(_unsettled(rest.select("key", "node", "weight", "n", "v", "first"), labels), "left")
+        left = materialize(_unsettled(rest.select("key", "node", "weight", "n", "v", "rest", "first"), labels), "left")
     labels = components(links)
 
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
