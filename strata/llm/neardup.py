@@ -13,12 +13,15 @@ with equal sets form a class, and only classes are compared:
 4. Buckets whose members are not all in one component go on.  Members of small ones are
    paired across components.  Members of large ones are compared by the rarest shingles
    of their full sets instead, in order of frequency: where sets reach the threshold, one
-   of the first n - ceil(0.85 n) + 1 shingles of the larger is among the first
-   m - ceil(1.7 m / 1.85) + 1 of the smaller.  So texts that only share a common passage
+   of the first n - ceil(t n) + 1 shingles of the larger is among the first
+   m - ceil(2 t m / (1 + t)) + 1 of the smaller (t is the threshold).  So texts that only share a common passage
    no longer meet, and no pair is lost.  CENTRES members of each such shingle, from its
    smallest components, are paired with the members of other components, settled and left
    out, until nothing is left to compare.  No step makes more than CENTRES rows a member.
 
+The threshold is the least Jaccard similarity in percent; it sets the bands, the bounds
+on sizes and estimates, and the prefixes.
+
 Defined cases: null and wordless texts have an empty set, are linked with nothing and
 keep their own id; with fewer than 5 words the whole sequence is the one shingle;
 repeated rows are one class (a null id counts after all others); an empty table gives
@@ -42,8 +45,8 @@ from strata.llm.units import slices
 
 SHINGLE = 5
 MIN_PERCENT = 85
-BAND, BANDS = 6, 24
-REGISTERS = BAND * BANDS
+REGISTERS = 144
+MISSED = 2e-5           # share of pairs at the threshold that may meet in no band
 MANTISSA = 10
 SIGMAS = 5              # estimates this far below the threshold are still confirmed
 SMALL_BUCKET = 8        # members up to which a bucket's pairs are listed
@@ -53,6 +56,15 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BORROW = np.random.RandomState(7).rand(REGISTERS, REGISTERS).argsort(axis=1)
 
 
+def bands(percent: int) -> tuple[int, int]:
+    """(registers a band, bands): the widest bands by which at most MISSED of the pairs at
+    ``percent`` are missed, single registers where none does."""
+    for band in range(12, 1, -1):
+        if (1 - (percent / 100) ** band) ** (REGISTERS // band) <= MISSED:
+            return band, REGISTERS // band
+    return 1, REGISTERS
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -184,23 +196,23 @@ def _shared(left: pa.Array, right: pa.Array) -> pa.Array:
                      for a, b, c, d in zip(i[:-1], i[1:], j[:-1], j[1:])], pa.int64())
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets reach the threshold."""
+def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets reach ``percent``."""
     def side(name: str) -> DataFrame:
         return classes.select(F.col("node").alias(name), F.col("registers").alias(f"r{name}"),
                               F.col("n_shingles").alias(f"n{name}"))
 
-    least = MIN_PERCENT / 100
+    least = percent / 100
     n, m = F.col("na"), F.col("nb")
     close = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        100 * F.least(n, m) >= MIN_PERCENT * F.greatest(n, m))
+        100 * F.least(n, m) >= percent * F.greatest(n, m))
     slack = SIGMAS * F.sqrt(F.lit(least * (1 - least)) / F.least(n, m, F.lit(REGISTERS)))
     close = close.where(_estimate("ra", "rb", "na", "nb") >= least - slack).select("a", "b", "na", "nb")
     close = materialize(close, "pairs")
     full = close.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     shared = full.select("a", "b", "na", "nb", _shared("sa", "sb").alias("s"))
-    return materialize(shared.where(100 * F.col("s") >= MIN_PERCENT * (n + m - F.col("s"))).select("a", "b"), "links")
+    return materialize(shared.where(100 * F.col("s") >= percent * (n + m - F.col("s"))).select("a", "b"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -222,11 +234,12 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.select("node", "component")
 
 
-def band_keys(nodes: DataFrame) -> DataFrame:
+def band_keys(nodes: DataFrame, percent: int) -> DataFrame:
     """(node, key) for every band of every class."""
-    size = 2 * BAND
+    band, count = bands(percent)
+    size = 2 * band
     return nodes.select("node", F.explode(F.expr(
-        f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(registers, {size} * b + 1, {size})))")
+        f"transform(sequence(0, {count - 1}), b -> xxhash64(b, substring(registers, {size} * b + 1, {size})))")
     ).alias("key"))
 
 
@@ -239,7 +252,7 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(mixed, "key")
 
 
-def _rarest_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def _rarest_shingles(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(key, node, weight, n, v, first): the shingles of each node's set among which one is shared with
     every set that reaches the threshold, in order of their frequency in these sets.
     Shingles of one set alone count for the order but are no key; v of the n are in
@@ -249,10 +262,10 @@ def _rarest_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     common = materialize(tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
     tokens = tokens.join(common, "key")
     by_node = Window.partitionBy("node")
-    prefix = F.col("n") - F.ceil(F.col("n") * MIN_PERCENT / 100) + 1 - (F.col("n") - F.col("v"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("v"))
     ranked = tokens.withColumn("v", F.count(F.lit(1)).over(by_node)).withColumn("prefix", prefix).withColumn(
         "rank", F.row_number().over(by_node.orderBy("df", "key")))
-    first = F.col("v") - F.ceil(F.col("n") * (2 * MIN_PERCENT) / (100 + MIN_PERCENT)) + 1
+    first = F.col("v") - F.ceil(F.col("n") * (2 * percent) / (100 + percent)) + 1
     keys = materialize(ranked.where("rank <= prefix").select(
         "key", "node", "weight", "n", "v", (F.col("v") - F.col("rank") + 1).alias("rest"),
         (F.col("rank") <= first).alias("first")), "keys")
@@ -260,24 +273,25 @@ def _rarest_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     bounds = keys.groupBy("key").agg(F.min("n").alias("n_least"), F.max("v").alias("v_most"),
                                      F.min(F.when(F.col("first"), F.col("n"))).alias("first_least"))
     return keys.join(materialize(bounds, "bounds"), "key").where(
-        _may_reach("n", "v", "n_least", "v_most") & (F.col("first") | (F.col("first_least") <= F.col("n")))).drop(
+        _may_reach("n", "v", "n_least", "v_most", percent) & (F.col("first") | (F.col("first_least") <= F.col("n")))).drop(
         "n_least", "v_most", "first_least")
 
 
-def _may_reach(n: str, v: str, m: str, w: str):
-    """Whether sets of n and m shingles, v and w of them shared with any set, can reach the threshold."""
-    return (100 + MIN_PERCENT) * F.least(v, w) >= MIN_PERCENT * (F.col(n) + F.col(m))
+def _may_reach(n: str, v: str, m: str, w: str, percent: int):
+    """Whether sets of n and m shingles, v and w of them shared with any set, can reach ``percent``."""
+    return (100 + percent) * F.least(v, w) >= percent * (F.col(n) + F.col(m))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, text_hash) per row of ``docs``."""
+def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, text_hash) per row of ``docs``; texts of
+    similarity ``percent`` or more are linked."""
     rows = materialize(sketches(docs), "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     classes = materialize(rows.where("n_shingles > 0").groupBy("node").agg(
         F.min(first).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
         .select("node", "first.doc_id", "first.text_hash", "n_shingles", "registers"), "classes")
 
-    banded = band_keys(classes)
+    banded = band_keys(classes, percent)
     shared = materialize(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     met = banded.join(shared, "key").select("key", "node", "n")
     weights = met.groupBy("node").agg(F.sum("n").alias("weight"))
@@ -288,16 +302,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     centre = members.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("c")).select(
         "key", F.col("c.node").alias("a"))
     links = confirm(members.join(centre, "key").where("a != node").select("a", F.col("node").alias("b")).distinct(),
-                    classes, sets)
+                    classes, sets, percent)
     labels = components(links)
 
     left = materialize(_unsettled(members, labels), "left")
     small = left.where(F.col("members") <= SMALL_BUCKET).select("key", "node", "component")
     pairs = small.alias("x").join(small.alias("y"), "key").where(
         "x.node < y.node AND x.component != y.component").selectExpr("x.node AS a", "y.node AS b").distinct()
-    links = links.union(confirm(pairs, classes, sets))
+    links = links.union(confirm(pairs, classes, sets, percent))
     large = left.where(F.col("members") > SMALL_BUCKET).select("node", "weight").distinct()
-    left = materialize(_unsettled(_rarest_shingles(large, sets), labels), "left")
+    left = materialize(_unsettled(_rarest_shingles(large, sets, percent), labels), "left")
     while not left.isEmpty():
         # the largest component of a bucket comes last: without the others nothing is left.
         # A pair is made where this may be its first shingle in common: then the overlap is
@@ -309,9 +323,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.col("first").alias("fa")), "chosen")
         smaller_first = F.when(F.struct("n", "node") < F.struct("na", "a"), F.col("first")).otherwise(F.col("fa"))
         pairs = left.join(chosen, "key").where(
-            (F.col("ca") != F.col("component")) & smaller_first & _may_reach("n", "rest", "na", "ra"))
+            (F.col("ca") != F.col("component")) & smaller_first & _may_reach("n", "rest", "na", "ra", percent))
         new = confirm(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(),
-                      classes, sets)
+                      classes, sets, percent)
         if not new.isEmpty():
             links = links.union(new)
             labels = components(links)
@@ -330,11 +344,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                .select("doc_id", "n_shingles", "component_id", "kept", "text_hash"))
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates; rows without words stay.
 
     Of repeated rows (equal doc_id and text) one stays."""
-    verdicts = materialize(near_duplicates(docs), "verdicts")
+    verdicts = materialize(near_duplicates(docs, percent), "verdicts")
     gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     gone = materialize(gone.distinct(), "gone").hint("merge")     # it grows with the documents
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_hash"]),

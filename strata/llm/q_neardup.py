@@ -9,7 +9,7 @@ from strata.llm.common import table
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("text_hash")
 
 
 QUERIES = {"op5_near_duplicates": op5_near_duplicates}

@@ -107,3 +107,44 @@ def test_sets_of_texts():
 
 def test_empty_table(spark):
     assert N.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def brute_at(rows, percent):
+    """Components at a threshold: the smallest id of what pairs of ``percent`` or more connect."""
+    sets, up = {d: shingles(t) for d, t in rows}, {d: d for d, _ in rows}
+
+    def find(x):
+        return x if up[x] == x else find(up[x])
+    for a, b in ((a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((find(a), find(b)))
+            up[y] = x
+    return {d: find(d) for d in sets}
+
+
+def test_pipeline_stage_links_from_80_percent(spark):
+    import corpus_pipeline
+    r = random.Random(5)
+    rows = []
+    for k in range(0, 240, 4):
+        base = [f"v{r.randrange(5000)}" for _ in range(100)]
+        for j in range(4):                                     # 0.90, 0.81 and 0.73 to the first
+            c = list(base)
+            for p in range(j):
+                c[20 * p + 5 * j + 9] = f"x{k}-{j}-{p}"
+            rows.append((k + j, " ".join(c)))
+    rows += [(1000 + d, t) for d, t in corpus(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    at_80, at_85 = brute_at(rows, 80), brute_at(rows, 85)
+    assert at_80 != at_85
+    kept = sorted(x.doc_id for x in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    assert kept == sorted(d for d, c in at_80.items() if d == c)
+    kept = sorted(x.doc_id for x in N.keep_first(docs, percent=85).collect())
+    assert kept == sorted(d for d, c in at_85.items() if d == c)
+
+
+@pytest.mark.parametrize("percent", [70, 80, 85, 95])
+def test_bands_miss_few_at_the_threshold(percent):
+    band, count = N.bands(percent)
+    assert band * count <= N.REGISTERS and (1 - (percent / 100) ** band) ** count <= 2e-5
