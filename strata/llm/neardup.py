@@ -285,6 +285,15 @@ def _may_reach(n: str, v: str, m: str, w: str, percent: int):
 def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, text_hash) per row of ``docs``; texts of
     similarity ``percent`` or more are linked."""
+    component = F.when(F.col("n_shingles") > 0, F.col("first.doc_id")).otherwise(F.col("doc_id"))
+    return (_grouped(docs, percent).withColumn("component_id", component)
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select("doc_id", "n_shingles", "component_id", "kept", "text_hash"))
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, first) per row of ``docs``; ``first`` is the smallest
+    (doc_id is null, doc_id, text_hash) of the row's component, null without words."""
     rows = materialize(sketches(docs), "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     classes = materialize(rows.where("n_shingles > 0").groupBy("node").agg(
@@ -334,27 +343,26 @@ def near_duplicates(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     labels = components(links)
 
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = materialize(named.select("node", "doc_id", "component"), "named")
-    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = materialize(named.join(smallest, "component").select("node", "component_id"), "ids")
-    out = rows.drop("registers").join(ids.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return (out.withColumn("component_id", component)
-               .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-               .select("doc_id", "n_shingles", "component_id", "kept", "text_hash"))
+    named = materialize(named.select("node", first.alias("first"), "component"), "named")
+    smallest = named.groupBy("component").agg(F.min("first").alias("first"))
+    firsts = materialize(named.select("node", "component").join(smallest, "component").select("node", "first"), "firsts")
+    return rows.drop("registers").join(firsts.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"),
+                                       "left").select("doc_id", "text_hash", "n_shingles", "first")
 
 
 def keep_first(docs: DataFrame, percent: int = MIN_PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates; rows without words stay.
 
     Of repeated rows (equal doc_id and text) one stays."""
-    verdicts = materialize(near_duplicates(docs, percent), "verdicts")
-    gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    grouped = materialize(_grouped(docs, percent), "grouped")
+    kept = (F.col("n_shingles") == 0) | (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+                                         & (F.col("text_hash") == F.col("first.text_hash")))
+    gone = grouped.where(~kept).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     gone = materialize(gone.distinct(), "gone").hint("merge")     # it grows with the documents
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_hash"]),
                      "left_anti")
-    twice = verdicts.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("doc_id").count().where("count > 1")
+    twice = grouped.where(kept & (F.col("n_shingles") > 0)).groupBy("doc_id", "text_hash").count().where("count > 1")
     if twice.isEmpty():
         return left
     has_words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return left.where(has_words).dropDuplicates(["doc_id"]).unionByName(left.where(~has_words))
+    return left.where(has_words).dropDuplicates(["doc_id", "text"]).unionByName(left.where(~has_words))

@@ -148,3 +148,14 @@ def test_pipeline_stage_links_from_80_percent(spark):
 def test_bands_miss_few_at_the_threshold(percent):
     band, count = N.bands(percent)
     assert band * count <= N.REGISTERS and (1 - (percent / 100) ** band) ** count <= 2e-5
+
+
+def test_shared_and_null_ids_stay_apart(spark):
+    say = lambda k: " ".join(f"{k}w{i}" for i in range(30))
+    rows = [(None, say("a")), (None, say("b")), (None, say("b")), (1, say("c")), (1, say("d")), (1, say("d")),
+            (2, say("e")), (2, say("e") + " end"), (3, say("a") + " end"), (None, say("f")), (None, say("f") + " end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((x.doc_id or -1, x.text) for x in N.keep_first(docs).collect())
+    for x in ("e", "f"):                                       # one of two texts that share an id and a component
+        assert sum(t.startswith(f"{x}w") for _, t in got) == 1
+    assert [g for g in got if g[1][0] not in "ef"] == [(-1, say("b")), (1, say("c")), (1, say("d")), (3, say("a") + " end")]
