@@ -12,7 +12,8 @@
    for each document and item, the smallest stretch of words around the two terms.
 
 The benchmark is the stated query set.  It is taken in blocks of at most
-``BLOCK_WORDS`` words, so what each task holds of it is bounded; with more words
+``BLOCK_WORDS`` words, one after the other, so what the driver and each task hold of it
+is bounded; longer items are split with an overlap of WINDOW - 1 words.  With more words
 there are more blocks, and all documents are read for each.
 
 Defined cases: null text has no words; items without words match nothing; equal
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -76,23 +78,33 @@ class QueryBlock:
         return sorted(found)
 
 
-def query_blocks(benchmark: DataFrame) -> list[QueryBlock]:
-    """The benchmark in blocks of at most BLOCK_WORDS words (a longer item alone)."""
-    blocks, items, size = [], {}, 0
+def pieces(item: tuple[bytes, ...]) -> Iterator[tuple[bytes, ...]]:
+    """``item``, or parts of it of at most BLOCK_WORDS words (WINDOW at least) that hold all its windows."""
+    most = max(BLOCK_WORDS, WINDOW)
+    if len(item) <= most:
+        yield item
+        return
+    for s in range(0, len(item) - WINDOW + 1, most - WINDOW + 1):
+        yield item[s:s + most]
+
+
+def query_blocks(benchmark: DataFrame) -> Iterator[QueryBlock]:
+    """The benchmark in blocks of at most BLOCK_WORDS words, each made when it is asked for."""
+    items, size = {}, 0
     rows = benchmark.select("item_id", "text").orderBy("item_id", "text")
     for r in rows.toLocalIterator():
-        w = tuple(words(r["text"]))
-        if not w:
-            continue
-        if size + len(w) > BLOCK_WORDS and items:
-            blocks.append(QueryBlock(items))
-            items, size = {}, 0
-        if w not in items:
-            size += len(w)
-        items.setdefault(w, []).append(r["item_id"])
+        whole = tuple(words(r["text"]))
+        for w in pieces(whole) if whole else ():
+            if size + len(w) > BLOCK_WORDS and items:
+                yield QueryBlock(items)
+                items, size = {}, 0
+            if w not in items:
+                size += len(w)
+            ids = items.setdefault(w, [])
+            if r["item_id"] not in ids[-1:]:
+                ids.append(r["item_id"])
     if items:
-        blocks.append(QueryBlock(items))
-    return blocks
+        yield QueryBlock(items)
 
 
 def term_counts(docs: DataFrame, terms: list[bytes]) -> dict[bytes, int]:
@@ -230,10 +242,12 @@ def verify(docs: DataFrame, found: DataFrame, block: QueryBlock) -> DataFrame:
 
 def find_matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(matches, lengths): exact and proximity matches with the ids of their items as
-    strings, and one (doc_id, text_hash, n_words) row per row of ``docs``."""
+    strings, and one (doc_id, text_hash, n_words) row per row of ``docs``.  Matches of a
+    block are written before the next is taken; of a split item, ``at`` is its part's."""
     spark = docs.sparkSession
     lengths = matches = None
-    for block in query_blocks(benchmark) or [QueryBlock({})]:
+    blocks = query_blocks(benchmark)
+    for block in chain([next(blocks, QueryBlock({}))], blocks):
         anchors = block.anchors(term_counts(docs, block.terms)) if block.terms else []
         index = build_index(docs, sorted({t for _, a, _, b, _ in anchors for t in (a, b)}))
         if lengths is None:
@@ -241,7 +255,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Data
         ids = spark.createDataFrame([(k, [str(i) for i in x if i is not None]) for k, x in enumerate(block.ids)],
                                     "item int, item_ids array<string>")
         found = candidates(index, anchors)
-        part = verify(docs, found, block).join(F.broadcast(ids), "item")
+        part = materialize(verify(docs, found, block).join(F.broadcast(ids), "item"), "matches")
         matches = part if matches is None else matches.unionByName(part)
     return matches, lengths
 

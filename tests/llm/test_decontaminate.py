@@ -80,3 +80,17 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     no_items = spark.createDataFrame([], "item_id bigint, text string")
     assert [(x.n_words, x.n_hit) for x in D.contamination(some, no_items).collect()] == [(2, 0)]
+
+
+def test_long_items_are_split_and_blocks_made_one_by_one(spark, monkeypatch):
+    r = random.Random(4)
+    items = [(k, " ".join(f"w{r.randrange(4000)}" for _ in range(n))) for k, n in enumerate([61, 33, 5, 100])]
+    texts = [" ".join(i.split()[s:s + 14]) for _, i in items for s in range(0, 90, 3)]
+    docs = spark.createDataFrame([(k, f"x {t} y") for k, t in enumerate(texts)], "doc_id bigint, text string")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    monkeypatch.setattr(D, "BLOCK_WORDS", 40)
+    blocks = D.query_blocks(b)
+    sizes = [sum(map(len, x.items)) for x in blocks]
+    assert iter(blocks) is blocks and len(sizes) > 4 and max(sizes) <= 40
+    got = {x.doc_id: (x.n_words, x.n_hit, x["items"], x.contaminated) for x in D.contamination(docs, b).collect()}
+    assert got == {k: brute(f"x {t} y", items) for k, t in enumerate(texts)}
