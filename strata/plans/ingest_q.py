@@ -232,7 +232,7 @@ def table_emit(spark, d):
     from strata.sources.sinks import emit
     ctx = Ctx(spark, d)
     tables = {"text_units": ctx.g.units, "entities": ctx.g.entities, "relationships": ctx.g.ranked_relationships,
-              "nodes": ctx.nodes, "community_reports": ctx.reports.drop("findings")}
+              "nodes": ctx.nodes, "community_reports": ctx.reports}
     root = scratch_path(spark, "emit")
     out = None
     for name, df in tables.items():
