@@ -8,8 +8,8 @@
    length row per document.
 4. Join postings with the windows on the rarest term, shift positions to where the
    window would start, and intersect with the shifted postings of the second term.
-5. What is left is compared word by word with the documents: exact phrase hits and,
-   for each document and item, the smallest stretch of words around the two terms.
+5. What is left is compared word by word with the documents, which gives the exact
+   phrase hits.  Phrases that are only near an item are not looked for.
 
 The benchmark is the stated query set.  It is taken in blocks of at most
 ``BLOCK_WORDS`` words, one after the other, so what the driver and each task hold of it
@@ -208,8 +208,8 @@ MATCHES = ("doc_id bigint, text_hash bigint, item int, at int, n_aligned int, "
 def verify(docs: DataFrame, found: DataFrame, block: QueryBlock) -> DataFrame:
     """Compare documents and items at every candidate place (rows of MATCHES).
 
-    A row without stretches is a proximity match: its two rarest terms stand as in
-    the item, n_aligned words in all, but no whole window does."""
+    A row without stretches is a candidate only: its two rarest terms stand as in the
+    item, n_aligned words in all, but no whole window does."""
     found = materialize(found, "candidates")
     places = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item", "at")).alias("places"))
     places = _sized(places, found.count())
@@ -241,7 +241,7 @@ def verify(docs: DataFrame, found: DataFrame, block: QueryBlock) -> DataFrame:
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(matches, lengths): exact and proximity matches with the ids of their items as
+    """(matches, lengths): compared candidates with the ids of their items as
     strings, and one (doc_id, text_hash, n_words) row per row of ``docs``.  Matches of a
     block are written before the next is taken; of a split item, ``at`` is its part's."""
     spark = docs.sparkSession
