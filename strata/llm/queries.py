@@ -8,6 +8,7 @@ from strata.llm import (
     q_language,
     q_linededup,
     q_neardup,
+    q_phrases,
     q_pii,
     q_quality,
     q_resample,
@@ -17,6 +18,6 @@ from strata.llm import (
 )
 
 _MODULES = (q_quality, q_linededup, q_tokens, q_substrings, q_neardup, q_sentencepieces, q_decontaminate, q_html, q_language, q_pii,
-            q_resample)
+            q_resample, q_phrases)
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
