@@ -7,8 +7,9 @@ The suffixes are never sorted as wholes, nor all together:
    one of its hashed grams; strings with one anchor stand side by side and form a
    stretch.  Equal strings pick equal anchors at equal distance, so they stand in
    stretches of one key (the hash of the anchor's gram), lined up at the anchor.
-2. Shards.  Stretches that are the same as a whole are one from here on, with a count.
-   The different stretches of a key form a shard of a pool, several if they are many.
+2. Shards.  A key found once is done with, and where all stretches of a key are the same
+   they are repeats as they stand.  Of the others, those that are the same as a whole are
+   one from here on, with a count.  The different stretches of a key form a shard of a pool, several if they are many.
 3. Merge.  The transforms of all stretches of a pool are merged by refining their
    interleave: from the last column to the first, the order of the suffixes one byte
    further left is the order so far, dealt stably by the byte before each suffix.  The
@@ -228,13 +229,13 @@ def _parts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
 
 def repeated_stretches(docs: DataFrame, found: DataFrame, length: int, gram: int, pool: int) -> DataFrame:
     """(key, x1, x2, low, high): strings of the stretches ``found`` that are repeats, by
-    their distance to the anchor."""
+    their distance to the anchor; ``found`` has the keys of different stretches only."""
     place = F.struct("doc_id", "text_hash", "first", "last", "anchor")
     kinds = materialize(found.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at")), "stretch-kinds")
     whole = kinds.where("n > 1").select(*_KEY, (F.col("at.anchor") - F.col("at.last")).alias("low"),
                                         (F.col("at.anchor") - F.col("at.first")).alias("high"))
-    shards = kinds.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(pool)).alias("shards"), F.count(F.lit(1)).alias("kinds"))
-    mixed = kinds.join(shards.where("kinds > 1").drop("kinds"), "key")
+    shards = kinds.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(pool)).alias("shards"))
+    mixed = kinds.join(shards, "key")
     wanted = mixed.groupBy(F.col("at.doc_id").alias("_id"), F.col("at.text_hash").alias("_hash")).agg(
         F.collect_list(F.struct(*_KEY, "n", "shards", "at.first", "at.last", "at.anchor")).alias("_wanted"))
     texts = docs.select("doc_id", text_key().alias("text_hash"), "text")
@@ -304,11 +305,18 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     """``docs`` with ``kept`` (the bytes that stay, in order), ``removed`` (maximal runs, as
     offsets in bytes), ``n_bytes`` and ``n_removed``."""
     found = materialize(stretch_rows(docs, length, gram, block), "stretches")
-    again = repeated_stretches(docs, found, length, gram, pool).withColumnRenamed("low", "_low")
-    spans = (found.join(again.hint("merge"), _KEY)
+    ends = [f(x).alias(f"{f.__name__}_{x}") for x in ("x1", "x2") for f in (F.min, F.max)]
+    keys = (found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *ends).where("n > 1")
+            .select("key", F.expr("min_x1 = max_x1 AND min_x2 = max_x2").alias("copies")))
+    shared = materialize(found.join(keys.hint("merge"), "key"), "shared-stretches")
+    mixed = shared.where("NOT copies").drop("copies")
+    again = repeated_stretches(docs, mixed, length, gram, pool).withColumnRenamed("low", "_low")
+    spans = (shared.where("copies").select("doc_id", "text_hash", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
+             .unionByName(mixed.join(again.hint("merge"), _KEY).select(
+                 "doc_id", "text_hash", (F.col("anchor") - F.col("high")).alias("start"),
+                 (F.col("anchor") - F.col("_low") + length).alias("end")))
              .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-             .agg(F.collect_list(F.struct((F.col("anchor") - F.col("high")).alias("start"),
-                                          (F.col("anchor") - F.col("_low") + length).alias("end"))).alias("_spans")))
+             .agg(F.collect_list(F.struct("start", "end")).alias("_spans")))
     rows = docs.select("doc_id", text_key().alias("text_hash"), "text", F.struct(*docs.columns).alias("_row"))
     joined = rows.join(spans.hint("merge"), rows["doc_id"].eqNullSafe(spans["_id"]) & (rows["text_hash"] == spans["_hash"]), "left")
     done = joined.select("_row", _cut("text", "_spans").alias("_cut"))
