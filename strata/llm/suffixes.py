@@ -308,6 +308,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     ends = [f(x).alias(f"{f.__name__}_{x}") for x in ("x1", "x2") for f in (F.min, F.max)]
     keys = (found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *ends).where("n > 1")
             .select("key", F.expr("min_x1 = max_x1 AND min_x2 = max_x2").alias("copies")))
+    keys = materialize(keys, "keys")            # a table of its own, so that a hot key's join can be split
     shared = materialize(found.join(keys.hint("merge"), "key"), "shared-stretches")
     mixed = shared.where("NOT copies").drop("copies")
     again = repeated_stretches(docs, mixed, length, gram, pool).withColumnRenamed("low", "_low")
