@@ -69,10 +69,6 @@ TIER_TYPES = {
     "admin": ("ORGANIZATION", "GEO", "EVENT", "PERSON"),
 }
 
-# label propagation rounds per hierarchy level (level 0 = coarsest)
-LPA_ROUNDS = (4, 2, 1)
-LPA_SELF_WEIGHT = 1.0
-
 # shard count for order-dependent packing (part of the definition); the
 # count grows with the data so that no shard exceeds PACK_ROWS_PER_SHARD rows
 PACK_SHARDS = 8

@@ -1,18 +1,27 @@
-"""Hierarchical communities by synchronous weighted label propagation.
-
-Level 0 (coarsest) runs ``LPA_ROUNDS[0]`` rounds over the whole tier graph.
-Each deeper level re-runs propagation, from singleton labels, only inside
-communities of the previous level that exceed ``MAX_CLUSTER_SIZE``; edges
-crossing the parent community are ignored, so children nest in their parent.
-Communities that fit are carried down unchanged.  Fewer rounds per deeper
-level bound how far a label travels, which is what makes the split finer.
-
-One round = join adjacency to neighbour labels + two combinable aggregates
-(sum of weight per (node, label); min of struct(-score, label) per node).
-Both aggregates are partial (map-side) so a hub node's vote never lands as
-one unbounded group; the adjacency join on a hub key is salted (the hub's
-label row is replicated over the salt buckets), and AQE's skew-join split
-stays on as a second line.  Each level is cut with a reliable checkpoint.
+"""Hierarchical communities by graph contraction.
+
+Every entity starts as a community of its own; in each round every community
+looks for the neighbour it gains most modularity with, pairs that choose each
+other become one, those that chose a member of such a pair join it, and the
+communities are contracted to weighted nodes: edges between two are summed,
+edges inside are gone.  The rounds end when no pair gains any more.  A gain is
+the same seen from both ends and equal gains go to the smaller ids, so the
+choices hold no cycle but the pairs, and every round with a gain left
+contracts at least one edge.
+
+The rounds are the hierarchy, read from the last to the first: cluster level 0
+is what the contraction ended with, and a community of more than
+``MAX_CLUSTER_SIZE`` members has the parts it was last put together from as
+its next level; the others have none.  Communities still too large that one
+round made of single entities are the frontier: each is contracted again as a
+graph of its own, with only its inner edges and their weights, until none is
+left or those left become one again and so cannot be split.
+
+Weights are whole numbers below 2^53, so sums are exact in any order.  A round
+is a few joins on (tier, community) and combinable aggregates (sum, min of a
+struct): a hub's edges are pre-aggregated before the shuffle and its join
+partitions are split by AQE.  State is written out between rounds; edges
+shrink from round to round.
 """
 
 from __future__ import annotations
@@ -21,77 +30,118 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import config as C
-from strata.operators.windows import salted_join
-from strata.session import cut_lineage
-
-
-def adjacency(entities: DataFrame, rels: DataFrame, self_weight: float = C.LPA_SELF_WEIGHT) -> DataFrame:
-    fwd = rels.select("level", F.col("source").alias("node"), F.col("target").alias("nbr"), F.col("weight").alias("w"))
-    bwd = rels.select("level", F.col("target").alias("node"), F.col("source").alias("nbr"), F.col("weight").alias("w"))
-    selfl = entities.select("level", F.col("title").alias("node"), F.col("title").alias("nbr"),
-                            F.lit(float(self_weight)).alias("w"))
-    return fwd.unionByName(bwd).unionByName(selfl)
-
-
-def propagate(adj: DataFrame, labels: DataFrame, rounds: int) -> DataFrame:
-    """labels(level, node, label) -> labels after ``rounds`` synchronous rounds.
-    Ties go to the smallest label; the own label votes with the self-loop."""
-    for _ in range(rounds):
-        # a hub is the `nbr` of every neighbour's adjacency row: salted join
-        votes = (salted_join(adj, labels.withColumnRenamed("node", "nbr"), ["level", "nbr"], ["node"])
-                 .groupBy("level", "node", "label").agg(F.sum("w").alias("s")))
-        best = votes.groupBy("level", "node").agg(
-            F.min(F.struct((-F.col("s")).alias("ns"), F.col("label").alias("label"))).alias("b"))
-        labels = best.select("level", "node", F.col("b.label").alias("label"))
-    return labels
-
-
-def _cid(*parts) -> F.Column:
-    return F.md5(F.concat_ws("|", *parts))
-
-
-def cluster_graph(entities: DataFrame, rels: DataFrame, rounds=C.LPA_ROUNDS,
-                  max_size: int = C.MAX_CLUSTER_SIZE) -> DataFrame:
-    """-> (level, title, cluster_level, community, parent).  Every entity is
-    in exactly one community per cluster level.  Empty edge set -> every
-    entity is its own community (never an error)."""
-    adj = adjacency(entities, rels)
-    nodes = entities.select("level", F.col("title").alias("node"))
-    lab = propagate(adj, nodes.withColumn("label", F.col("node")), rounds[0])
-    prev = lab.select("level", "node", _cid("level", F.lit("0"), "label").alias("community"))
-    prev = cut_lineage(prev)     # each level is reused several times below
-    out = [prev.select("level", "node", F.lit(0).alias("cluster_level"), "community",
-                       F.lit(None).cast("string").alias("parent"))]
-    for lvl in range(1, len(rounds)):
-        sizes = prev.groupBy("level", "community").agg(F.count(F.lit(1)).alias("n"))
-        big = sizes.where(F.col("n") > max_size).select("level", "community")
-        members = prev.join(big, ["level", "community"], "left_semi")
-        x = members.select("level", "node", F.col("community").alias("cx"))
-        y = members.select("level", F.col("node").alias("nbr"), F.col("community").alias("cy"))
-        sub_adj = (adj.join(x, ["level", "node"]).join(y, ["level", "nbr"])
-                   .where(F.col("cx") == F.col("cy")).select("level", "node", "nbr", "w"))
-        lab = propagate(sub_adj, members.select("level", "node", F.col("node").alias("label")), rounds[lvl])
-        cur = (prev.join(lab, ["level", "node"], "left")
-               .select("level", "node", F.col("community").alias("parent"),
-                       _cid("level", F.lit(str(lvl)), "community", F.coalesce("label", F.lit(""))).alias("community")))
-        cur = cut_lineage(cur)
-        out.append(cur.select("level", "node", F.lit(lvl).alias("cluster_level"), "community", "parent"))
-        prev = cur.select("level", "node", "community")
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res.withColumnRenamed("node", "title")
+from strata.session import stored
+
+
+def group_edges(members: DataFrame, rels: DataFrame) -> DataFrame:
+    """(level, c, d, w, m), c < d: edges with both ends in one group of ``members``
+    (level, node, grp), and the weight m of all edges of the group."""
+    s = members.select("level", F.col("node").alias("c"), "grp")
+    t = members.select("level", F.col("node").alias("d"), F.col("grp").alias("_g"))
+    ends = rels.select("level", F.least("source", "target").alias("c"), F.greatest("source", "target").alias("d"),
+                       F.col("weight").alias("w")).where("c < d")
+    inner = stored(ends.join(s, ["level", "c"]).join(t, ["level", "d"]).where("grp = _g")
+                        .groupBy("level", "grp", "c", "d").agg(F.sum("w").alias("w")), "group-edges")
+    return inner.join(inner.groupBy("level", "grp").agg(F.sum("w").alias("m")), ["level", "grp"]).drop("grp")
+
+
+def moves(edges: DataFrame, strengths: DataFrame) -> DataFrame:
+    """(level, node, root): communities that become part of ``root`` in this round.
+    Two communities gain by being one if 2 m w > k_c k_d."""
+    k = lambda c: strengths.select("level", F.col("label").alias(c), F.col("k").alias(f"k{c}"))
+    gain = 2 * F.col("m") * F.col("w") - F.col("kc") * F.col("kd")
+    gained = edges.join(k("c"), ["level", "c"]).join(k("d"), ["level", "d"]).withColumn("gain", gain).where("gain > 0")
+    edge = F.struct((-F.col("gain")).alias("loss"), "c", "d")
+    best = (gained.select("level", F.explode(F.array("c", "d")).alias("node"), edge.alias("edge"))
+            .groupBy("level", "node").agg(F.min("edge").alias("edge"))
+            .select("level", "node", F.col("edge.c").alias("c"), F.col("edge.d").alias("d")))
+    # an edge that both of its ends chose; nothing else can be chosen twice
+    pairs = best.groupBy("level", "c", "d").agg(F.count(F.lit(1)).alias("n")).where("n = 2")
+    centres = pairs.select("level", F.explode(F.array("c", "d")).alias("other"), F.col("c").alias("root"))
+    # the ends of a pair chose each other, so they meet their root here as well
+    other = F.when(F.col("node") == F.col("c"), F.col("d")).otherwise(F.col("c"))
+    return best.select("level", "node", other.alias("other")).join(centres, ["level", "other"]).select("level", "node", "root")
+
+
+def contract(members: DataFrame, rels: DataFrame) -> tuple[DataFrame, int]:
+    """(``members`` with r0, r1, ...: the community of each after that many rounds, the
+    number of rounds)."""
+    edges = stored(group_edges(members, rels), "edges")
+    ends = edges.select("level", F.explode(F.array("c", "d")).alias("node"), "w").groupBy("level", "node").agg(F.sum("w").alias("k"))
+    labels = stored(members.join(ends, ["level", "node"], "left").fillna(0.0, ["k"]).withColumn("r0", F.col("node")), "labels")
+    rounds = 0
+    while True:
+        strengths = labels.groupBy("level", F.col(f"r{rounds}").alias("label")).agg(F.sum("k").alias("k"))
+        step = stored(moves(edges, strengths), "moves")
+        if step.isEmpty():
+            return labels.drop("k"), rounds
+        new = lambda c: step.select("level", F.col("node").alias(c), F.col("root").alias(f"_{c}"))
+        to = lambda c: F.coalesce(f"_{c}", c)
+        old = f"r{rounds}"
+        rounds += 1
+        labels = labels.join(new(old), ["level", old], "left").withColumn(f"r{rounds}", to(old)).drop(f"_{old}")
+        labels = stored(labels, "labels")
+        edges = (edges.join(new("c"), ["level", "c"], "left").join(new("d"), ["level", "d"], "left")
+                 .select("level", F.least(to("c"), to("d")).alias("c"), F.greatest(to("c"), to("d")).alias("d"), "w", "m")
+                 .where("c < d").groupBy("level", "c", "d").agg(F.sum("w").alias("w"), F.max("m").alias("m")))
+        edges = stored(edges, "edges")
+
+
+def hierarchy(labels: DataFrame, rounds: int, max_size: int) -> DataFrame:
+    """(level, title, cluster_level, community, parent, size, finest) read from the rounds of
+    one contraction of groups (level, node, grp, base, r0, ...); ``base`` is the cluster level
+    of a group's parts, and ``finest`` marks the last row of an entity."""
+    chain, found = [], labels
+    for r in range(rounds, 0, -1):
+        parts = labels.groupBy("level", f"r{r}").agg(F.count(F.lit(1)).alias(f"n{r}"), F.countDistinct(f"r{r - 1}").alias(f"p{r}"))
+        found = found.join(parts, ["level", f"r{r}"])
+        # a community that the round above put together with others
+        new = F.col(f"p{r + 1}") > 1 if r < rounds else (F.col("base") == 0) | (F.col("tops") > 1)
+        chain.append(F.when(new, F.struct(F.col(f"r{r}").alias("label"), F.col(f"n{r}").alias("n"))))
+    if not rounds:        # no edges: every entity is its own community
+        chain = [F.when(F.col("base") == 0, F.struct(F.col("r0").alias("label"), F.lit(1).cast("bigint").alias("n")))]
+    tops = labels.groupBy("level", "grp").agg(F.countDistinct(f"r{rounds}").alias("tops"))
+    found = found.join(tops, ["level", "grp"]).withColumn("chain", F.filter(F.array(*chain), lambda x: x.isNotNull()))
+    # sizes fall along the chain: a row for each community whose parent is too large
+    found = found.withColumn("chain", F.filter("chain", lambda x, i: (i == 0) | (F.col("chain")[i - 1]["n"] > max_size)))
+    rows = found.select("level", "node", "grp", "base", F.size("chain").alias("last"), "chain", F.posexplode("chain").alias("i", "at"))
+    cid = lambda depth, label: F.md5(F.concat_ws("|", "level", depth.cast("string"), label))
+    depth, above = F.col("base") + F.col("i"), F.col("chain")[F.col("i") - 1]["label"]
+    return rows.select("level", F.col("node").alias("title"), depth.cast("int").alias("cluster_level"),
+                       cid(depth, F.col("at.label")).alias("community"),
+                       F.when(F.col("i") > 0, cid(depth - 1, above)).when(F.col("base") > 0, F.col("grp")).alias("parent"),
+                       F.col("at.n").alias("size"), (F.col("i") == F.col("last") - 1).alias("finest"))
+
+
+def cluster_graph(entities: DataFrame, rels: DataFrame, max_size: int = C.MAX_CLUSTER_SIZE) -> DataFrame:
+    """-> (level, title, cluster_level, community, parent).  Level 0 holds every
+    entity; a deeper level only the members of communities of the level above
+    that had more than ``max_size`` of them and could be split.  Empty edge set
+    -> every entity is its own community (never an error)."""
+    members = entities.select("level", F.col("title").alias("node"), F.lit("").alias("grp"), F.lit(0).alias("base"))
+    found = []
+    while not found or not members.isEmpty():
+        here = stored(hierarchy(*contract(members, rels), max_size), "communities")
+        found.append(here.select("level", "title", "cluster_level", "community", "parent"))
+        members = here.where(F.col("finest") & (F.col("size") > max_size)).select(
+            "level", F.col("title").alias("node"), F.col("community").alias("grp"), (F.col("cluster_level") + 1).alias("base"))
+    res = found[0]
+    for part in found[1:]:
+        res = res.unionByName(part)
+    return res
 
 
 def modularity(assign: DataFrame, rels: DataFrame) -> DataFrame:
     """Weighted modularity per (level, cluster_level):
     Q = sum_c [ in_c / m - (tot_c / 2m)^2 ], in_c = internal edge weight,
-    tot_c = total weighted degree of members, m = total edge weight."""
+    tot_c = total weighted degree of members, m = total edge weight.  At each
+    cluster level an entity counts in its community there, or in the last one
+    above it where that was not split."""
     m = rels.groupBy("level").agg(F.sum("weight").alias("m"))
     ends = rels.select("level", F.col("source").alias("title"), "weight").unionByName(
         rels.select("level", F.col("target").alias("title"), "weight"))
     strength = ends.groupBy("level", "title").agg(F.sum("weight").alias("k"))
-    a = assign.select("level", "cluster_level", "title", "community")
+    a = carried_down(assign)
     tot = a.join(strength, ["level", "title"]).groupBy("level", "cluster_level", "community") \
         .agg(F.sum("k").alias("tot"))
     s = a.withColumnRenamed("title", "source").withColumnRenamed("community", "cs")
@@ -103,3 +153,15 @@ def modularity(assign: DataFrame, rels: DataFrame) -> DataFrame:
     q = F.coalesce("inw", F.lit(0.0)) / F.col("m") - F.pow(F.col("tot") / (2 * F.col("m")), 2)
     return per.groupBy("level", "cluster_level").agg(F.sum(q).alias("modularity"),
                                                      F.count(F.lit(1)).alias("n_communities"))
+
+
+def carried_down(assign: DataFrame) -> DataFrame:
+    """(level, title, cluster_level, community) with a row for each entity on every cluster
+    level of its tier: its community there, or else its deepest one."""
+    a = assign.select("level", "title", F.col("cluster_level").cast("int").alias("cluster_level"), "community")
+    last = a.groupBy("level").agg(F.max("cluster_level").alias("deepest"))          # one row a tier
+    own = a.groupBy("level", "title").agg(F.max("cluster_level").alias("own"))
+    rest = (a.join(own, ["level", "title"]).where("cluster_level = own").join(F.broadcast(last), "level")
+            .where("own < deepest")
+            .select("level", "title", F.explode(F.sequence(F.col("own") + 1, F.col("deepest"))).alias("cluster_level"), "community"))
+    return a.unionByName(rest)

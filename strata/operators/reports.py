@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strata import config as C
 from strata.functions.text import csv_field, token_count
 from strata.operators.windows import salted_join
+from strata.session import stored
 
 CKEYS = ["level", "cluster_level", "community"]
 N_FINDINGS = 5
@@ -50,7 +51,7 @@ def community_stats(assign: DataFrame, rels: DataFrame, entity_units: DataFrame)
 
 
 def edge_csv(df: DataFrame) -> F.Column:
-    return F.concat_ws(",", csv_field(F.substring("id", 1, 8)), csv_field(F.col("source")),
+    return F.concat_ws(",", csv_field(F.col("id")), csv_field(F.col("source")),
                        csv_field(F.col("target")), csv_field(F.col("description")), F.col("rank").cast("string"))
 
 
@@ -133,40 +134,87 @@ def parse_report_json(df: DataFrame, col: str = "json") -> DataFrame:
 
 
 GROUNDING_RE = "Entities \\(([^)]*)\\)"
+SHOWN_REFS = 5
+
+
+def shown_refs(members: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """(keys, ref): the text ``[Data: Entities (a, b, ...)]`` of each group, its first five ids
+    in order and ``+more`` where it has others.  Only the text is cut: the members stay rows."""
+    ranked = members.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(id_col)))
+    first = (ranked.where(F.col("_r") <= SHOWN_REFS + 1)          # bounded: six rows a group
+             .groupBy(*keys).agg(F.array_sort(F.collect_list(id_col)).alias("ids")))
+    more = F.when(F.size("ids") > SHOWN_REFS, F.lit(", +more")).otherwise("")
+    return first.select(*keys, F.concat(F.lit("[Data: Entities ("), F.array_join(F.slice("ids", 1, SHOWN_REFS), ", "),
+                                        more, F.lit(")]")).alias("ref"))
+
+
+def missing_refs(members: DataFrame, id_col: str, known_ids: DataFrame) -> DataFrame:
+    """The rows of ``members`` whose id is none of ``known_ids``(id_col)."""
+    return members.join(known_ids.select(id_col).distinct(), id_col, "left_anti")
 
 
 def grounding_refs(df: DataFrame, text_col: str, known_ids: DataFrame, key: str) -> DataFrame:
     """``[Data: Entities (id, ...)]`` references -> (key, n_ids, too_many,
-    n_missing): more than 5 ids and ids absent from ``known_ids(sid)`` flagged."""
+    n_missing): more than 5 ids and ids absent from ``known_ids(sid)`` flagged;
+    ``+more`` is no id."""
     ids = F.split(F.regexp_extract(text_col, GROUNDING_RE, 1), ", ")
-    parsed = df.select(key, F.filter(ids, lambda x: x != "").alias("ids"))
+    parsed = df.select(key, F.filter(ids, lambda x: (x != "") & (x != "+more")).alias("ids"))
     missing = (parsed.select(key, F.explode("ids").alias("sid")).join(known_ids.select("sid").distinct(), "sid",
                                                                      "left_anti")
                .groupBy(key).agg(F.count(F.lit(1)).alias("n")))
     return (parsed.join(missing, key, "left")
-            .select(key, F.size("ids").alias("n_ids"), (F.size("ids") > 5).alias("too_many"),
+            .select(key, F.size("ids").alias("n_ids"), (F.size("ids") > SHOWN_REFS).alias("too_many"),
                     F.coalesce("n", F.lit(0)).cast("long").alias("n_missing")))
 
 
 def context_rollup(assign: DataFrame, ranked_rels: DataFrame, reports: DataFrame,
                    budget: int = C.REPORT_BUDGET) -> DataFrame:
-    """Parents whose own context overflows ``budget`` get their largest
-    children substituted by the child reports, while the child report tokens
-    fit: -> (level, parent, child, child_tokens, cum).  The overflow test is a
-    combinable token sum; the child pick is a budget-limited window."""
-    touch = touching_edges(assign, ranked_rels)
-    need = (touch.withColumn("tokens", token_count(edge_csv(touch)))
-            .groupBy(*CKEYS).agg(F.sum("tokens").alias("own_tokens")))
-    rep = reports.select("level", F.col("cluster_level").cast("int").alias("cl"), F.col("community").alias("child"),
-                         token_count(F.col("full_content")).alias("child_tokens"), "size")
-    parents = (assign.select("level", F.col("cluster_level").cast("int").alias("cl"),
-                             F.col("community").alias("child"), "parent")
-               .where("parent IS NOT NULL").distinct())
-    over = need.where(F.col("own_tokens") > budget).select(
-        "level", F.col("cluster_level").cast("int").alias("pcl"), F.col("community").alias("parent"))
-    cand = (parents.join(rep, ["level", "cl", "child"]).join(over, ["level", "parent"])
-            .where(F.col("cl") == F.col("pcl") + 1))
-    w = Window.partitionBy("level", "parent").orderBy(F.col("size").desc(), F.col("child"))
-    sub = cand.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= budget)
-    sub = sub.withColumn("cum", F.sum("child_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return sub.where(F.col("cum") <= budget).select("level", "parent", "child", "child_tokens", "cum")
+    """Contexts of communities whose own edges overflow ``budget``, rebuilt from their children.
+
+    From the deepest cluster level up: a community whose edges fit has them as its context,
+    and one that was not split as many of them as fit.  Any other takes the contexts of its
+    children, the largest first replaced by the child's report, as few as make the rest fit;
+    where even all reports do not fit, the reports that do, in that order.  A child's context
+    is the rebuilt one where it was rebuilt itself, so no context is above the budget on any
+    level.  -> (level, cluster_level, community, child, as_report, rn, tokens, context_tokens)"""
+    rels = ranked_rels
+    touch = touching_edges(assign, rels)
+    own = touch.withColumn("tokens", token_count(edge_csv(touch))).groupBy(*CKEYS).agg(F.sum("tokens").alias("own"))
+    cut = community_context(assign, rels, budget).groupBy(*CKEYS).agg(F.max("cum_tokens").alias("kept"))
+    rep = reports.select("level", F.col("cluster_level").cast("int").alias("cluster_level"), "community",
+                         token_count(F.col("full_content")).cast("long").alias("report"))
+    up = assign.select("level", F.col("cluster_level").cast("int").alias("cluster_level"), "community", "parent").distinct()
+    base = stored(up.join(own, CKEYS, "left").join(cut, CKEYS, "left").join(rep, CKEYS).fillna(0, ["own", "kept"]), "contexts")
+    deepest = base.agg(F.max("cluster_level")).first()[0]
+    found, below = None, None
+    for depth in range(-1 if deepest is None else deepest, -1, -1):
+        here = base.where(F.col("cluster_level") == depth)
+        if below is None:
+            state = here.withColumn("context", F.col("kept"))
+        else:
+            w = Window.partitionBy("level", "parent").orderBy(F.col("context").desc(), F.col("child"))
+            run = w.rowsBetween(Window.unboundedPreceding, 0)
+            over = here.where(F.col("own") > budget).select("level", F.col("community").alias("parent"))
+            mix = (below.select("level", "parent", F.col("community").alias("child"), "context", "report")
+                   .join(over, ["level", "parent"])
+                   .withColumns({"rn": F.row_number().over(w), "reports": F.sum("report").over(run),
+                                 "rest": F.sum("context").over(Window.partitionBy("level", "parent")) - F.sum("context").over(run)}))
+            # children replaced: as few as fit, all of them if none do
+            fits = mix.groupBy("level", "parent").agg(
+                F.sum("context").alias("whole"), F.min(F.when(F.col("reports") + F.col("rest") <= budget, F.col("rn"))).alias("least"))
+            least = F.when(F.col("whole") <= budget, 0).otherwise(F.coalesce("least", F.lit(2**31 - 1)))
+            part = (mix.join(fits.select("level", "parent", least.alias("replaced")), ["level", "parent"])
+                    .withColumn("as_report", F.col("rn") <= F.col("replaced"))
+                    .withColumn("tokens", F.when(F.col("as_report"), F.col("report")).otherwise(F.col("context")))
+                    .where((F.col("replaced") < 2**31 - 1) | (F.col("reports") <= budget)))
+            part = stored(part.select("level", F.lit(depth).alias("cluster_level"), F.col("parent").alias("community"), "child",
+                                      "as_report", F.col("rn").cast("int").alias("rn"), "tokens"), "rollup")
+            total = part.groupBy(*CKEYS).agg(F.sum("tokens").alias("context_tokens"))
+            rows = part.join(total, CKEYS)
+            found = rows if found is None else found.unionByName(rows)
+            state = here.join(total, CKEYS, "left").withColumn("context", F.coalesce("context_tokens", "kept")).drop("context_tokens")
+        below = stored(state, "contexts")
+    if found is None:         # no communities, or none with a level below
+        return base.where("false").select(*CKEYS, F.col("community").alias("child"), F.lit(True).alias("as_report"),
+                                          F.lit(0).alias("rn"), F.col("own").alias("tokens"), F.col("own").alias("context_tokens"))
+    return found

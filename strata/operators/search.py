@@ -53,7 +53,7 @@ def global_context(reports: DataFrame, assign: DataFrame, min_rank: float = C.MI
     r = occurrence_weight(reports_at_level(reports, assign)).where(F.col("rating") >= min_rank)
     # sized from the persisted report table (a superset): a cheap count
     n_shards = pack_shards(reports)
-    row = F.concat_ws("|", F.substring("community", 1, 8), "title",
+    row = F.concat_ws("|", "community", "title",
                       F.format_string("%.6f", "occurrence_weight"), "full_content",
                       F.format_string("%.2f", "rating"))
     return (r.withColumn("shard", shard_of("community", n_shards).cast("int"))

@@ -187,15 +187,18 @@ def cluster_graph(spark, d):
 
 
 @register("community_modularity", with_ctes(GC + [
+    """down AS (SELECT level, title, unnest(range(cluster_level, coalesce(nxt, deepest + 1))) AS cluster_level, community FROM (
+  SELECT *, lead(cluster_level) OVER (PARTITION BY level, title ORDER BY cluster_level) AS nxt,
+         max(cluster_level) OVER (PARTITION BY level) AS deepest FROM assign))""",
     "m AS (SELECT level, sum(weight) AS m FROM relationships GROUP BY level)",
     """k AS (SELECT level, title, sum(weight) AS k FROM (
   SELECT level, source AS title, weight FROM relationships UNION ALL SELECT level, target, weight FROM relationships)
   GROUP BY level, title)""",
-    """tot AS (SELECT a.level, a.cluster_level, a.community, sum(k.k) AS tot FROM assign a
+    """tot AS (SELECT a.level, a.cluster_level, a.community, sum(k.k) AS tot FROM down a
   JOIN k ON a.level = k.level AND a.title = k.title GROUP BY a.level, a.cluster_level, a.community)""",
     """inn AS (SELECT s.level, s.cluster_level, s.community, sum(r.weight) AS inw FROM relationships r
-  JOIN assign s ON r.level = s.level AND r.source = s.title
-  JOIN assign t ON r.level = t.level AND r.target = t.title AND s.cluster_level = t.cluster_level
+  JOIN down s ON r.level = s.level AND r.source = s.title
+  JOIN down t ON r.level = t.level AND r.target = t.title AND s.cluster_level = t.cluster_level
   WHERE s.community = t.community GROUP BY s.level, s.cluster_level, s.community)"""], """
 SELECT tot.level, CAST(tot.cluster_level AS INTEGER) AS cluster_level,
        round(sum(coalesce(inw, 0) / m.m - pow(tot / (2 * m.m), 2)), 6) AS modularity,

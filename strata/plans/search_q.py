@@ -9,7 +9,7 @@ from strata.operators import reports as R
 from strata.operators import search as S
 from strata.operators.windows import greedy_pack
 from strata.plans.registry import Ctx, register
-from strata.plans.sqlgen import (clearance_values, community_ctes, entity_match_ctes, graph_ctes, local_ctes,
+from strata.plans.sqlgen import (clearance_values, community_ctes, entity_match_ctes, graph_ctes, local_ctes, ntok,
                                  report_ctes, search_ctes, with_ctes)
 
 GC = graph_ctes() + community_ctes()
@@ -50,7 +50,7 @@ def parse_reports_json(spark, d):
     """ctx_e AS (SELECT DISTINCT a.level, a.cluster_level, a.community, r.id, r.source, r.target, r.description, r.rank
   FROM ranked_relationships r JOIN assign a ON r.level = a.level AND (r.source = a.title OR r.target = a.title))""",
     """ctx_r AS (SELECT *, len(regexp_extract_all(concat_ws(',',
-      '"' || replace(substr(id, 1, 8), '"', '""') || '"', '"' || replace(source, '"', '""') || '"',
+      '"' || replace(id, '"', '""') || '"', '"' || replace(source, '"', '""') || '"',
       '"' || replace(target, '"', '""') || '"', '"' || replace(description, '"', '""') || '"',
       CAST(rank AS VARCHAR)), '[^ \t\n\r\f]+')) AS tokens FROM ctx_e)"""], f"""
 SELECT level, CAST(cluster_level AS INTEGER) AS cluster_level, community, CAST(rn AS INTEGER) AS rn, id, source, target,
@@ -67,7 +67,7 @@ def community_context(spark, d):
     """ctx_e AS (SELECT DISTINCT a.level, a.cluster_level, a.community, r.id, r.source, r.target, r.description, r.rank
   FROM ranked_relationships r JOIN assign a ON r.level = a.level AND (r.source = a.title OR r.target = a.title))""",
     """ctx_r AS (SELECT *, len(regexp_extract_all(concat_ws(',',
-      '"' || replace(substr(id, 1, 8), '"', '""') || '"', '"' || replace(source, '"', '""') || '"',
+      '"' || replace(id, '"', '""') || '"', '"' || replace(source, '"', '""') || '"',
       '"' || replace(target, '"', '""') || '"', '"' || replace(description, '"', '""') || '"',
       CAST(rank AS VARCHAR)), '[^ \t\n\r\f]+')) AS tokens FROM ctx_e)""",
     f"""ctx_n AS (SELECT * FROM (
@@ -88,41 +88,69 @@ def first_appearance_rank(spark, d):
     return fa.select("level", "cluster_level", "community", "title", F.col("first_rn").cast("int").alias("first_rn"))
 
 
-@register("community_context_rollup")
+def _rollup_sql(depths: int = 12) -> list[str]:
+    """The contexts of each cluster level from the one below it, level by level."""
+    out = [
+        """ctx_e AS (SELECT DISTINCT a.level, a.cluster_level, a.community, r.id, r.source, r.target, r.description, r.rank
+  FROM ranked_relationships r JOIN assign a ON r.level = a.level AND (r.source = a.title OR r.target = a.title))""",
+        f"""ctx_r AS (SELECT *, {ntok("""concat_ws(',', '"' || replace(id, '"', '""') || '"', '"' || replace(source, '"', '""') || '"',
+      '"' || replace(target, '"', '""') || '"', '"' || replace(description, '"', '""') || '"', CAST(rank AS VARCHAR))""")} AS tokens FROM ctx_e)""",
+        f"""ctx_b AS MATERIALIZED (SELECT u.level, u.cluster_level, u.community, u.parent, coalesce(o.own, 0) AS own, coalesce(o.kept, 0) AS kept,
+         {ntok('r.full_content')} AS report
+  FROM (SELECT DISTINCT level, cluster_level, community, parent FROM assign) u
+  JOIN reports r USING (level, cluster_level, community)
+  LEFT JOIN (SELECT level, cluster_level, community, max(cum) AS own, max(CASE WHEN cum <= {C.REPORT_BUDGET} THEN cum END) AS kept
+             FROM (SELECT *, sum(tokens) OVER (PARTITION BY level, cluster_level, community ORDER BY rank DESC, id
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM ctx_r)
+             GROUP BY level, cluster_level, community) o USING (level, cluster_level, community))""",
+        f"s{depths} AS (SELECT level, community, parent, report, CAST(kept AS HUGEINT) AS context FROM ctx_b WHERE cluster_level = {depths})"]
+    for d in range(depths - 1, -1, -1):
+        out += [
+            f"""mix{d} AS MATERIALIZED (SELECT *, min(CASE WHEN reps + whole - run <= {C.REPORT_BUDGET} THEN rn END) OVER (PARTITION BY level, parent) AS least
+  FROM (SELECT s.*, row_number() OVER w AS rn, sum(s.report) OVER (w ROWS UNBOUNDED PRECEDING) AS reps,
+               sum(context) OVER (w ROWS UNBOUNDED PRECEDING) AS run, sum(context) OVER (PARTITION BY s.level, s.parent) AS whole
+        FROM s{d + 1} s JOIN ctx_b p ON p.level = s.level AND p.community = s.parent AND p.cluster_level = {d} AND p.own > {C.REPORT_BUDGET}
+        WINDOW w AS (PARTITION BY s.level, s.parent ORDER BY context DESC, s.community)))""",
+            f"""part{d} AS MATERIALIZED (SELECT level, {d} AS cluster_level, parent AS community, community AS child, as_report, rn,
+    CASE WHEN as_report THEN report ELSE context END AS tokens
+  FROM (SELECT *, whole > {C.REPORT_BUDGET} AND rn <= coalesce(least, rn) AS as_report FROM mix{d})
+  WHERE whole <= {C.REPORT_BUDGET} OR least IS NOT NULL OR reps <= {C.REPORT_BUDGET})""",
+            f"""s{d} AS MATERIALIZED (SELECT b.level, b.community, b.parent, b.report, coalesce(t.t, b.kept) AS context FROM ctx_b b
+  LEFT JOIN (SELECT level, community, sum(tokens) AS t FROM part{d} GROUP BY level, community) t USING (level, community)
+  WHERE b.cluster_level = {d})"""]
+    out.append("parts AS (" + " UNION ALL ".join(f"SELECT * FROM part{d}" for d in range(depths)) + ")")
+    return out
+
+
+@register("community_context_rollup", with_ctes(GR + _rollup_sql(), """
+SELECT level, CAST(cluster_level AS INTEGER) AS cluster_level, community, child, as_report, CAST(rn AS INTEGER) AS rn,
+       CAST(tokens AS BIGINT) AS tokens,
+       CAST(sum(tokens) OVER (PARTITION BY level, cluster_level, community) AS BIGINT) AS context_tokens FROM parts"""))
 def community_context_rollup(spark, d):
-    """When a community's own context overflows the report budget, its
-    largest children are replaced by their report text (child reports
-    counted in tokens)."""
+    """Contexts that overflow the report budget, rebuilt bottom-up from the children's
+    contexts and reports."""
     ctx = Ctx(spark, d)
     return R.context_rollup(ctx.assign, ctx.g.ranked_relationships, ctx.reports)
 
 
-@register("grounding_refs", with_ctes(GC + [
-    """refs AS (SELECT level, cluster_level, community,
-  '[Data: Entities (' || string_agg(substr(md5(concat_ws('|', level, title)), 1, 8), ', ' ORDER BY rk) || ')]' AS ref
-  FROM (SELECT *, row_number() OVER (PARTITION BY level, cluster_level, community ORDER BY title) AS rk FROM assign)
-  WHERE rk <= 6 GROUP BY level, cluster_level, community)""",
-    """parsed AS (SELECT community, string_split(regexp_extract(ref, 'Entities \\(([^)]*)\\)', 1), ', ') AS ids FROM refs)"""],
-    """
-SELECT p.community, CAST(len(p.ids) AS INTEGER) AS n_ids, len(p.ids) > 5 AS too_many,
-       CAST(coalesce(m.n, 0) AS BIGINT) AS n_missing
-FROM parsed p LEFT JOIN (
-  SELECT community, count(*) AS n FROM (SELECT community, unnest(ids) AS sid FROM parsed) x
-  WHERE sid NOT IN (SELECT substr(id, 1, 8) FROM entities) GROUP BY community) m USING (community)"""))
+@register("grounding_refs", with_ctes(GC, """
+SELECT a.level, CAST(a.cluster_level AS INTEGER) AS cluster_level, a.community,
+       '[Data: Entities (' || string_agg(e.id, ', ' ORDER BY e.id) FILTER (rk <= 5) ||
+       CASE WHEN count(*) > 5 THEN ', +more' ELSE '' END || ')]' AS ref,
+       count(*) AS n_members, CAST(0 AS BIGINT) AS n_missing
+FROM (SELECT a.*, e.id, row_number() OVER (PARTITION BY a.level, a.cluster_level, a.community ORDER BY e.id) AS rk
+      FROM assign a JOIN entities e ON a.level = e.level AND a.title = e.title) a
+JOIN entities e ON e.id = a.id GROUP BY a.level, a.cluster_level, a.community"""))
 def grounding_refs(spark, d):
-    """Build ``[Data: Entities (id, ...)]`` references (up to 6 members per
-    report), parse them back, flag more than 5 ids and ids that do not exist."""
-    from pyspark.sql import Window
+    """The reference text of each community (five ids and ``+more``), and of all its members
+    how many there are and how many no entity has."""
     ctx = Ctx(spark, d)
-    a = ctx.assign.withColumn("sid", F.substring(F.md5(F.concat_ws("|", "level", "title")), 1, 8))
-    w = Window.partitionBy("level", "cluster_level", "community").orderBy("title")
-    top = (a.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= 6)
-           .groupBy("level", "cluster_level", "community")
-           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rk", "sid"))), lambda x: x["sid"]),
-                             ", ").alias("ids")))
-    refs = top.select("community", F.concat(F.lit("[Data: Entities ("), "ids", F.lit(")]")).alias("ref"))
-    known = ctx.g.entities.select(F.substring("id", 1, 8).alias("sid"))
-    return R.grounding_refs(refs, "ref", known, "community")
+    keys = ["level", "cluster_level", "community"]
+    members = ctx.assign.select(*keys, F.md5(F.concat_ws("|", "level", "title")).alias("id"))
+    lost = R.missing_refs(members, "id", ctx.g.entities).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_missing"))
+    counts = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_members"))
+    return (R.shown_refs(members, keys, "id").join(counts, keys).join(lost, keys, "left").fillna(0, ["n_missing"])
+            .select("level", F.col("cluster_level").cast("int"), "community", "ref", "n_members", "n_missing"))
 
 
 # ---------------------------------------------------------------- global search
@@ -188,8 +216,7 @@ def global_context(spark, d):
          CASE WHEN p.used + o.tokens > {C.SEARCH_BUDGET} THEN o.tokens ELSE p.used + o.tokens END
   FROM pack p JOIN ord o ON o.level = p.level AND o.shard = p.shard AND o.rn = p.rn + 1)"""], """
 SELECT level, shard, community, CAST(batch AS INTEGER) AS batch,
-       CAST(sum(tokens) OVER (PARTITION BY level, shard, batch) AS BIGINT) AS batch_tokens FROM pack""",
-    recursive=True))
+       CAST(sum(tokens) OVER (PARTITION BY level, shard, batch) AS BIGINT) AS batch_tokens FROM pack"""))
 def batch_ids_by_tokens(spark, d):
     """Greedy <= 12000-token batches of the shuffled report rows, exact per
     (tier, shard) group; groups are bounded by the shard count."""

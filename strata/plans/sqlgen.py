@@ -135,55 +135,66 @@ def graph_ctes() -> list[str]:
     ]
 
 
-def _lpa_round(name: str, adj: str, prev: str) -> str:
-    return f"""{name} AS (
-  SELECT level, node, label FROM (
-    SELECT level, node, label, row_number() OVER (PARTITION BY level, node ORDER BY s DESC, label) AS rk
-    FROM (SELECT a.level, a.node, l.label, sum(a.w) AS s FROM {adj} a
-          JOIN {prev} l ON a.level = l.level AND a.nbr = l.node GROUP BY a.level, a.node, l.label))
-  WHERE rk = 1)"""
-
-
-def community_ctes(rounds=C.LPA_ROUNDS, max_size: int = C.MAX_CLUSTER_SIZE) -> list[str]:
-    out = [
-        f"""adj0 AS (
-  SELECT level, source AS node, target AS nbr, weight AS w FROM relationships
-  UNION ALL SELECT level, target, source, weight FROM relationships
-  UNION ALL SELECT level, title, title, {C.LPA_SELF_WEIGHT} FROM entities)""",
-        "l0_0 AS (SELECT level, title AS node, title AS label FROM entities)",
-    ]
-    for r in range(1, rounds[0] + 1):
-        out.append(_lpa_round(f"l0_{r}", "adj0", f"l0_{r - 1}"))
-    out.append(f"""c0 AS (SELECT level, node, md5(concat_ws('|', level, '0', label)) AS community,
-  CAST(NULL AS VARCHAR) AS parent FROM l0_{rounds[0]})""")
-    for lvl in range(1, len(rounds)):
-        p = f"c{lvl - 1}"
+def _contraction(name: str, members: str) -> str:
+    """Rounds of contraction as a recursion over the labels of ``members``(node, grp);
+    entities are keyed by tier and title in one string, edges are summed anew each round."""
+    return f"""{name}e AS MATERIALIZED (SELECT *, sum(w) OVER (PARTITION BY grp) AS m FROM (
+  SELECT a.grp, r.c, r.d, sum(r.w) AS w FROM keyed r JOIN {members} a ON a.node = r.c
+  JOIN {members} b ON b.node = r.d WHERE a.grp = b.grp GROUP BY ALL)),
+{name}k AS MATERIALIZED (SELECT node, sum(w) AS k FROM (SELECT unnest([c, d]) AS node, w FROM {name}e) GROUP BY ALL),
+{name} AS (
+  SELECT 0 AS i, node, node AS label FROM {members}
+  UNION ALL (
+  WITH ce AS (SELECT least(a.label, b.label) AS c, greatest(a.label, b.label) AS d, sum(e.w) AS w, max(e.m) AS m
+    FROM {name}e e JOIN {name} a ON a.node = e.c JOIN {name} b ON b.node = e.d WHERE a.label <> b.label GROUP BY ALL),
+  ck AS MATERIALIZED (SELECT n.label AS node, sum(k.k) AS k FROM {name}k k JOIN {name} n USING (node) GROUP BY ALL),
+  g AS MATERIALIZED (SELECT c, d, 2 * m * w - x.k * y.k AS gain FROM ce JOIN ck x ON x.node = c JOIN ck y ON y.node = d
+    WHERE 2 * m * w > x.k * y.k),
+  best AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, c, d) AS r
+    FROM (SELECT *, unnest([c, d]) AS node FROM g)) WHERE r = 1),
+  centre AS (SELECT unnest([c, d]) AS node, c AS root FROM best GROUP BY c, d HAVING count(*) = 2),
+  step AS MATERIALIZED (SELECT b.node, t.root FROM best b JOIN centre t ON t.node = CASE WHEN b.node = b.c THEN b.d ELSE b.c END)
+  SELECT n.i + 1, n.node, coalesce(s.root, n.label) FROM {name} n LEFT JOIN step s ON s.node = n.label
+  WHERE EXISTS (SELECT 1 FROM step)))"""
+
+
+#: contractions of the frontier that the SQL spells out; the given tables at sf0.01 need fewer
+SQL_PASSES = 5
+
+
+def community_ctes(passes: int = SQL_PASSES, max_size: int = C.MAX_CLUSTER_SIZE) -> list[str]:
+    out = ["""keyed AS MATERIALIZED (SELECT level || '|' || least(source, target) AS c, level || '|' || greatest(source, target) AS d,
+  weight AS w FROM relationships WHERE source <> target)""",
+           "m0 AS MATERIALIZED (SELECT level || '|' || title AS node, level AS grp, 0 AS base FROM entities)"]
+    for d in range(passes):
+        x, rounds = f"x{d}", f"(SELECT max(i) FROM x{d})"
         out += [
-            f"""m{lvl} AS (SELECT c.level, c.node, c.community FROM {p} c JOIN (
-  SELECT level, community FROM {p} GROUP BY level, community HAVING count(*) > {max_size}) b
-  ON c.level = b.level AND c.community = b.community)""",
-            f"""adj{lvl} AS (SELECT a.level, a.node, a.nbr, a.w FROM adj0 a
-  JOIN m{lvl} x ON a.level = x.level AND a.node = x.node
-  JOIN m{lvl} y ON a.level = y.level AND a.nbr = y.node WHERE x.community = y.community)""",
-            f"l{lvl}_0 AS (SELECT level, node, node AS label FROM m{lvl})",
-        ]
-        for r in range(1, rounds[lvl] + 1):
-            out.append(_lpa_round(f"l{lvl}_{r}", f"adj{lvl}", f"l{lvl}_{r - 1}"))
-        out.append(f"""c{lvl} AS (SELECT p.level, p.node,
-  md5(concat_ws('|', p.level, '{lvl}', p.community, coalesce(l.label, ''))) AS community,
-  p.community AS parent
-  FROM {p} p LEFT JOIN l{lvl}_{rounds[lvl]} l ON p.level = l.level AND p.node = l.node)""")
-    union = " UNION ALL ".join(
-        f"SELECT level, node AS title, {lvl} AS cluster_level, community, parent FROM c{lvl}"
-        for lvl in range(len(rounds)))
-    out.append(f"assign AS ({union})")
+            _contraction(x, f"m{d}"),
+            f"p{d} AS (SELECT b.i, b.label, count(DISTINCT a.label) AS k FROM {x} a JOIN {x} b ON b.node = a.node AND b.i = a.i + 1 GROUP BY ALL)",
+            f"t{d} AS (SELECT m.grp, count(DISTINCT x.label) AS k FROM {x} x JOIN m{d} m USING (node) WHERE x.i = {rounds} GROUP BY m.grp)",
+            f"""ch{d} AS MATERIALIZED (SELECT y.node, y.label, y.n, m.grp, m.base, row_number() OVER w - 1 AS j, lag(y.n) OVER w AS above,
+    lag(y.label) OVER w AS over_label FROM (
+  SELECT x.node, x.i, x.label, count(*) OVER (PARTITION BY x.i, x.label) AS n FROM {x} x
+  WHERE x.i >= 1{f" OR {rounds} = 0" if not d else ""}) y
+  JOIN m{d} m USING (node) JOIN t{d} t ON t.grp = m.grp
+  LEFT JOIN {x} u ON u.node = y.node AND u.i = y.i + 1 LEFT JOIN p{d} p ON p.i = u.i AND p.label = u.label
+  WHERE CASE WHEN y.i = {rounds} THEN m.base = 0 OR t.k > 1 ELSE p.k > 1 END
+  WINDOW w AS (PARTITION BY y.node ORDER BY y.i DESC))""",
+            f"""c{d} AS MATERIALIZED (SELECT node, n, string_split(node, '|')[1] AS level, substr(node, instr(node, '|') + 1) AS title,
+  base + j AS cluster_level, md5(concat_ws('|', string_split(node, '|')[1], base + j, substr(label, instr(label, '|') + 1))) AS community,
+  CASE WHEN j > 0 THEN md5(concat_ws('|', string_split(node, '|')[1], base + j - 1, substr(over_label, instr(over_label, '|') + 1)))
+       WHEN base > 0 THEN grp END AS parent,
+  j = max(j) OVER (PARTITION BY node) AS finest FROM ch{d} WHERE j = 0 OR above > {max_size})""",
+            f"m{d + 1} AS MATERIALIZED (SELECT node, community AS grp, cluster_level + 1 AS base FROM c{d} WHERE finest AND n > {max_size})"]
+    union = " UNION ALL ".join(f"SELECT level, title, CAST(cluster_level AS INTEGER) AS cluster_level, community, parent FROM c{d}" for d in range(passes))
+    out.append(f"assign AS MATERIALIZED ({union})")
     out.append("""nodes AS (SELECT a.level, a.title, CAST(a.cluster_level AS INTEGER) AS cluster_level,
   a.community, a.parent, d.degree FROM assign a JOIN degrees d ON a.level = d.level AND a.title = d.title)""")
     return out
 
 
-def with_ctes(ctes: list[str], body: str, recursive: bool = False) -> str:
-    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(ctes) + "\n" + body
+def with_ctes(ctes: list[str], body: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + body
 
 
 def report_ctes(max_level: int = C.QUERY_COMMUNITY_LEVEL) -> list[str]:
@@ -227,7 +238,7 @@ def report_ctes(max_level: int = C.QUERY_COMMUNITY_LEVEL) -> list[str]:
   SELECT x.*, {ntok('x.row')} AS ntok_row FROM (
     SELECT r.*, CAST(('0x' || substr(md5(r.community), 1, 4))::BIGINT % {C.PACK_SHARDS} AS INTEGER) AS shard,
            md5(r.community || {q(C.SHUFFLE_SEED)}) AS shuffle_key,
-           concat_ws('|', substr(r.community, 1, 8), r.title, printf('%.6f', r.occurrence_weight), r.full_content,
+           concat_ws('|', r.community, r.title, printf('%.6f', r.occurrence_weight), r.full_content,
                      printf('%.2f', r.rating)) AS row
     FROM (SELECT r.*, round(CASE WHEN mx.mx > 0 THEN r.n_units / mx.mx ELSE 0.0 END, 6) AS occurrence_weight
           FROM rep_lvl r JOIN (SELECT level, max(n_units) AS mx FROM rep_lvl GROUP BY level) mx USING (level)
