@@ -69,10 +69,6 @@ TIER_TYPES = {
     "admin": ("ORGANIZATION", "GEO", "EVENT", "PERSON"),
 }
 
-# shard count for order-dependent packing (part of the definition); the
-# count grows with the data so that no shard exceeds PACK_ROWS_PER_SHARD rows
-PACK_SHARDS = 8
-PACK_ROWS_PER_SHARD = 200_000
 # salt buckets for joins on keys that can be hubs
 SKEW_SALT_BUCKETS = 8
 SHUFFLE_SEED = "strata"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from strata import config as C
 from strata.functions.text import token_count
 from strata.operators import vectors as V
-from strata.operators.windows import budget_prefix, shard_of
+from strata.operators.windows import budget_prefix
 
 CKEYS = ["level", "cluster_level", "community"]
 
@@ -48,16 +48,12 @@ def shuffle_key(col: str, seed: str = C.SHUFFLE_SEED) -> F.Column:
 
 def global_context(reports: DataFrame, assign: DataFrame, min_rank: float = C.MIN_COMMUNITY_RANK) -> DataFrame:
     """Report rows for the map stage: level <= 2, rank >= min, occurrence
-    weight, seeded shuffle order inside (tier, shard), CSV row and tokens."""
-    from strata.operators.windows import pack_shards
+    weight, seeded shuffle key (the order of a tier's rows), CSV row and tokens."""
     r = occurrence_weight(reports_at_level(reports, assign)).where(F.col("rating") >= min_rank)
-    # sized from the persisted report table (a superset): a cheap count
-    n_shards = pack_shards(reports)
     row = F.concat_ws("|", "community", "title",
                       F.format_string("%.6f", "occurrence_weight"), "full_content",
                       F.format_string("%.2f", "rating"))
-    return (r.withColumn("shard", shard_of("community", n_shards).cast("int"))
-            .withColumn("shuffle_key", shuffle_key("community"))
+    return (r.withColumn("shuffle_key", shuffle_key("community"))
             .withColumn("row", row).withColumn("tokens", token_count(F.col("row"))))
 
 

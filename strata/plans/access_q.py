@@ -339,12 +339,11 @@ def memoized_enrichment(spark, d):
 # ---------------------------------------------------------------- batching windows
 
 @register("batch_ids_by_count", with_ctes(G, f"""
-SELECT level, id, shard, CAST(floor((row_number() OVER (PARTITION BY level, shard ORDER BY id) - 1)
-       / {C.EMBED_BATCH_SIZE}) AS INTEGER) AS batch FROM (
-  SELECT level, id, ('0x' || substr(md5(id), 1, 4))::BIGINT % {C.PACK_SHARDS} AS shard FROM entities)"""))
+SELECT level, id, CAST(floor((row_number() OVER (PARTITION BY level ORDER BY id) - 1)
+       / {C.EMBED_BATCH_SIZE}) AS INTEGER) AS batch FROM entities"""))
 def batch_ids_by_count(spark, d):
     e = Ctx(spark, d).g.entities.select("level", "id")
-    return count_batches(e, "id", part=("level",)).select("level", "id", "shard", "batch")
+    return count_batches(e, "id", part=("level",)).select("level", "id", "batch")
 
 
 @register("report_row_id", with_ctes(GR, """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strata import config as C
 from strata.operators import reports as R
 from strata.operators import search as S
-from strata.operators.windows import greedy_pack
+from strata.operators.windows import global_row_number, greedy_pack
 from strata.plans.registry import Ctx, register
 from strata.plans.sqlgen import (clearance_values, community_ctes, entity_match_ctes, graph_ctes, local_ctes, ntok,
                                  report_ctes, search_ctes, with_ctes)
@@ -191,37 +191,40 @@ def occurrence_weight(spark, d):
 
 
 @register("shuffle_reports", with_ctes(GS, """
-SELECT level, community, shard, shuffle_key FROM gctx"""))
+SELECT level, community, shuffle_key, row_number() OVER (PARTITION BY level ORDER BY shuffle_key, community) AS place FROM gctx"""))
 def shuffle_reports(spark, d):
-    return Ctx(spark, d).gctx.select("level", "community", "shard", "shuffle_key")
+    """The seeded order of each tier's reports, numbered without a task for a whole tier."""
+    g = Ctx(spark, d).gctx.select("level", "community", "shuffle_key")
+    n = global_row_number(g, [F.col("level"), F.col("shuffle_key"), F.col("community")], "_g")
+    first = n.groupBy("level").agg(F.min("_g").alias("_g0"))
+    return n.join(F.broadcast(first), "level").select("level", "community", "shuffle_key", (F.col("_g") - F.col("_g0") + 1).alias("place"))
 
 
 @register("global_context", with_ctes(GS, """
-SELECT level, CAST(cluster_level AS INTEGER) AS cluster_level, community, shard, shuffle_key, occurrence_weight,
+SELECT level, CAST(cluster_level AS INTEGER) AS cluster_level, community, shuffle_key, occurrence_weight,
        rating, CAST(tokens AS INTEGER) AS tokens FROM gctx"""))
 def global_context(spark, d):
     g = Ctx(spark, d).gctx
-    return g.select("level", F.col("cluster_level").cast("int"), "community", "shard", "shuffle_key",
+    return g.select("level", F.col("cluster_level").cast("int"), "community", "shuffle_key",
                     "occurrence_weight", "rating", F.col("tokens").cast("int"))
 
 
 @register("batch_ids_by_tokens", with_ctes(GS + [
-    """ord AS (SELECT level, shard, community, tokens,
-  row_number() OVER (PARTITION BY level, shard ORDER BY shuffle_key, community) AS rn FROM gctx)""",
-    f"""pack(level, shard, rn, community, tokens, batch, used) AS (
-  SELECT level, shard, rn, community, tokens, 0, tokens FROM ord WHERE rn = 1
+    """ord AS (SELECT level, community, tokens,
+  row_number() OVER (PARTITION BY level ORDER BY shuffle_key, community) AS rn FROM gctx)""",
+    f"""pack(level, rn, community, tokens, batch, used) AS (
+  SELECT level, rn, community, tokens, 0, tokens FROM ord WHERE rn = 1
   UNION ALL
-  SELECT o.level, o.shard, o.rn, o.community, o.tokens,
+  SELECT o.level, o.rn, o.community, o.tokens,
          CASE WHEN p.used + o.tokens > {C.SEARCH_BUDGET} THEN p.batch + 1 ELSE p.batch END,
          CASE WHEN p.used + o.tokens > {C.SEARCH_BUDGET} THEN o.tokens ELSE p.used + o.tokens END
-  FROM pack p JOIN ord o ON o.level = p.level AND o.shard = p.shard AND o.rn = p.rn + 1)"""], """
-SELECT level, shard, community, CAST(batch AS INTEGER) AS batch,
-       CAST(sum(tokens) OVER (PARTITION BY level, shard, batch) AS BIGINT) AS batch_tokens FROM pack"""))
+  FROM pack p JOIN ord o ON o.level = p.level AND o.rn = p.rn + 1)"""], """
+SELECT level, community, CAST(batch AS INTEGER) AS batch,
+       CAST(sum(tokens) OVER (PARTITION BY level, batch) AS BIGINT) AS batch_tokens FROM pack"""))
 def batch_ids_by_tokens(spark, d):
-    """Greedy <= 12000-token batches of the shuffled report rows, exact per
-    (tier, shard) group; groups are bounded by the shard count."""
+    """Greedy <= 12000-token batches of the shuffled report rows, one exact packing per tier."""
     g = Ctx(spark, d).gctx
-    return greedy_pack(g, ["level", "shard"], "shuffle_key", "tokens", C.SEARCH_BUDGET, "community")
+    return greedy_pack(g, ["level"], "shuffle_key", "tokens", C.SEARCH_BUDGET, "community")
 
 
 @register("global_map_score", with_ctes(GS, """

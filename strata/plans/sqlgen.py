@@ -236,8 +236,7 @@ def report_ctes(max_level: int = C.QUERY_COMMUNITY_LEVEL) -> list[str]:
         f"rep_lvl AS (SELECT r.* FROM reports r JOIN rep_fin USING ({ck}))",
         f"""gctx AS (SELECT *, ntok_row AS tokens FROM (
   SELECT x.*, {ntok('x.row')} AS ntok_row FROM (
-    SELECT r.*, CAST(('0x' || substr(md5(r.community), 1, 4))::BIGINT % {C.PACK_SHARDS} AS INTEGER) AS shard,
-           md5(r.community || {q(C.SHUFFLE_SEED)}) AS shuffle_key,
+    SELECT r.*, md5(r.community || {q(C.SHUFFLE_SEED)}) AS shuffle_key,
            concat_ws('|', r.community, r.title, printf('%.6f', r.occurrence_weight), r.full_content,
                      printf('%.2f', r.rating)) AS row
     FROM (SELECT r.*, round(CASE WHEN mx.mx > 0 THEN r.n_units / mx.mx ELSE 0.0 END, 6) AS occurrence_weight

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from strata.operators.windows import budget_prefix, count_batches, global_row_number, greedy_pack
+from strata.operators.windows import budget_prefix, count_batches, global_row_number, greedy_pack, numbered_totals
 
 
 def test_global_row_number_dense(spark):
@@ -10,12 +10,43 @@ def test_global_row_number_dense(spark):
     assert [x.row_id for x in by_k] == list(range(1, 1001))
 
 
-def test_greedy_pack_never_exceeds_budget(spark):
-    rows = [(i % 3, f"r{i:03d}", f"{(i * 37) % 101:03d}", 1 + (i * 13) % 50) for i in range(300)]
-    df = spark.createDataFrame(rows, "shard int, id string, ord string, tokens int")
-    out = greedy_pack(df, ["shard"], "ord", "tokens", 120, "id").collect()
-    assert len(out) == 300
-    assert max(r.batch_tokens for r in out) <= 120
+def _packed(rows, budget):
+    """{(group, id): (batch, batch_tokens)} by walking each group's rows in order."""
+    out, groups = {}, {}
+    for g, i, order, tokens in rows:
+        groups.setdefault(g, []).append((order, i, tokens))
+    for g, members in groups.items():
+        batches = [[]]
+        for _, i, t in sorted(members):
+            if batches[-1] and sum(x for _, x in batches[-1]) + t > budget:
+                batches.append([])
+            batches[-1].append((i, t))
+        out.update({(g, i): (b, sum(x for _, x in batch)) for b, batch in enumerate(batches) for i, _ in batch})
+    return out
+
+
+def test_greedy_pack_equals_a_walk_over_the_rows(spark):
+    import random
+    r = random.Random(4)
+    sizes = [0, 1, 1, 2, 5, 13, 50, 119, 120, 121, 400]        # nothing, small, exactly the budget, above it
+    rows = [("hot", f"h{i:04d}", f"{r.randrange(300):03d}", r.choice(sizes)) for i in range(1500)]
+    rows += [(f"g{i % 5}", f"r{i:03d}", f"{(i * 37) % 101:03d}", 1 + (i * 13) % 50) for i in range(300)]
+    rows += [("one", "x", "0", 1), ("huge", "x", "0", 999), ("nil", "x", "0", 0), ("nil", "y", "0", 0)]
+    df = spark.createDataFrame(rows, "grp string, id string, ord string, n int").repartition(5)
+    got = {(x.grp, x.id): (x.batch, x.batch_tokens) for x in greedy_pack(df, ["grp"], "ord", "n", 120, "id").collect()}
+    assert got == _packed(rows, 120)
+    whole = {x.id: (x.batch, x.batch_tokens) for x in greedy_pack(df.where("grp = 'hot'"), [], "ord", "n", 120, "id").collect()}
+    assert whole == {i: v for (g, i), v in got.items() if g == "hot"}
+    assert greedy_pack(df.limit(0), ["grp"], "ord", "n", 120, "id").collect() == []
+
+
+def test_numbered_totals(spark):
+    df = spark.range(500).select(((F.col("id") * 7919) % 500).alias("k"), (F.col("id") % 9).alias("v")).repartition(7)
+    rows = numbered_totals(df, [F.col("k")], {"v": "sum"}).orderBy("row_id").collect()
+    total = 0
+    for n, x in enumerate(rows):
+        total += x.v
+        assert (x.row_id, x.k, x["sum"]) == (n + 1, n, total)
 
 
 def test_budget_prefix(spark):
@@ -59,7 +90,11 @@ def test_count_batches_of_a_million_rows(spark, tmp_path):
     path = str(tmp_path / "batches")
     count_batches(spark.range(1_000_000), "id", size=16).write.parquet(path)
     got = spark.read.parquet(path)
-    sizes = got.groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n"))
-    assert sizes.agg(F.max("n"), F.min("batch")).first()[:] == (16, 0)
-    full = got.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), (F.max("batch") + 1).alias("batches"))
-    assert full.where("batches != ceil(rows / 16)").count() == 0 and got.count() == 1_000_000
+    sizes = got.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    assert sizes.agg(F.max("n"), F.min("n"), F.min("batch"), F.max("batch")).first()[:] == (16, 16, 0, 62_499)
+    assert got.count() == 1_000_000
+
+
+def test_36_inputs_give_3_batches(spark):
+    got = count_batches(spark.range(36).withColumn("tier", F.lit("t")), "id", size=16, part=("tier",))
+    assert sorted(r["count"] for r in got.groupBy("batch").count().collect()) == [4, 16, 16]
