@@ -196,21 +196,24 @@ def _shared(left: pa.Array, right: pa.Array) -> pa.Array:
                      for a, b, c, d in zip(i[:-1], i[1:], j[:-1], j[1:])], pa.int64())
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets reach ``percent``."""
+def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, many: bool = False) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets reach ``percent``.  ``many``: the pairs grow
+    with the documents, so they are joined by shuffles whatever their number here."""
+    join = (lambda df: df.hint("merge")) if many else (lambda df: df)
+
     def side(name: str) -> DataFrame:
         return classes.select(F.col("node").alias(name), F.col("registers").alias(f"r{name}"),
                               F.col("n_shingles").alias(f"n{name}"))
 
     least = percent / 100
     n, m = F.col("na"), F.col("nb")
-    close = pairs.join(side("a"), "a").join(side("b"), "b").where(
+    close = pairs.join(join(side("a")), "a").join(join(side("b")), "b").where(
         100 * F.least(n, m) >= percent * F.greatest(n, m))
     slack = SIGMAS * F.sqrt(F.lit(least * (1 - least)) / F.least(n, m, F.lit(REGISTERS)))
     close = close.where(_estimate("ra", "rb", "na", "nb") >= least - slack).select("a", "b", "na", "nb")
     close = materialize(close, "pairs")
-    full = close.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    full = close.join(join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))), "a").join(
+        join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))), "b")
     shared = full.select("a", "b", "na", "nb", _shared("sa", "sb").alias("s"))
     return materialize(shared.where(100 * F.col("s") >= percent * (n + m - F.col("s"))).select("a", "b"), "links")
 
@@ -311,7 +314,7 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     centre = members.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("c")).select(
         "key", F.col("c.node").alias("a"))
     links = confirm(members.join(centre, "key").where("a != node").select("a", F.col("node").alias("b")).distinct(),
-                    classes, sets, percent)
+                    classes, sets, percent, many=True)
     labels = components(links)
 
     left = materialize(_unsettled(members, labels), "left")
