@@ -8,15 +8,17 @@ table below, tells main text from the rest; its splits then run where the blocks
 made, so a page is read once and nothing is shuffled.
 
 Defined cases: null or empty html gives an empty text; unclosed tags, comments, scripts
-and a cut-off tag at the end are tolerated; character references are decoded; pages
-without an article are judged by words and links alone; repeated rows are read row by
-row; an empty table gives an empty result; other columns are carried along.
+and a cut-off tag at the end are tolerated, and a value whose quote never closes ends with
+its tag; character references are decoded; pages without an article are judged by words
+and links alone; very long and broken pages take time in step with their length; repeated
+rows are read row by row; an empty table gives an empty result; other columns are carried along.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from functools import lru_cache
 
 import pyarrow as pa
@@ -32,17 +34,31 @@ fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup
 optgroup option p pre section select summary table tbody td tfoot th thead tr ul""".split())
 UNSEEN_TAGS = frozenset("head iframe math noscript object script style svg template textarea title".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-LAYOUT_TAGS = frozenset("nav footer form menu header button select fieldset".split())
+RAW_TAGS = frozenset("iframe noembed noframes noscript script style textarea title xmp".split())   # no tags inside
+HEAD_TAGS = frozenset("base link meta noscript script style template title".split())
+CELLS = frozenset("td th".split())
+# Open elements that an opening tag closes, where they are the innermost block.
+CLOSED_BY = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}, "td": CELLS, "th": CELLS,
+             "tr": CELLS | {"tr"}, "tbody": CELLS | {"tr", "thead", "tbody"}, "tfoot": CELLS | {"tr", "thead", "tbody"}}
+LAYOUT_TAGS = frozenset("nav footer menu button select".split())
+FORM_TAGS = frozenset("form fieldset".split())
 ASIDE_TAGS = frozenset("aside dialog".split())
-LAYOUT_ROLES = frozenset("navigation banner contentinfo search menu menubar form".split())
+LAYOUT_ROLES = frozenset("navigation banner contentinfo menu menubar".split())
+FORM_ROLES = frozenset("search form".split())
 ASIDE_ROLES = frozenset("complementary dialog alert alertdialog".split())
-LAYOUT_WORDS = frozenset("""ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs consent cookie
-cookies copyright footer form gdpr login masthead menu modal nav navbar navigation newsletter notice pager pagination
-popup promo promoted search share sharing signup social sponsor sponsored subscribe subscription toolbar topbar
+# Names of classes and ids.  The word a name ends in says what the element is ("site-footer"), after words for
+# boxes and places ("share-buttons", "sidebar-left"); a first word of STATE_WORDS makes it a state ("with-sidebar").
+LAYOUT_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs consent
+cookie cookies copyright footer form gdpr login masthead menu modal nav navbar navigation newsletter notice pager
+pagination popup promo search share sharing signup social sponsor sponsors subscribe subscription toolbar topbar
 """.split())
-ASIDE_WORDS = frozenset("""aside comment commentlist comments disqus discussion recommended related replies reply
-respond sidebar widget widgets""".split())
+ASIDE_WORDS = frozenset("""aside comment commentlist comments disqus discussion related replies reply respond sidebar
+widget widgets""".split())
+ASIDE_LEADS = frozenset("promoted recommended related sponsored".split())
 HEADER_WORDS = frozenset("header head top".split())
+BOX_WORDS = frozenset("""area bar block bottom box button buttons col column container group icons inner item items left
+link links list outer panel primary right row secondary section top wrap wrapper""".split())
+STATE_WORDS = frozenset("can hide has is no not show with without".split())
 ARTICLE_NAMES = frozenset("""article article-body article-content articlebody content entry entry-content main
 main-content post post-body post-content story story-body""".split())
 
@@ -63,7 +79,7 @@ KINDS = {
 }
 LAYOUTS = ("mmmftttttttf", "ftktcttkttff", "ooptstttqttoo", "tttllllt", "mtccccctgggf", "fotttkttsttppf", "t", "tt",
            "MMMFTThTKhTTF", "LLLxLTTTKhTTRLLx", "hTTKThT", "xLLxxLLx", "FTTTFF", "LLhTTTxLL", "FhKF",
-           "LLThTKTL", "LTL", "LThTLx", "LKhTLL", "MThTF")
+           "LLThTKTL", "LTL", "LThTLx", "LKhTLL", "MThTF", "st", "stt", "sk", "ts", "s", "mstf", "mttsf")
 
 
 def labelled_table() -> list[tuple[float, ...]]:
@@ -78,63 +94,149 @@ def labelled_table() -> list[tuple[float, ...]]:
     return rows
 
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z) | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)> | <[!?][^>]*>
-                        | <[a-zA-Z/!?][^<>]*\Z""", re.S | re.X)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# One pass, as the states of the HTML tokenizer: a quote opens a value only after "=".  Possessive throughout, and a
+# tag without an end runs to the end of the page, so no place is scanned twice.
+_WS = r"[ \t\n\f\r]"
+_VALUE = r""""[^"]*+"|'[^']*+'|[^ \t\n\f\r>"'][^ \t\n\f\r>]*+"""
+_TOKEN = re.compile(rf"""<!--(?:-?>|.*?(?:--!?>|\Z))
+    |<(/?)([a-zA-Z][^\ \t\n\f\r/>]*+)((?:(?:{_WS}|/)++|=?[^\ \t\n\f\r/>=]++(?:{_WS}*+={_WS}*+(?:{_VALUE})?+)?+|=)*+)(?:>|\Z)
+    |<[!?/][^>]*+>?""".replace("[ ", "[\\ ").replace("[^ ", "[^\\ "), re.S | re.X)
+_ATTRIBUTE = re.compile(rf"(=?[^ \t\n\f\r/>=]++)(?:{_WS}*+={_WS}*+({_VALUE})?+)?+")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _signs(tag: str, attributes: str) -> tuple[bool, bool, bool, bool, bool, bool]:
-    """(unseen, layout, aside, header, article, weak article) of an opening tag."""
-    layout, aside, header = tag in LAYOUT_TAGS - {"header"}, tag in ASIDE_TAGS, tag == "header"
-    article, weak, unseen = tag == "article", tag == "main", tag in UNSEEN_TAGS
-    if attributes.strip():
-        for name, value in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), entities.unescape(value.strip("\"'"))
-            low = value.lower()
-            if name in ("class", "id") and tag not in ("html", "body"):
-                parts = {p.lower() for p in _NAME_PART.findall(value)}
-                weak = weak or bool(ARTICLE_NAMES.intersection(low.split()))
-                layout, aside = layout or bool(parts & LAYOUT_WORDS), aside or bool(parts & ASIDE_WORDS)
-                header = header or bool(parts & HEADER_WORDS)
-            elif name == "role":
-                layout, aside, weak = layout or low in LAYOUT_ROLES, aside or low in ASIDE_ROLES, weak or low == "main"
-            elif name == "itemprop":
-                article = article or low == "articlebody"
-            elif name == "hidden" or name == "aria-hidden" and low == "true":
-                unseen = True
-            elif name == "style" and "display:none" in low.replace(" ", ""):
-                unseen = True
-    return unseen, layout, aside, header, article, weak
+@lru_cache(maxsize=len(RAW_TAGS))
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[ \t\n\f\r/>])[^>]*+>?|\Z", re.I)
+
+
+@lru_cache(maxsize=4096)
+def _role(name: str) -> str:
+    """What the name of a class or id says: "layout", "aside", "header" or nothing."""
+    words = [w.lower() for w in _NAME_PART.findall(name)]
+    if not words or words[0] in STATE_WORDS:
+        return ""
+    if words[0] in ASIDE_LEADS:
+        return "aside"
+    while len(words) > 1 and words[-1] in BOX_WORDS:
+        words.pop()
+    last = words[-1]
+    return ("layout" if last in LAYOUT_WORDS else "aside" if last in ASIDE_WORDS
+            else "header" if last in HEADER_WORDS else "")
 
 
 class _Place:
     """What the open elements say of the text inside them."""
 
-    __slots__ = ("tag", "link", "unseen", "layout", "aside", "article", "weak")
+    __slots__ = ("tag", "link", "unseen", "layout", "form", "aside", "article", "weak")
 
-    def __init__(self, tag="", link=False, unseen=False, layout=False, aside=False, article=False, weak=False):
+    def __init__(self, tag="", link=False, unseen=False, layout=False, form=False, aside=False, article=False, weak=False):
         self.tag, self.link, self.unseen = tag, link, unseen
-        self.layout, self.aside, self.article, self.weak = layout, aside, article, weak
+        self.layout, self.form, self.aside, self.article, self.weak = layout, form, aside, article, weak
+
+
+def _place(tag: str, attributes: str, up: _Place) -> _Place:
+    """The place inside an opening tag that stands in ``up``.
+
+    An article ends what a page-wide layout or form says of it, but not what a sidebar or
+    reader comments say; so does main, and an element named as content ends a form."""
+    layout, form, aside, header = tag in LAYOUT_TAGS, tag in FORM_TAGS, tag in ASIDE_TAGS, tag == "header"
+    article, main, unseen, roles, content = tag == "article", tag == "main", tag in UNSEEN_TAGS, set(), False
+    for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
+        name = name.lower()
+        if name not in ("class", "id", "role", "itemprop", "hidden", "aria-hidden", "style"):
+            continue
+        value = entities.unescape(value[1:-1] if value[:1] in ("'", '"') else value)
+        low = value.lower().strip()
+        if name in ("class", "id"):
+            if tag not in ("html", "body"):
+                names = value.split()
+                content = content or not ARTICLE_NAMES.isdisjoint(low.split())
+                roles.update(map(_role, names))
+        elif name == "role":
+            layout, form, aside = layout or low in LAYOUT_ROLES, form or low in FORM_ROLES, aside or low in ASIDE_ROLES
+            main = main or low == "main"
+        elif name == "itemprop":
+            article = article or low == "articlebody"
+        elif name == "hidden" or name == "aria-hidden" and low == "true":
+            unseen = True
+        elif name == "style" and "display:none" in low.replace(" ", ""):
+            unseen = True
+    if not content and not main:                    # "content sidebar" is the content
+        aside = aside or "aside" in roles
+        if not article:                             # what an article is called does not make it layout
+            layout, header = layout or "layout" in roles, header or "header" in roles
+    outer = not up.article
+    frame = article or main and outer
+    return _Place(tag, up.link or tag == "a", up.unseen or unseen,
+                  layout or (header and outer and not article) or (up.layout and not frame),
+                  form or (up.form and not frame and not (content and outer)),
+                  up.aside or aside, up.article or article, up.weak or main or content)
+
+
+class _Open:
+    """The open elements.  Places of each name and of the blocks are kept in lists, so that an end
+    tag without an open element costs nothing."""
+
+    def __init__(self):
+        self.stack, self.at, self.scopes = [_Place()], defaultdict(list), []
+
+    @property
+    def top(self) -> _Place:
+        return self.stack[-1]
+
+    def push(self, place: _Place) -> None:
+        self.at[place.tag].append(len(self.stack))
+        if place.tag in BLOCK_TAGS or place.tag in UNSEEN_TAGS:
+            self.scopes.append(len(self.stack))
+        self.stack.append(place)
+
+    def scope(self) -> str:
+        """The tag of the innermost block."""
+        return self.stack[self.scopes[-1]].tag if self.scopes else ""
+
+    def cut(self, k: int) -> None:
+        while len(self.stack) > k:
+            self.at[self.stack.pop().tag].pop()
+        while self.scopes and self.scopes[-1] >= k:
+            self.scopes.pop()
+
+    def close(self, tag: str) -> None:
+        """An inline element is not closed across a block that opened in it."""
+        if self.at[tag]:
+            k = self.at[tag][-1]
+            if tag in BLOCK_TAGS or tag in UNSEEN_TAGS or not self.scopes or k > self.scopes[-1]:
+                self.cut(k)
+
+    def make_room(self, tag: str) -> None:
+        """Close what ``tag`` closes by opening."""
+        if self.scope() == "head" and tag not in HEAD_TAGS:
+            self.close("head")
+        if tag in BLOCK_TAGS and self.scope() == "p":
+            self.close("p")
+        while self.scope() in CLOSED_BY.get(tag, ()):
+            self.cut(self.scopes[-1])
 
 
 def blocks(page: str) -> list[dict]:
     """Text blocks in page order: text, words, link words, boilerplate, article, weak."""
     out, pieces, link_words = [], [], 0
-    stack = [_Place()]
+    tree = _Open()
 
     def flush():
         nonlocal pieces, link_words
         words = "".join(pieces).split()
         if words:
-            p = stack[-1]
+            p = tree.top
             out.append({"text": " ".join(words), "words": len(words), "links": min(link_words, len(words)),
-                        "boilerplate": p.layout or p.aside, "article": p.article, "weak": p.weak})
+                        "boilerplate": p.layout or p.form or p.aside, "article": p.article, "weak": p.weak})
         pieces, link_words = [], 0
 
     def say(raw):
         nonlocal link_words
-        p = stack[-1]
+        if tree.scope() == "head" and raw.strip():
+            tree.close("head")
+        p = tree.top
         if raw and not p.unseen:
             text = entities.unescape(raw)
             pieces.append(text)
@@ -142,50 +244,30 @@ def blocks(page: str) -> list[dict]:
                 link_words += len(text.split())
 
     at = 0
-    raw_text = None
-    while True:
-        m = (raw_text or _TOKEN).search(page, at)
-        if m is None:
-            say("" if raw_text else page[at:])
-            break
-        say("" if raw_text else page[at:m.start()])
+    for m in iter(lambda: _TOKEN.search(page, at), None):
+        say(page[at:m.start()])
         at = m.end()
-        if raw_text:
-            raw_text = None
-            stack.pop()
-            continue
-        if not m.group(2):
-            continue
-        tag = m.group(2).lower()
-        if m.group(1):
-            if tag in BLOCK_TAGS:
-                flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-            if tag in BLOCK_TAGS:
-                flush()
+        tag = (m.group(2) or "").lower()
+        if not tag or not m.group().endswith(">"):      # a comment, or cut off
             continue
         if tag in BLOCK_TAGS:
             flush()
+        if m.group(1):
+            tree.close(tag)
+            continue
         if tag == "br":
             pieces.append(" ")
         if tag in VOID_TAGS:
             continue
-        unseen, layout, aside, header, article, weak = _signs(tag, m.group(3))
-        up = stack[-1]
-        if tag == "p" or tag == "li":               # closed by the next of its kind
-            if up.tag == tag:
-                stack.pop()
-                up = stack[-1]
-        stack.append(_Place(
-            tag, up.link or tag == "a", up.unseen or unseen,
-            # an article inside a page-wide form or header is still the article
-            layout or (header and not up.article and not article) or (up.layout and not article),
-            up.aside or aside, up.article or article, up.weak or weak))
-        if tag in ("script", "style", "textarea", "title"):
-            raw_text = re.compile(rf"</{tag}[^>]*>|\Z", re.I)
+        if tag in RAW_TAGS:
+            end = _raw_end(tag).search(page, at)
+            if tag == "xmp":
+                pieces.append(page[at:end.start()] if not tree.top.unseen else "")
+            at = end.end()
+            continue
+        tree.make_room(tag)
+        tree.push(_place(tag, m.group(3), tree.top))
+    say(page[at:])
     flush()
     return out
 

@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import pytest
 
@@ -29,6 +30,24 @@ PAGES = [
     ("<ul><li><a>a b</a><li><a>c d</a></ul><p>" + "w " * 40 + "</p><h2>Short</h2><p>" + "v " * 40 + "</p>",
      ("w " * 40).strip() + "\n\nShort\n\n" + ("v " * 40).strip()),
     ("<article><p>1 &lt; 2 < 3 && x</p></article>", "1 < 2 < 3 && x"),
+    # names of classes that only speak of a sidebar, sharing or search
+    ("<div class='content with-sidebar'><article><p>Kept.</p></article><div class='sidebar-left'>no</div></div>", "Kept."),
+    ("<div class='content sidebar'><article><p>Kept.</p></article></div>", "Kept."),
+    ("<article class='post share-enabled'><p>Kept.</p><div class='share-buttons'>no</div></article>", "Kept."),
+    ("<article><p>One.</p><p class='search-history'>Two.</p><div class='post-search'>no</div></article>", "One.\n\nTwo."),
+    ("<article><p>One.</p><div class=siteFooter>no</div><div class=related-posts>no</div></article>", "One."),
+    ("<div id=sidebar><article class=teaser><p>no</p></article></div><article><p>Yes.</p></article>", "Yes."),
+    # quotes that open no value, and one that never closes
+    ("<article><p><a href='x' title=it's>One</a></p><p>Two</p><p>don't</p></article>", "One\n\nTwo\n\ndon't"),
+    ("<article><p \"x>One</p><p title=\"a>Two</p></article>", "One\n\nTwo"),
+    ("<article><p a = 'x>y' b=\"c>d\"/>One<!--> <!---> two --></article>", "One two -->"),
+    # a head, paragraphs and items that are not closed; inline ends across blocks
+    ("<html><head><title>T</title><body><article><p>One<div>Two</div><ul><li><p>a<li>b</ul></article>",
+     "One\n\nTwo\n\na\n\nb"),
+    ("<a name=top><article><p>One</a> more</p></b></article>", "One more"),
+    ("<article><p>One<noscript><p>no</p></noscript> more<svg><title>no</title></svg></p></article>", "One more"),
+    ("<form id=f><main><p>" + "w " * 40 + "</p></main></form>", ("w " * 40).strip()),
+    ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\n\nb\n\nc"),
 ]
 
 
@@ -59,6 +78,15 @@ def test_columns_and_rows(spark):
     assert H.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("page", [
+    "<a \"" * 250_000, "<div>" * 100_000 + "</b>" * 100_000, "<p title=it's>" * 70_000, "<b>" * 150_000 + "</div>" * 100_000,
+    "<a x='" * 150_000, "<!--" * 200_000, "<b><div></b>" * 60_000, "<script>" * 100_000, "</" * 300_000, "<a " + "=" * 500_000])
+def test_hostile_pages_take_linear_time(page):
+    start = time.process_time()
+    H.blocks(page)
+    assert time.process_time() - start < 10
+
+
 def test_long_page(tree):
     page = "<article>" + "<p>some words here</p>" * 20000 + "<div>" * 5000
     assert H.main_text(page, tree).count("\n\n") == 19999
