@@ -9,7 +9,13 @@
 4. Join postings with the windows on the rarest term, shift positions to where the
    window would start, and intersect with the shifted postings of the second term.
 5. What is left is compared word by word with the documents, which gives the exact
-   phrase hits.  Phrases that are only near an item are not looked for.
+   phrase hits.
+6. Proximity: of an item, its rarest term that documents have and the rarest ones that stand
+   less than WINDOW words from it in the item, NEAR_PARTS parts of NEAR_TERMS terms each (two
+   at least).  Where a document has all terms of a part within NEAR_WORDS words, the smallest
+   stretch that covers them is a proximity match, whatever stands between them.  The parts
+   share no term, so a word changed in one leaves the other.
+   Proximity matches are reported beside the exact ones and do not make a verdict.
 
 The benchmark is the stated query set.  It is taken in blocks of at most
 ``BLOCK_WORDS`` words, one after the other, so what the driver and each task hold of it
@@ -29,12 +35,15 @@ from collections.abc import Iterator
 from itertools import chain
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialize, same_document, text_key
 
 WINDOW = 13
+NEAR_TERMS = 3
+NEAR_PARTS = 2
+NEAR_WORDS = 20
 BLOCK_WORDS = 500_000
 MAX_BROADCAST_ROWS = 500_000   # counted before; larger tables are joined by sort and merge
 HIT_SHARE = 20           # contaminated: 20 * n_hit >= n_words
@@ -78,6 +87,23 @@ class QueryBlock:
         return sorted(found)
 
 
+    def near_terms(self, counts: dict[bytes, int]) -> list[tuple[int, int, int, int, bytes]]:
+        """(item, part, terms of the part, slot, term) of the terms that proximity matches hold."""
+        out = []
+        for k, item in enumerate(self.items):
+            present = [i for i, w in enumerate(item) if counts.get(w)]
+            if not present:
+                continue
+            at = min(present, key=lambda i: (counts[item[i]], item[i], i))
+            around = {w for w in item[max(0, at - WINDOW + 1):at + WINDOW] if counts.get(w)} - {item[at]}
+            ranked = [item[at], *sorted(around, key=lambda w: (counts[w], w))]
+            for part in range(NEAR_PARTS):
+                terms = ranked[part * NEAR_TERMS:(part + 1) * NEAR_TERMS]
+                if len(terms) > 1:
+                    out += [(k, part, len(terms), slot, w) for slot, w in enumerate(terms)]
+        return out
+
+
 def pieces(item: tuple[bytes, ...]) -> Iterator[tuple[bytes, ...]]:
     """``item``, or parts of it of at most BLOCK_WORDS words (WINDOW at least) that hold all its windows."""
     most = max(BLOCK_WORDS, WINDOW)
@@ -183,6 +209,27 @@ def candidates(index: DataFrame, anchors: list[tuple[int, bytes, int, bytes, int
     return a.join(b, same, "left_semi").select("doc_id", "text_hash", "item", "at").distinct()
 
 
+def near(index: DataFrame, terms: list[tuple[int, int, int, int, bytes]]) -> DataFrame:
+    """(doc_id, text_hash, item, n_words, start, end): per document and item the smallest (then
+    first) stretch of at most NEAR_WORDS words with all terms of a part of the item's.
+
+    Documents without one of the terms go by one grouping, before positions are looked at;
+    then one pass over the positions in order keeps the last place of each term."""
+    side = index.sparkSession.createDataFrame(terms, "item int, part int, n_terms int, slot int, term binary")
+    key = ("doc_id", "text_hash", "item", "part")
+    postings = index.where(F.col("term").isNotNull()).join(F.broadcast(side), "term")
+    whole = postings.groupBy(*key, "n_terms").agg(F.collect_set(F.struct("slot", "positions")).alias("lists")).where(
+        "size(lists) = n_terms")
+    places = whole.select(*key, "n_terms", F.explode("lists").alias("l")).select(
+        *key, "n_terms", "l.slot", F.explode("l.positions").alias("p"))
+    upto = Window.partitionBy(*key).orderBy("p", "slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = [F.max(F.when(F.col("slot") == s, F.col("p"))).over(upto) for s in range(NEAR_TERMS)]
+    seen = places.select(*key, "n_terms", "p", F.array(*last).alias("last")).withColumn("first", F.array_min("last"))
+    covers = seen.where("size(array_compact(last)) = n_terms").withColumn("n", F.col("p") - F.col("first") + 1)
+    return covers.where(F.col("n") <= NEAR_WORDS).groupBy(*key[:3]).agg(F.min(F.struct(
+        F.col("n").alias("n_words"), F.col("first").alias("start"), (F.col("p") + 1).alias("end"))).alias("s")).select(*key[:3], "s.*")
+
+
 def aligned(ws: list[bytes], item: tuple[bytes, ...], at: int) -> tuple[int, list[tuple[int, int]]]:
     """(item words found at their places, stretches [start, end) of ``ws`` inside whole windows)."""
     need, same, stretches, run = min(WINDOW, len(item)), 0, [], 0
@@ -244,12 +291,23 @@ def find_matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Data
     """(matches, lengths): compared candidates with the ids of their items as
     strings, and one (doc_id, text_hash, n_words) row per row of ``docs``.  Matches of a
     block are written before the next is taken; of a split item, ``at`` is its part's."""
+    return _search(docs, benchmark, False)[::2]
+
+
+def near_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Proximity matches: the rows of ``near`` with the ids of their items as strings."""
+    return _search(docs, benchmark, True)[1]
+
+
+def _search(docs: DataFrame, benchmark: DataFrame, with_near: bool) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """(matches, proximity matches where asked for, lengths)."""
     spark = docs.sparkSession
-    lengths = matches = None
+    lengths = matches = close = None
     blocks = query_blocks(benchmark)
     for block in chain([next(blocks, QueryBlock({}))], blocks):
-        anchors = block.anchors(term_counts(docs, block.terms)) if block.terms else []
-        index = build_index(docs, sorted({t for _, a, _, b, _ in anchors for t in (a, b)}))
+        counts = term_counts(docs, block.terms) if block.terms else {}
+        anchors, terms = block.anchors(counts), block.near_terms(counts) if with_near else []
+        index = build_index(docs, sorted({t for _, a, _, b, _ in anchors for t in (a, b)} | {t[-1] for t in terms}))
         if lengths is None:
             lengths = index.where(F.col("term").isNull()).select("doc_id", "text_hash", "n_words")
         ids = spark.createDataFrame([(k, [str(i) for i in x if i is not None]) for k, x in enumerate(block.ids)],
@@ -257,23 +315,42 @@ def find_matches(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, Data
         found = candidates(index, anchors)
         part = materialize(verify(docs, found, block).join(F.broadcast(ids), "item"), "matches")
         matches = part if matches is None else matches.unionByName(part)
-    return matches, lengths
+        if with_near:
+            part = materialize(near(index, terms).join(F.broadcast(ids), "item"), "near")
+            close = part if close is None else close.unionByName(part)
+    return matches, close, lengths
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, text_hash, n_words, n_hit, items (ids as sorted strings), contaminated."""
-    matches, lengths = find_matches(docs, benchmark)
+def contamination(docs: DataFrame, benchmark: DataFrame, with_near: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, text_hash, n_words, n_hit, items (ids as sorted strings),
+    contaminated; ``with_near`` also n_near (items with a proximity match) and near_words (words
+    of the smallest such stretch, null without)."""
+    matches, close, lengths = _search(docs, benchmark, with_near)
     hits = matches.where(F.size("stretches") > 0).groupBy("doc_id", "text_hash").agg(
         F.size(F.array_distinct(F.flatten(F.transform(
             F.flatten(F.collect_list("stretches")), lambda s: F.sequence(s["start"], s["end"] - 1))))).alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("items"))
-    hits = materialize(hits, "hits")
-    hits = _sized(hits, hits.count())
-    joined = lengths.join(hits, same_document(lengths, hits), "left").select(
-        lengths["doc_id"], lengths["text_hash"], "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-    return joined.withColumn("contaminated", (F.col("n_hit") > 0) & (HIT_SHARE * F.col("n_hit") >= F.col("n_words")))
+    joined = _with(lengths, hits, "hits")
+    extra = []
+    if with_near:
+        joined = _with(joined, close.groupBy("doc_id", "text_hash").agg(
+            F.size(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("n_near"),
+            F.min("n_words").alias("near_words")), "near-by-document")
+        extra = [F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
+                 F.col("near_words").cast("bigint").alias("near_words")]
+    out = joined.select(
+        "doc_id", "text_hash", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), *extra)
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (HIT_SHARE * F.col("n_hit") >= F.col("n_words")))
+
+
+def _with(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the columns found for their documents, if any."""
+    found = materialize(found, name)
+    found = _sized(found, found.count())
+    joined = rows.join(found, same_document(rows, found), "left")
+    return joined.select(*[rows[c] for c in rows.columns],
+                         *[found[c] for c in found.columns if c not in ("doc_id", "text_hash")])
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

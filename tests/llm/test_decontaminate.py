@@ -62,15 +62,57 @@ def test_blocks_give_the_same(spark, monkeypatch):
     assert sorted(x["items"] for x in whole) == [["1"], ["2"]]
 
 
+def brute_near(docs, items):
+    """(doc_id, item_id) -> words of the smallest stretch, by all starts and ends."""
+    count, out = {}, {}
+    for _, t in docs:
+        for w in words(t):
+            count[w] = count.get(w, 0) + 1
+    for item_id, item in items:
+        iw = words(item)
+        ranked = sorted((count[w], w.encode(), i) for i, w in enumerate(iw) if w in count)
+        if not ranked:
+            continue
+        first = ranked[0]
+        others = sorted({(n, w) for n, w, i in ranked if abs(i - first[2]) < 13 and w != first[1]})
+        ranked = [first[1]] + [w for _, w in others]
+        parts = [set(x) for x in (ranked[:3], ranked[3:6]) if len(x) > 1]
+        for doc_id, t in docs:
+            ws = [w.encode() for w in words(t)]
+            sizes = [e - s for s in range(len(ws)) for e in range(s + 1, min(len(ws), s + 20) + 1)
+                     if any(x <= set(ws[s:e]) for x in parts)]
+            if sizes:
+                out[doc_id, str(item_id)] = min(sizes)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_proximity_equals_brute_force(spark, seed):
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(12 if seed else 80)]
+    say = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = [(k, say(r.choice([1, 2, 3, 13, 30])) + " unseen") for k in range(8)] + [(9, "same same"), (10, "")]
+    docs = [(k, say(r.randrange(60))) for k in range(30)] + [(40, None), (41, "same x same")]
+    d = spark.createDataFrame(docs + docs[:3], "doc_id bigint, text string").repartition(4)
+    found = D.near_matches(d, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    got = {(x.doc_id, i): x.n_words for x in found for i in x.item_ids}
+    seen = brute_near(docs, items)
+    repeated = brute_near(docs + docs[:3], items)           # counts order the terms
+    assert got == repeated and seen and all(x.end - x.start == x.n_words for x in found)
+
+
 def test_proximity_match(spark):
     item = " ".join(f"w{i}" for i in range(13))
-    text = item.replace("w6", "other")
-    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
-    m, _ = D.find_matches(docs, spark.createDataFrame([(1, item), (2, "w6 x")], "item_id bigint, text string"))
-    assert m.count() == 0          # a term of the only window is in no document
-    docs = spark.createDataFrame([(1, text), (2, "w6")], "doc_id bigint, text string")
-    m, _ = D.find_matches(docs, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
-    assert all(not x.stretches for x in m.collect())
+    changed, longer = item.replace("w6", "other"), item.replace("w1 ", "w1 more words here ")
+    docs = spark.createDataFrame([(1, "x y " + changed), (2, longer), (3, "w0 " + "far " * 30 + "w1 " + "far " * 30 + "w2")],
+                                 "doc_id bigint, text string")
+    b = spark.createDataFrame([(7, item), (8, "w6 nowhere")], "item_id bigint, text string")
+    got = {x.doc_id: (x.start, x.end, x.item_ids) for x in D.near_matches(docs, b).collect()}
+    assert set(got) == {1, 2} and all(x[2] == ["7"] for x in got.values())
+    rows = {x.doc_id: x for x in D.contamination(docs, b, with_near=True).collect()}
+    assert [(rows[k].n_hit, rows[k].n_near, rows[k].contaminated) for k in (1, 2, 3)] == [
+        (0, 1, False), (0, 1, False), (0, 0, False)]
+    assert rows[1].near_words == got[1][1] - got[1][0] and rows[3].near_words is None
 
 
 def test_empty_tables(spark):
