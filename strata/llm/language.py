@@ -12,8 +12,9 @@ one row.  Counted first, host sums are broadcast up to MAX_BROADCAST_HOSTS, join
 sort and merge beyond.
 
 Defined cases: a page without text, markup or address is judged by what is left, at last
-by the prior of all pages; without labelled documents there are no languages and ``lang``
-is null; repeated rows are pages of their own; an empty table gives an empty result.
+by the prior of all pages; of equal posteriors the first language by name is taken; without
+labelled documents there are no languages: ``lang``,
+``confidence`` and ``text_lang`` are null; repeated rows are pages of their own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -80,7 +81,7 @@ def train(documents: DataFrame) -> tuple[list[str], np.ndarray]:
 def text_posterior(table: np.ndarray, text: str) -> np.ndarray:
     """Probability of each language by the text alone (equal without letters)."""
     grams = trigrams(text)
-    if not len(grams):
+    if not len(grams) or not len(table):
         return np.full(len(table), 1 / max(1, len(table)))
     score = table[:, grams].mean(axis=1) * np.sqrt(len(grams))
     p = np.exp(score - score.max())
@@ -135,8 +136,10 @@ def identify(pages: DataFrame, documents: DataFrame) -> DataFrame:
     languages, table = train(documents)
     n = len(languages)
     if not n:
-        return pages.select("page_id", "url", F.lit(None).cast("string").alias("lang"),
-                            F.lit(None).cast("double").alias("confidence"))
+        seen = evidence(pages.select("page_id", "url", "html"), table)
+        return seen.select("page_id", "url", F.lit(None).cast("string").alias("lang"),
+                           F.lit(None).cast("double").alias("confidence"),
+                           F.lit(None).cast("string").alias("text_lang"), "declared", "host", "suffix")
     seen = materialize(evidence(pages.select("page_id", "url", "html"), table).drop("html"), "evidence")
     sums = [F.sum(F.col("text_p")[i]) for i in range(n)]
     total = seen.agg(F.array(*[F.coalesce(s, F.lit(0.0)) for s in sums]).alias("s"), F.count(F.lit(1)).alias("n")).first()
