@@ -61,24 +61,96 @@ def words(col) -> F.Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(col), F.lit(V.EMBED_WORD_RE), 0))
 
 
-def map_scores(questions: DataFrame, ctx_rows: DataFrame) -> DataFrame:
-    """Lexical overlap score 0..100 = share of distinct question words found
-    in the report row.  Join on the word (an inverted-index join); hot
-    words are skewed keys split by AQE."""
-    qw = questions.select(F.col("item_id").alias("question_id"), F.explode(words(F.col("text"))).alias("w"))
-    nq = qw.groupBy("question_id").agg(F.count(F.lit(1)).alias("nq"))
-    # tokens depends on the community only: carried through so the reduce
-    # step needs no second pass over the context rows
-    rw = ctx_rows.select(*CKEYS, "tokens", F.explode(words(F.col("row"))).alias("w"))
-    hits = qw.join(rw, "w").groupBy("question_id", *CKEYS, "tokens").agg(F.count(F.lit(1)).alias("hit"))
-    return (hits.join(nq, "question_id")
-            .select("question_id", *CKEYS, "tokens",
-                    F.round(100.0 * F.col("hit") / F.col("nq")).cast("int").alias("score")))
-
-
-def global_reduce(scores: DataFrame, ctx_rows: DataFrame, budget: int = C.SEARCH_BUDGET) -> DataFrame:
-    s = scores.where(F.col("score") > 0)
-    return budget_prefix(s, ["question_id", "level"], [F.col("score").desc(), F.col("community")], "tokens", budget)
+def word_impacts(reports: DataFrame) -> DataFrame:
+    """(level, w, impact, list_tokens): 1000 x the inverse document frequency of a word among a
+    tier's report rows, floored; words of no weight (as good as every row has them) go."""
+    n = reports.groupBy("level").agg(F.count(F.lit(1)).alias("n"))              # one row a tier
+    df = (reports.select("level", "tokens", F.explode("words").alias("w")).groupBy("level", "w")
+          .agg(F.count(F.lit(1)).alias("df"), F.sum("tokens").alias("list_tokens")))
+    impact = F.floor(1000 * F.log((F.col("n") + 1) / F.col("df"))).cast("long")
+    return df.join(F.broadcast(n), "level").select("level", "w", impact.alias("impact"), "list_tokens").where("impact > 0")
+
+
+def question_words(questions: DataFrame, impacts: DataFrame) -> DataFrame:
+    """(question_id, level, w, impact, rest, total, before): the weighted words of a question in
+    a tier, with the impact of this and all lighter words, of all words, and the tokens of
+    the report lists of heavier words.  Windows hold one question's words."""
+    qw = questions.select(F.col("item_id").alias("question_id"), F.explode(words(F.col("text"))).alias("w")).join(impacts, "w")
+    one = Window.partitionBy("question_id", "level")
+    heavy = one.orderBy(F.col("impact").desc(), "w")
+    return qw.withColumns({
+        "rest": F.sum("impact").over(heavy.rowsBetween(0, Window.unboundedFollowing)),
+        "total": F.sum("impact").over(one),
+        "before": F.coalesce(F.sum("list_tokens").over(heavy.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    }).drop("list_tokens")
+
+
+def score_floor(qwords: DataFrame, postings: DataFrame, budget: int) -> DataFrame:
+    """(question_id, level, least): a score that more reports than fit the budget reach; no row
+    where none is known.  Reports are scored by the heaviest words alone, as many as it takes
+    for their lists to hold twice the budget: less than the whole score, so the floor holds."""
+    seeds = qwords.where(F.col("before") < 2 * budget).select("question_id", "level", "w", "impact")
+    found = (seeds.join(postings, ["level", "w"]).groupBy("question_id", "level", *CKEYS[1:], "tokens")
+             .agg(F.sum("impact").alias("found")))
+    # sums of a few impacts: few values a question, whatever the number of reports
+    steps = found.groupBy("question_id", "level", "found").agg(F.sum("tokens").alias("tokens"))
+    down = Window.partitionBy("question_id", "level").orderBy(F.col("found").desc())
+    full = steps.withColumn("used", F.sum("tokens").over(down.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("used") > budget)
+    return full.groupBy("question_id", "level").agg(F.max("found").alias("least"))
+
+
+def bounded_words(questions: DataFrame, reports: DataFrame, budget: int) -> DataFrame:
+    """``question_words`` with ``least``, the score floor of the question (0 where none is known)."""
+    from strata.session import stored
+    qwords = stored(question_words(questions, word_impacts(reports)), "question-words")
+    postings = reports.select(*CKEYS, "tokens", F.explode("words").alias("w"))
+    return qwords.join(score_floor(qwords, postings, budget), ["question_id", "level"], "left").fillna(0, ["least"])
+
+
+def listed(bounded: DataFrame, reports: DataFrame) -> DataFrame:
+    """(question_id, keys of the report, impact): the lists of the words that can find a candidate."""
+    postings = reports.select(*CKEYS, F.explode("words").alias("w"))
+    return bounded.where("rest >= least").select("question_id", "level", "w", "impact").join(postings, ["level", "w"])
+
+
+def map_points(questions: DataFrame, ctx_rows: DataFrame, budget: int = C.SEARCH_BUDGET) -> DataFrame:
+    """(question_id, keys of the report, tokens, impact, score): the summed impact of the words
+    that question and report share, for all reports that can enter the budget, those of
+    equal score with the last one included.
+
+    An inverted index with upper bounds.  A report whose heaviest word of the question is w
+    scores at most w's ``rest``; where that is below ``score_floor`` the word's list is not
+    joined, so the frequent words find no candidates.  A candidate whose found words and all
+    light words together stay below the floor goes; the light words of the others are looked
+    up in the report's own words.  score is impact in percent of the question's, floored."""
+    from strata.session import stored
+    reports = stored(ctx_rows.select(*CKEYS, F.col("tokens").cast("long").alias("tokens"), words(F.col("row")).alias("words")), "report-words")
+    bounded = stored(bounded_words(questions, reports, budget), "question-words")
+    # bounded group: one question's words
+    light = bounded.groupBy("question_id", "level").agg(
+        F.max("total").alias("total"), F.max("least").alias("least"),
+        F.coalesce(F.max(F.when(F.col("rest") < F.col("least"), F.col("rest"))), F.lit(0)).alias("light_sum"),
+        F.collect_list(F.when(F.col("rest") < F.col("least"), F.struct("w", "impact"))).alias("light"))
+    found = listed(bounded, reports).groupBy("question_id", *CKEYS).agg(F.sum("impact").alias("found"))
+    near = found.join(light, ["question_id", "level"]).where(F.col("found") + F.col("light_sum") >= F.col("least"))
+    here = F.aggregate(F.filter("light", lambda x: F.array_contains("words", x["w"])), F.lit(0).cast("long"),
+                       lambda acc, x: acc + x["impact"])
+    whole = near.join(reports, CKEYS).withColumn("impact", F.col("found") + here).where("impact >= least")
+    return whole.select("question_id", *CKEYS, "tokens", "impact",
+                        F.floor(100 * F.col("impact") / F.col("total")).cast("int").alias("score"))
+
+
+def global_reduce(points: DataFrame, budget: int = C.SEARCH_BUDGET) -> DataFrame:
+    """The best points of each (question, tier) up to the budget."""
+    return budget_prefix(points, ["question_id", "level"], [F.col("impact").desc(), F.col("community")], "tokens", budget)
+
+
+def batch_scores(reduced: DataFrame, batches: DataFrame) -> DataFrame:
+    """(question_id, level, batch, n_points, tokens, score): the packed batches of report rows
+    that give points to a question, with their best score; all others are passed over."""
+    b = batches.select("level", "community", "batch")
+    return reduced.join(b, ["level", "community"]).groupBy("question_id", "level", "batch").agg(
+        F.count(F.lit(1)).alias("n_points"), F.sum("tokens").alias("tokens"), F.max("score").alias("score"))
 
 
 # ------------------------------------------------------------------ local search

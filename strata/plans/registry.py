@@ -88,15 +88,10 @@ class Ctx:
         from strata.operators import search as S
         return S.global_context(self.reports, self.assign)
 
-    @cached_property
-    def scores(self) -> DataFrame:
-        from strata.operators import search as S
-        return S.map_scores(self.questions, self.gctx)
-
     @cached_property
     def reduced(self) -> DataFrame:
         from strata.operators import search as S
-        return S.global_reduce(self.scores, self.gctx)
+        return S.global_reduce(S.map_points(self.questions, self.gctx))
 
     def match(self) -> DataFrame:
         """Question -> entity matches; a query-time result, rebuilt (and

@@ -209,7 +209,7 @@ def global_context(spark, d):
                     "occurrence_weight", "rating", F.col("tokens").cast("int"))
 
 
-@register("batch_ids_by_tokens", with_ctes(GS + [
+PACK = [
     """ord AS (SELECT level, community, tokens,
   row_number() OVER (PARTITION BY level ORDER BY shuffle_key, community) AS rn FROM gctx)""",
     f"""pack(level, rn, community, tokens, batch, used) AS (
@@ -218,7 +218,10 @@ def global_context(spark, d):
   SELECT o.level, o.rn, o.community, o.tokens,
          CASE WHEN p.used + o.tokens > {C.SEARCH_BUDGET} THEN p.batch + 1 ELSE p.batch END,
          CASE WHEN p.used + o.tokens > {C.SEARCH_BUDGET} THEN o.tokens ELSE p.used + o.tokens END
-  FROM pack p JOIN ord o ON o.level = p.level AND o.rn = p.rn + 1)"""], """
+  FROM pack p JOIN ord o ON o.level = p.level AND o.rn = p.rn + 1)"""]
+
+
+@register("batch_ids_by_tokens", with_ctes(GS + PACK, """
 SELECT level, community, CAST(batch AS INTEGER) AS batch,
        CAST(sum(tokens) OVER (PARTITION BY level, batch) AS BIGINT) AS batch_tokens FROM pack"""))
 def batch_ids_by_tokens(spark, d):
@@ -227,11 +230,16 @@ def batch_ids_by_tokens(spark, d):
     return greedy_pack(g, ["level"], "shuffle_key", "tokens", C.SEARCH_BUDGET, "community")
 
 
-@register("global_map_score", with_ctes(GS, """
-SELECT question_id, level, CAST(cluster_level AS INTEGER) AS cluster_level, community, score FROM mscore"""))
+@register("global_map_score", with_ctes(GS + PACK, """
+SELECT r.question_id, r.level, CAST(p.batch AS INTEGER) AS batch, count(*) AS n_points,
+       CAST(sum(r.tokens) AS BIGINT) AS tokens, max(r.score) AS score
+FROM greduce r JOIN pack p ON p.level = r.level AND p.community = r.community GROUP BY r.question_id, r.level, p.batch"""))
 def global_map_score(spark, d):
-    s = Ctx(spark, d).scores
-    return s.select("question_id", "level", F.col("cluster_level").cast("int"), "community", "score")
+    """The packed batches that give points to each question.  The SQL scores every pair of
+    question and report that share a word; here most are never joined."""
+    ctx = Ctx(spark, d)
+    packed = greedy_pack(ctx.gctx, ["level"], "shuffle_key", "tokens", C.SEARCH_BUDGET, "community")
+    return S.batch_scores(ctx.reduced, packed)
 
 
 @register("global_reduce", with_ctes(GS, """

@@ -253,16 +253,19 @@ def words_sql(x: str) -> str:
 def search_ctes() -> list[str]:
     return [
         f"""qwords AS (SELECT item_id AS question_id, unnest({words_sql('text')}) AS w FROM benchmark)""",
-        "qn AS (SELECT question_id, count(*) AS nq FROM qwords GROUP BY question_id)",
         f"""rwords AS (SELECT level, cluster_level, community, unnest({words_sql('row')}) AS w FROM gctx)""",
-        """mscore AS (SELECT h.question_id, h.level, h.cluster_level, h.community,
-  CAST(round(100.0 * h.hit / qn.nq) AS INTEGER) AS score FROM (
-  SELECT question_id, level, cluster_level, community, count(*) AS hit FROM qwords JOIN rwords USING (w)
-  GROUP BY question_id, level, cluster_level, community) h JOIN qn USING (question_id))""",
+        """impact AS (SELECT level, w, CAST(floor(1000 * ln((n + 1) / df)) AS BIGINT) AS impact
+  FROM (SELECT level, w, count(*) AS df FROM rwords GROUP BY level, w)
+  JOIN (SELECT level, count(*) AS n FROM gctx GROUP BY level) USING (level))""",
+        """qtotal AS (SELECT question_id, level, sum(impact) AS total FROM qwords JOIN impact USING (w) GROUP BY question_id, level)""",
+        """mscore AS (SELECT h.*, CAST(floor(100 * h.impact / t.total) AS INTEGER) AS score FROM (
+  SELECT question_id, level, cluster_level, community, sum(impact) AS impact
+  FROM qwords JOIN impact USING (w) JOIN rwords USING (level, w) WHERE impact > 0
+  GROUP BY question_id, level, cluster_level, community) h JOIN qtotal t USING (question_id, level))""",
         f"""greduce AS (SELECT * FROM (
   SELECT m.*, g.tokens, row_number() OVER w AS rn, sum(g.tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_tokens
-  FROM mscore m JOIN gctx g USING (level, cluster_level, community) WHERE m.score > 0
-  WINDOW w AS (PARTITION BY m.question_id, m.level ORDER BY m.score DESC, m.community))
+  FROM mscore m JOIN gctx g USING (level, cluster_level, community)
+  WINDOW w AS (PARTITION BY m.question_id, m.level ORDER BY m.impact DESC, m.community))
   WHERE cum_tokens <= {C.SEARCH_BUDGET})""",
         """answers AS (SELECT g.question_id, g.level, r.title AS answer FROM greduce g
   JOIN reports r USING (level, cluster_level, community) WHERE g.rn = 1)""",
