@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +33,11 @@ def text_key(text="text"):
 def same_document(left: DataFrame, right: DataFrame):
     """Null-safe equality on (doc_id, text_hash) for joins."""
     return (left["doc_id"].eqNullSafe(right["doc_id"])) & (left["text_hash"] == right["text_hash"])
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows: a worker holds the Python objects and the
+    output of one slice at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialize, same_document, text_key
+from strata.llm.common import materialize, same_document, small_batches, text_key
 
 WINDOW = 13
 NEAR_TERMS = 3
@@ -158,7 +158,7 @@ def build_index(docs: DataFrame, terms: list[bytes]) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = set(terms)
-        for batch in batches:
+        for batch in small_batches(batches):
             rows, lengths, found, places = [], [], [], []
             for k, t in enumerate(batch.column(2)):
                 ws = words(t.as_py())
@@ -266,7 +266,7 @@ def verify(docs: DataFrame, found: DataFrame, block: QueryBlock) -> DataFrame:
     items = block.items
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             row, item, at, n, spans = [], [], [], [], []
             for k in range(batch.num_rows):
                 ws = words(batch.column(2)[k].as_py())
