@@ -15,12 +15,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str, **options) -> DataFrame:
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialize(df: DataFrame, name: str, arrow_rows: int | None = None, **options) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
-    back: work done once, lineage cut, safe against lost executors."""
+    back: work done once, lineage cut, safe against lost executors.  ``arrow_rows`` bounds
+    the rows that go to a Python worker at once, for rows that are large."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    try:
+        if arrow_rows:
+            spark.conf.set(ARROW_ROWS, str(min(arrow_rows, int(before)) if int(before) > 0 else arrow_rows))
+        df.write.options(**options).parquet(path)
+    finally:
+        if arrow_rows:
+            spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

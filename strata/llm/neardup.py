@@ -40,7 +40,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
-from strata.llm.common import materialize, text_key
+from strata.llm import common
+from strata.llm.common import text_key
 from strata.llm.units import slices
 
 SHINGLE = 5
@@ -51,11 +52,17 @@ MANTISSA = 10
 SIGMAS = 5              # estimates this far below the threshold are still confirmed
 SMALL_BUCKET = 8        # members up to which a bucket's pairs are listed
 CENTRES = 64
+BATCH_ROWS = 1000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BORROW = np.random.RandomState(7).rand(REGISTERS, REGISTERS).argsort(axis=1)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Rows hold texts or two full sets: BATCH_ROWS of them go to a worker at once."""
+    return common.materialize(df, name, arrow_rows=BATCH_ROWS)
+
+
 def bands(percent: int) -> tuple[int, int]:
     """(registers a band, bands): the widest bands by which at most MISSED of the pairs at
     ``percent`` are missed, single registers where none does."""
