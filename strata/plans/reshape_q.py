@@ -47,13 +47,19 @@ def copy_column(spark, d):
 
 @register("convert_types", with_ctes(U, """
 SELECT id, CAST(chunk_ix AS VARCHAR) AS chunk_ix_str, CAST(n_tokens AS DOUBLE) AS n_tokens_dbl,
-       CAST(doc_id AS INTEGER) AS doc_id_int, TRY_CAST(level AS INTEGER) AS level_int FROM units"""))
+       CAST(doc_id AS INTEGER) AS doc_id_int, TRY_CAST(CAST(chunk_ix AS VARCHAR) AS INTEGER) AS chunk_ix_int,
+       TRY_CAST(level AS INTEGER) AS level_int,
+       array_to_string(string_split(text, chr(10)), '|') AS lines FROM units"""))
 def convert_types(spark, d):
+    """Numbers to strings and other numbers, strings to numbers (null where they hold none,
+    as every tier name does), an array of lines to a string."""
     u = Ctx(spark, d).g.units
     return u.select("id", F.col("chunk_ix").cast("string").alias("chunk_ix_str"),
                     F.col("n_tokens").cast("double").alias("n_tokens_dbl"),
                     F.col("doc_id").cast("int").alias("doc_id_int"),
-                    F.expr("try_cast(level AS INT)").alias("level_int"))
+                    F.col("chunk_ix").cast("string").try_cast("int").alias("chunk_ix_int"),
+                    F.col("level").try_cast("int").alias("level_int"),
+                    F.array_join(F.split("text", "\n", -1), "|").alias("lines"))
 
 
 @register("fill_nulls", """
@@ -70,9 +76,14 @@ def filter_rows(spark, d):
     return e.where((F.col("description") != "") & (F.col("n_docs") >= 4)).select("level", "title", "n_docs")
 
 
-@register("unroll_array", with_ctes(G, "SELECT unit_id, CAST(pos - 1 AS INTEGER) AS pos, title, type FROM mentions"))
+@register("unroll_array", with_ctes(U, """
+SELECT level, doc_id, CAST(row_number() OVER (PARTITION BY level, doc_id ORDER BY chunk_ix, id) - 1 AS INTEGER) AS pos,
+       id AS unit_id FROM units"""))
 def unroll_array(spark, d):
-    return _ments(Ctx(spark, d)).select("unit_id", F.col("pos").cast("int"), "title", "type")
+    """The array of a document's unit ids, in order (bounded: one document), one row per element."""
+    units = Ctx(spark, d).g.units
+    listed = units.groupBy("level", "doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_ix", "id"))).alias("units"))
+    return listed.select("level", "doc_id", F.posexplode("units.id").alias("pos", "unit_id"))
 
 
 @register("zip_unzip", with_ctes(G, """
