@@ -11,7 +11,8 @@ from strata.llm.common import table
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind_no"] == k)).cast("bigint").alias(f"n_{name}")
+    # a second parameter of the lambda would be the element's index, so the kind is written into the SQL
+    counts = [F.expr(f"size(filter(base, x -> x.kind_no = {k}))").cast("bigint").alias(f"n_{name}")
               for k, name in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.spelled("base"), 256).alias("base_sha256"),
                         pii.spelled("spans").alias("spans"))

@@ -153,3 +153,15 @@ def test_many_spans_take_linear_time(spark):
 def test_redact_keeps_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "me@x.org", 1, 2, 3)], "doc_id int, text string, _id int, spans int, row int")
     assert P.redact(docs).first().asDict() == {"doc_id": 1, "text": "[email]", "_id": 1, "spans": 2, "row": 3}
+
+
+def test_query_counts_spans_by_kind(spark, tmp_path):
+    from strata.llm.q_pii import op7_pii
+    texts = ["card 4111 1111 1111 1111", "me@x.org", "me@x.org 1.2.3.4 you@x.org +49 30 1234567", "1.2.3.4 5.6.7.8", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op7_pii(spark, str(tmp_path)).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = brute(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b.startswith(k) for b in base) for k in P.KINDS]
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
