@@ -3,7 +3,7 @@
 The model protobuf is read field by field; from it a tokenizers pipeline is built
 with the model's normaliser, metaspace marker, scores (unigram) or score-ordered
 merges (BPE) and byte fallback, and a decoder for the way back.  Batches are
-encoded by the library's own threads.  Each unit met is also encoded by the
+encoded by the library in the task's own thread.  Each unit met is also encoded by the
 sentencepiece library and decoded again: ``parity`` and ``lossless`` tell per
 document whether all of its units agreed.
 
@@ -29,6 +29,7 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 from strata.llm.units import UnitTable, keep_whole, list_array, slices, split_between
 
 MARK = "▁"
+SLICE_CHARS = 1_000_000        # characters handled at a time: two codecs and their tables stand beside them
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -144,7 +145,7 @@ class SentencePieceCodec:
         self._table = UnitTable(self._units)
 
     def _units(self, units: list[str]):
-        os.environ["TOKENIZERS_PARALLELISM"] = "true"
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # the cores belong to Spark's tasks, and threads keep memory
         lists = [e.ids for e in self.tokenizer.encode_batch(units, add_special_tokens=False)]
         theirs = self._original.encode(units, num_threads=1)
         back = self.tokenizer.decode_batch(lists, skip_special_tokens=False)
@@ -175,7 +176,8 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text") -> Da
 
     @F.arrow_udf(ENCODED)
     def encode(texts: pa.Array) -> pa.Array:
-        parts = [codec(model_path).encode(run) for run in slices(texts)]
+        pa.default_memory_pool().release_unused()        # of the tasks that the worker had before
+        parts = [codec(model_path).encode(run) for run in slices(texts, SLICE_CHARS)]
         if not parts:
             return pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("n_tokens", pa.int64()),
                                            ("ids_crc32", pa.int64()), ("parity", pa.bool_()),

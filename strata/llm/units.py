@@ -127,14 +127,14 @@ def _join(a, b):
             np.concatenate([a[2], b[2]]), np.concatenate([a[3], b[3]]))
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """The texts of a batch (null as empty) in runs of about SLICE_CHARS characters."""
+def slices(texts: pa.Array, chars: int = SLICE_CHARS) -> Iterator[pa.Array]:
+    """The texts of a batch (null as empty) in runs of about ``chars`` characters."""
     texts = pc.fill_null(texts, "")
     sizes = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(texts):
         done = sizes[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(sizes, done + SLICE_CHARS)))
+        end = max(start + 1, int(np.searchsorted(sizes, done + chars)))
         yield texts.slice(start, end - start)
         start = end
 
