@@ -17,3 +17,40 @@ def test_parse_records_cases(spark):
     assert not any(k[0] == "u2" for k in p)            # completion marker only -> no record
     assert not p[("u3", "entity")].valid                # 3 fields -> quarantine
     assert not p[("u4", "relationship")].valid          # non-numeric strength -> quarantine
+
+
+def _units(spark, rows):
+    return spark.createDataFrame([(f"u{k}", k, "admin", t) for k, t in rows], "id string, doc_id long, level string, text string")
+
+
+def _pairs_of(rows):
+    """(first sentence by title, strength and description by pair) of (title, sent_ix, sentence) rows."""
+    first, pairs = {}, {}
+    for k, (t, i, s) in enumerate(rows):
+        first.setdefault(t, s)
+        if k + 1 < len(rows) and rows[k + 1][0] != t:
+            n, j, x = rows[k + 1]
+            key = (min(t, n), max(t, n))
+            pairs[key] = (pairs[key][0] + 1, pairs[key][1]) if key in pairs else (1, s if i == j else f"{s} {x}")
+    return first, pairs
+
+
+def test_mentions_need_no_shuffle_and_equal_plain_loops(spark):
+    import re
+
+    from strata.operators import extract
+    texts = ["Rope ties Anchor. Anchor holds Rope and Boat! no names here. Rope", "", "Ähre und Öl\nÄhre", "A Bb Bb Cc Bb Cc. Bb"]
+    long = "Knot Rope. " * 1000          # past LONG_UNIT: put in order by windows
+    rows = list(enumerate(texts + [long])) + [(3, texts[3])]          # one unit comes twice
+    m = extract.mentions(_units(spark, rows), type_filter=False)
+    ents, rels = extract.unit_entities(m).collect(), extract.unit_relationships(m).collect()
+    for k, text in enumerate(texts + [long]):
+        found = [(w.upper(), i, s.strip()) for i, s in enumerate(re.findall(r"[^.!?\n]+[.!?]?", text))
+                 for w in re.findall(r"(?<![^\W\d_])[A-ZÄÖ][^\W\d_]+", s)]
+        first, pairs = _pairs_of(found)
+        assert {r.title: r.description for r in ents if r.doc_id == k} == first
+        assert {(r.source, r.target): (r.strength, r.description) for r in rels if r.doc_id == k} == pairs
+        assert len([r for r in ents if r.doc_id == k]) == len(first) and len([r for r in rels if r.doc_id == k]) == len(pairs)
+    arrays = extract._from_arrays(extract._listed(_units(spark, rows), True))
+    kept = extract.unit_relationships(arrays).unionByName(extract.unit_relationships(arrays))
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()

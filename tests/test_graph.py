@@ -142,3 +142,27 @@ def test_degree_sum_and_rank_invariants(spark):
     for r in rels:
         assert r["rank"] == deg[r.source] + deg[r.target]
     assert {"MORDECAI", "ROSALIND", "THEODORE"} <= set(deg)
+
+
+def test_texts_of_summaries_and_reports_move_once(spark):
+    from strata.operators.graph import sorted_summary
+    from strata.operators.windows import salted_join
+    df = spark.createDataFrame([("t", "A", "x"), ("t", "A", "x"), ("t", "A", "b c")], "level string, title string, description string")
+    out = sorted_summary(df, ["level", "title"])          # texts need not be told apart before
+    assert [r.summary for r in out.collect()] == ["b c x"]
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Exchange") == 0
+    plan = sorted_summary(spark.range(10).selectExpr("'t' AS level", "string(id) AS title", "'d' AS description"), ["level", "title"])
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    big, small = spark.range(9).selectExpr("id AS k", "id"), spark.range(9).selectExpr("id AS k", "id AS v")
+    assert "Generate" not in salted_join(big, small, ["k"], ["id"])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rounds_keep_communities_alone(spark):
+    """A round writes one row for each of its communities, with its entities, not one for each entity."""
+    from strata.operators.communities import contractions
+    ents, rels = _graph(spark, [(f"N{i:02d}", f"N{i + 1:02d}", 1) for i in range(24)])
+    members = ents.select("level", F.col("title").alias("node"), F.lit("").alias("grp"), F.lit(0).alias("base"))
+    found, steps = contractions(members, rels)
+    sizes = [len(f.collect()) for f in found]
+    assert len(found) == len(steps) + 1 and sizes[0] == 25 and sizes == sorted(set(sizes), reverse=True)
+    assert all(sum(r.n for r in f.collect()) == 25 for f in found)
