@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from strata.llm.units import UnitTable, list_array, slices, split_space_led
+from strata.llm.units import UnitTable, cut_punctuation, list_array, slices, split_space_led
 
 END_ID = 2
 SCHEMA = "shard int, shard_start bigint, doc_id bigint, n_tokens int, ids array<int>"
@@ -47,11 +47,11 @@ class ByteLevelEncoder:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True     # special strings in a text are ordinary text
-        self._table = UnitTable(self._units)
+        self._table = UnitTable(self._units, cut_punctuation)
 
     def _units(self, units: list[str]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # the cores belong to Spark's tasks
-        return [e.ids for e in self._tokenizer.encode_batch(units, add_special_tokens=False)], [3] * len(units)
+        return [e.ids for e in self._tokenizer.encode_batch_fast(units, add_special_tokens=False)], [3] * len(units)
 
     def encode(self, texts: pa.Array, tail: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text); no text is null."""

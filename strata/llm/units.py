@@ -51,6 +51,21 @@ def split_space_led(texts: pa.Array) -> pa.Array:
     return _split(texts, _OTHER + r"|\n\n|^\n|\n$", fast, _SPACE_LED)
 
 
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_WORD_END = "[0-9A-Za-zÀ-ÖØ-öø-ɏ]$"      # letters and digits only
+
+
+def cut_punctuation(units: pa.Array) -> tuple[pa.Array, np.ndarray, list[str]]:
+    """(units without the ASCII punctuation after their last letter or digit, which units have
+    any, that of each of those): byte-level pre-tokenisers cut there."""
+    trimmed = pc.utf8_rtrim(units, characters=_PUNCTUATION)
+    heads = pc.if_else(pc.match_substring_regex(trimmed, _WORD_END), trimmed, units)
+    sizes = pc.utf8_length(heads).to_numpy()
+    with_end = np.flatnonzero(sizes < pc.utf8_length(units).to_numpy())
+    ends = [u[n:] for u, n in zip(units.take(pa.array(with_end)).to_pylist(), sizes[with_end].tolist())]
+    return heads, with_end, ends
+
+
 def split_between(texts: pa.Array) -> pa.Array:
     """Units without the single space between them."""
     return _split(texts, _OTHER, lambda plain: pc.split_pattern(plain, " "), _SPACE_BETWEEN)
@@ -64,28 +79,48 @@ class UnitTable:
     """Ids of units and, by unit, the flags (two bits) that ``encode`` gives with them.
 
     The table stops growing at MAX_CACHED_UNITS; units met after that are encoded
-    where they occur, so memory is bounded and no unit is left out."""
+    where they occur, so memory is bounded and no unit is left out.  ``cut`` divides
+    units in two where both halves are units of their own; fewer are distinct then."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[list[list[int]], list[int]]]):
-        self._encode = encode
-        self.index: dict[str, int] = {}
+    def __init__(self, encode: Callable[[list[str]], tuple[list[list[int]], list[int]]],
+                 cut: Callable[[pa.Array], tuple[pa.Array, np.ndarray, list[str]]] | None = None):
+        self._encode, self._cut = encode, cut
+        self.known = pa.array([], pa.string())
         self.rows = _pack([], [])
 
-    def _lookup(self, units: list[str]):
+    def _lookup(self, units: pa.Array):
         """(row of each of the distinct units, table of rows) for this call."""
-        at = np.array([self.index.get(u, -1) for u in units], np.int64)
+        if not len(units):
+            return np.zeros(0, np.int64), self.rows
+        units = units.cast(pa.string())
+        at = pc.fill_null(pc.index_in(units, value_set=self.known), -1).to_numpy().astype(np.int64)
         missing = np.flatnonzero(at < 0)
         if not len(missing):
             return at, self.rows
-        at[missing] = len(self.index) + np.arange(len(missing))
-        new, table = [units[i] for i in missing.tolist()], self.rows
-        for i in range(0, len(new), UNITS_AT_ONCE):
-            table = _join(table, _pack(*self._encode(new[i:i + UNITS_AT_ONCE])))
-        if len(at) and len(self.index) + len(new) <= MAX_CACHED_UNITS:
-            self.index.update(zip(new, at[missing].tolist()))
-            self.rows = table
+        at[missing] = len(self.known) + np.arange(len(missing))
+        unseen = units.take(pa.array(missing))
+        new = unseen.to_pylist()
+        packs = [_pack(*self._encode(new[i:i + UNITS_AT_ONCE])) for i in range(0, len(new), UNITS_AT_ONCE)]
+        room = max(0, MAX_CACHED_UNITS - len(self.known))
+        table = _join(self.rows, *packs)
+        if room:
+            self.known = pa.concat_arrays([self.known, unseen.take(pa.array(np.arange(min(room, len(new)))))])
+            self.rows = table if room >= len(new) else _first(table, len(self.known))
         return at, table
 
+    def _lookup_cut(self, units: pa.Array):
+        """(row of each distinct unit, row of its second half or -1, table of rows)."""
+        if self._cut is None:
+            found, table = self._lookup(units)
+            return found, None, table
+        heads, with_end, ends = self._cut(units)
+        halves = pa.concat_arrays([heads, pa.array(ends, heads.type)]).dictionary_encode()
+        found, table = self._lookup(halves.dictionary)
+        found = found[halves.indices.to_numpy()]
+        second = np.full(len(heads), -1)
+        second[with_end] = found[len(heads):]
+        return found[:len(heads)], second, table
+
     def encode(self, texts: pa.Array, split: Callable[[pa.Array], pa.Array],
                tail: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text, per text the bits that all its units have).
@@ -93,8 +128,19 @@ class UnitTable:
         lists = split(texts)
         counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        found, table = self._lookup(coded.dictionary.to_pylist())
-        rows = found[coded.indices.to_numpy()]
+        at = coded.indices.to_numpy()
+        found, second, table = self._lookup_cut(coded.dictionary)
+        rows = found[at]
+        if second is not None:           # second halves follow the first ones
+            after = second[at]
+            has = after >= 0
+            seen = np.concatenate([[0], np.cumsum(has)])
+            place = np.arange(len(rows)) + seen[:-1]
+            both = np.empty(len(rows) + seen[-1], np.int64)
+            both[place] = rows
+            both[place[has] + 1] = after[has]
+            last = np.cumsum(counts)
+            rows, counts = both, counts + seen[last] - seen[last - counts]
         if tail is not None:             # a unit of its own after each text
             table = _join(table, _pack([[tail]], [3]))
             rows = np.insert(rows, np.cumsum(counts), len(table[1]) - 1)
@@ -122,9 +168,17 @@ def _pack(lists: list[list[int]], flags: list[int]):
     return ids, np.cumsum(lengths) - lengths, lengths, np.array(flags, np.int64)
 
 
-def _join(a, b):
-    return (np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1] + len(a[0])]),
-            np.concatenate([a[2], b[2]]), np.concatenate([a[3], b[3]]))
+def _join(*tables):
+    """One table of the rows of all, in order."""
+    before = np.cumsum([0] + [len(t[0]) for t in tables])
+    return (np.concatenate([t[0] for t in tables]), np.concatenate([t[1] + n for t, n in zip(tables, before)]),
+            np.concatenate([t[2] for t in tables]), np.concatenate([t[3] for t in tables]))
+
+
+def _first(table, n: int):
+    """The first ``n`` rows, without the memory of the rest."""
+    ids, starts, lengths, flags = table
+    return ids[:starts[n - 1] + lengths[n - 1]].copy(), starts[:n].copy(), lengths[:n].copy(), flags[:n].copy()
 
 
 def slices(texts: pa.Array, chars: int = SLICE_CHARS) -> Iterator[pa.Array]:

@@ -55,3 +55,28 @@ def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "t")
     tokens.write_tokens(spark.createDataFrame([], "doc_id bigint, text string"), path, PATH)
     assert tokens.read_tokens(spark, path).count() == 0
+
+
+def test_punctuation_is_cut_off_words(reference, monkeypatch):
+    # words met with other punctuation are no new words for the library, and the ids stay the same
+    texts = ["alpha, beta. 12; Été! gamma", "alpha. beta%%% 12, Été? gamma...", "(alpha) beta' 'beta', don't, a_b_.",
+             "a×, ×÷. «été», 漢,字. x́, ́. \n, b\n. ½, ²!", "<|endoftext|>, end<|endoftext|>.", "!!! ... , ."]
+    enc, asked = tokens.ByteLevelEncoder(PATH), []
+    known = enc._units
+    monkeypatch.setattr(enc._table, "_encode", lambda units: asked.extend(units) or known(units))
+    for text in texts:
+        ids, n = enc.encode(pa.array([text]), 2)
+        assert ids.tolist() == reference(text) + [2] and n.tolist() == [len(ids)]
+    assert len(asked) == len(set(asked))
+    assert not {" beta%%%", " beta.", " 12;", " 12,", " Été!", " Été?"} & set(asked)
+    ids, n = enc.encode(pa.array(texts), 2)
+    assert ids.tolist() == [i for t in texts for i in reference(t) + [2]] and n.tolist() == [len(reference(t)) + 1 for t in texts]
+
+
+def test_table_fills_to_its_bound(reference, monkeypatch):
+    monkeypatch.setattr("strata.llm.units.MAX_CACHED_UNITS", 5)
+    enc = tokens.ByteLevelEncoder(PATH)
+    for text in ["one two three", "four five, six. seven", "seven, six two eight!"]:
+        ids, _ = enc.encode(pa.array([text]))
+        assert ids.tolist() == reference(text)
+    assert enc._table.known.to_pylist() == ["one", " two", " three", "four", " five"]
