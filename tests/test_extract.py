@@ -1,3 +1,4 @@
+from strata.operators import extract
 from strata.operators.extract import parse_records
 
 
@@ -54,3 +55,15 @@ def test_mentions_need_no_shuffle_and_equal_plain_loops(spark):
     arrays = extract._from_arrays(extract._listed(_units(spark, rows), True))
     kept = extract.unit_relationships(arrays).unionByName(extract.unit_relationships(arrays))
     assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sentences_are_listed_once(spark):
+    # a filter on empty lists, made for the generator, had the whole listing computed twice
+    units = spark.createDataFrame([("u1", 1, "admin", "Alpha met Beta. Gamma saw Alpha. nothing"), ("u2", 1, "admin", "no name")],
+                                  "id string, doc_id long, level string, text string")
+    m = extract.mentions(units)
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(text") == 2          # units by arrays, units by windows
+    got = [(r.pos, r.title, r.n_title, r.first, r.strength) for r in m.orderBy("pos").collect()]
+    assert got == [(0, "ALPHA", "BETA", True, 1), (1, "BETA", "GAMMA", True, 1), (2, "GAMMA", "ALPHA", True, 1),
+                   (3, "ALPHA", None, False, 0)]
