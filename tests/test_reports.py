@@ -88,3 +88,20 @@ def test_rollup_rebuilds_contexts_from_the_bottom(spark):
         got.setdefault((row.cluster_level, row.community), []).append((row.child, row.as_report, row.tokens))
     assert got == {k: v for k, v in want.items() if v} and len(got) > 3
     assert len({lvl for lvl, _ in got}) > 1
+
+
+def test_edges_meet_communities_once(spark):
+    from strata.operators.reports import internal_edges, touching_edges
+    # A, B: same community on level 0, split on level 1; C alone; X has no community
+    at = [("A", 0, "p"), ("B", 0, "p"), ("C", 0, "q"), ("A", 1, "p1"), ("B", 1, "p2"), ("D", 0, None), ("E", 0, None)]
+    assign = spark.createDataFrame([("admin", t, c, g) for t, c, g in at], "level string, title string, cluster_level int, community string")
+    ends = [("e1", "A", "B"), ("e2", "A", "C"), ("e3", "X", "C"), ("e4", "D", "E"), ("e1", "A", "B"), ("e5", "X", "Y"), ("e6", None, "C")]
+    rels = spark.createDataFrame([("admin", i, a, b, 1) for i, a, b in ends], "level string, id string, source string, target string, rank int")
+    rows = lambda df: sorted((r.id, r.cluster_level, str(r.community), r.source, r.target, r["rank"]) for r in df.collect())
+    inner, touch = internal_edges(assign, rels), touching_edges(assign, rels)
+    assert rows(inner) == [("e1", 0, "p", "A", "B", 1)] * 2
+    assert [x[:3] for x in rows(touch)] == [("e1", 0, "p"), ("e1", 1, "p1"), ("e1", 1, "p2"), ("e2", 0, "p"), ("e2", 0, "q"),
+                                            ("e2", 1, "p1"), ("e3", 0, "q"), ("e4", 0, "None"), ("e6", 0, "q")]
+    # the rows of edges by community are not shuffled to find the ones met twice
+    aggregates = [x for x in touch._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in x]
+    assert aggregates and not any("cluster_level" in x.split("],")[0] for x in aggregates)
