@@ -105,3 +105,18 @@ def test_edges_meet_communities_once(spark):
     # the rows of edges by community are not shuffled to find the ones met twice
     aggregates = [x for x in touch._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in x]
     assert aggregates and not any("cluster_level" in x.split("],")[0] for x in aggregates)
+
+
+def test_units_are_counted_by_hashes_alone(spark):
+    from strata.operators.reports import community_stats
+    at = [("A", 0, "p"), ("B", 0, "p"), ("C", 0, "q"), ("A", 1, "p"), ("D", 0, None)]
+    assign = spark.createDataFrame([("admin", t, c, g) for t, c, g in at], "level string, title string, cluster_level int, community string")
+    rels = spark.createDataFrame([("admin", "e1", "A", "B")], "level string, id string, source string, target string")
+    units = spark.createDataFrame([("admin", t, u) for t, u in [("A", "u1"), ("A", "u2"), ("B", "u2"), ("B", "u3"), ("D", "u1"), ("X", "u9")]],
+                                  "level string, title string, unit_id string")
+    out = community_stats(assign, rels, units)
+    assert sorted((r.cluster_level, str(r.community), r["size"], r.n_edges, r.n_units) for r in out.collect()) == [
+        (0, "None", 1, 0, 0), (0, "p", 2, 1, 3), (0, "q", 1, 0, 0), (1, "p", 1, 0, 2)]
+    # rows by (community, unit) hold numbers only
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert any(x.strip(" +-:").startswith("Aggregate [h#") for x in plan.splitlines())
