@@ -1,7 +1,8 @@
 """Near-duplicate documents by HyperMinHash.
 
 Every text becomes the set of its distinct 5-word shingles (64-bit hashes).  Texts
-with equal sets form a class, and only classes are compared:
+with equal sets form a class, and only classes are compared, by a number (the 128-bit
+digest of the set tells them apart and finds their rows again at the end):
 
 1. Sketch: the hash range is cut into REGISTERS parts; a register holds, for the
    smallest hash of its part, the count of leading zeros and MANTISSA bits after them.
@@ -151,7 +152,7 @@ def _estimate(left: pa.Array, right: pa.Array, n: pa.Array, m: pa.Array) -> pa.A
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, node, registers) per row; node is a 128-bit digest of
+    """(doc_id, text_hash, n_shingles, digest, registers) per row; digest is a 128-bit one of
     the set, null with the registers for empty sets."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,22 +160,22 @@ def sketches(docs: DataFrame) -> DataFrame:
             row = 0
             for texts in slices(batch.column(2)):
                 sets = shingle_sets(texts)
-                nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 regs = [registers(s).tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, len(texts)), batch.column(1).slice(row, len(texts)),
-                     pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
                      pa.array(regs, pa.binary())],
-                    names=["doc_id", "text_hash", "n_shingles", "node", "registers"])
+                    names=["doc_id", "text_hash", "n_shingles", "digest", "registers"])
                 row += len(texts)
 
     return docs.select("doc_id", text_key().alias("text_hash"), "text").mapInArrow(
-        sketch, "doc_id bigint, text_hash bigint, n_shingles bigint, node binary, registers binary")
+        sketch, "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, registers binary")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
-    """(node, shingles) of the wanted (node, doc_id, text_hash) rows, from the texts;
-    ``repeated`` tells that rows of ``docs`` may be equal in both."""
+    """(node, shingles, n_shingles, registers) of the wanted (node, doc_id, text_hash) rows, from
+    the texts; ``repeated`` tells that rows of ``docs`` may be equal in both."""
     keys = wanted.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).hint("merge")
     texts = docs.select("doc_id", text_key().alias("text_hash"), "text")
     found = texts.join(keys, texts["doc_id"].eqNullSafe(keys["_id"]) & (texts["text_hash"] == keys["_hash"])).select(
@@ -184,14 +185,17 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
         for batch in batches:
             row = 0
             for texts in slices(batch.column(1)):
-                sets = [s.view(np.int64) for s in shingle_sets(texts)]
+                sets = shingle_sets(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, len(texts)),
-                     pa.ListArray.from_arrays(np.cumsum([0, *map(len, sets)]).astype(np.int32), np.concatenate(sets))],
-                    names=["node", "shingles"])
+                     pa.ListArray.from_arrays(np.cumsum([0, *map(len, sets)]).astype(np.int32),
+                                              np.concatenate(sets).view(np.int64)),
+                     pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([registers(s).tobytes() for s in sets], pa.binary())],
+                    names=["node", "shingles", "n_shingles", "registers"])
                 row += len(texts)
 
-    sets = found.mapInArrow(build, "node binary, shingles array<bigint>")
+    sets = found.mapInArrow(build, "node bigint, shingles array<bigint>, n_shingles bigint, registers binary")
     return sets.dropDuplicates(["node"]) if repeated else sets
 
 
@@ -203,14 +207,18 @@ def _shared(left: pa.Array, right: pa.Array) -> pa.Array:
                      for a, b, c, d in zip(i[:-1], i[1:], j[:-1], j[1:])], pa.int64())
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, many: bool = False) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int, many: bool = False) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets reach ``percent``.  ``many``: the pairs grow
-    with the documents, so they are joined by shuffles whatever their number here."""
+    with the documents, so they are joined by shuffles whatever their number here.  Otherwise
+    either side finds its sets by itself: few pairs are sent to all sets, which stay in place."""
     join = (lambda df: df.hint("merge")) if many else (lambda df: df)
 
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("node").alias(name), F.col("registers").alias(f"r{name}"),
-                              F.col("n_shingles").alias(f"n{name}"))
+        return sets.select(F.col("node").alias(name), F.col("registers").alias(f"r{name}"),
+                           F.col("n_shingles").alias(f"n{name}"))
+
+    def full(name: str) -> DataFrame:
+        return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"s{name}"))
 
     least = percent / 100
     n, m = F.col("na"), F.col("nb")
@@ -219,16 +227,18 @@ def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
     slack = SIGMAS * F.sqrt(F.lit(least * (1 - least)) / F.least(n, m, F.lit(REGISTERS)))
     close = close.where(_estimate("ra", "rb", "na", "nb") >= least - slack).select("a", "b", "na", "nb")
     close = materialize(close, "pairs")
-    full = close.join(join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))), "a").join(
-        join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))), "b")
-    shared = full.select("a", "b", "na", "nb", _shared("sa", "sb").alias("s"))
+    if many:
+        both = close.join(join(full("a")), "a").join(join(full("b")), "b")
+    else:
+        both = close.join(full("a"), "a").join(close.select("a", "b").join(full("b"), "b"), ["a", "b"])
+    shared = both.select("a", "b", "na", "nb", _shared("sa", "sb").alias("s"))
     return materialize(shared.where(100 * F.col("s") >= percent * (n + m - F.col("s"))).select("a", "b"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that links reach, by rounds of taking the
     smallest label of the neighbours and then the label of that label."""
-    both = links.select("a", "b").union(links.select("b", "a")).distinct()
+    both = links.select("a", "b").union(links.select("b", "a"))
     labels = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("component")), "labels").select(
         F.col("a").alias("node"), "component")
     while True:
@@ -306,32 +316,31 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     (doc_id is null, doc_id, text_hash) of the row's component, null without words."""
     rows = materialize(sketches(docs), "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    classes = materialize(rows.where("n_shingles > 0").groupBy("node").agg(
-        F.min(first).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
-        .select("node", "first.doc_id", "first.text_hash", "n_shingles", "registers"), "classes")
+    classes = materialize(rows.where("n_shingles > 0").groupBy("digest").agg(
+        F.min(first).alias("first"), F.first("registers").alias("registers"))
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "first.doc_id", "first.text_hash", "registers"), "classes")
 
     banded = band_keys(classes, percent)
     shared = materialize(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    met = banded.join(shared, "key").select("key", "node", "n")
-    weights = met.groupBy("node").agg(F.sum("n").alias("weight"))
-    members = materialize(met.join(weights, "node").select("key", "node", "weight"), "members")
+    met = banded.join(shared.hint("merge"), "key").select("key", "node", "n")           # it grows with the documents
+    weight = F.sum("n").over(Window.partitionBy("node"))                                # bounded: the bands of a class
+    members = materialize(met.select("key", "node", weight.alias("weight")), "members")
     repeated = not rows.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
     sets = materialize(_full_sets(docs, classes.join(members, "node", "left_semi"), repeated), "sets")
 
     centre = members.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("c")).select(
         "key", F.col("c.node").alias("a"))
     links = confirm(members.join(centre, "key").where("a != node").select("a", F.col("node").alias("b")).distinct(),
-                    classes, sets, percent, many=True)
+                    sets, percent, many=True)
     labels = components(links)
 
     left = materialize(_unsettled(members, labels), "left")
     small = left.where(F.col("members") <= SMALL_BUCKET).select("key", "node", "component")
-    pairs = small.alias("x").join(small.alias("y"), "key").where(
-        "x.node < y.node AND x.component != y.component").selectExpr("x.node AS a", "y.node AS b").distinct()
-    links = links.union(confirm(pairs, classes, sets, percent))
-    large = left.where(F.col("members") > SMALL_BUCKET).select("node", "weight").distinct()
+    listed = small.alias("x").join(small.alias("y"), "key").where(
+        "x.node < y.node AND x.component != y.component").selectExpr("x.node AS a", "y.node AS b")
+    large = materialize(left.where(F.col("members") > SMALL_BUCKET).select("node", "weight").distinct(), "large")
     left = materialize(_unsettled(_rarest_shingles(large, sets, percent), labels), "left")
-    while not left.isEmpty():
+    while listed is not None or not left.isEmpty():
         # the largest component of a bucket comes last: without the others nothing is left.
         # A pair is made where this may be its first shingle in common: then the overlap is
         # at most what follows in either set, and the smaller set has it among its first.
@@ -343,20 +352,21 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
         smaller_first = F.when(F.struct("n", "node") < F.struct("na", "a"), F.col("first")).otherwise(F.col("fa"))
         pairs = left.join(chosen, "key").where(
             (F.col("ca") != F.col("component")) & smaller_first & _may_reach("n", "rest", "na", "ra", percent))
-        new = confirm(pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(),
-                      classes, sets, percent)
+        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        if listed is not None:      # the pairs of small buckets are confirmed with the first of large ones
+            pairs, listed = pairs.union(listed), None
+        new = confirm(pairs.distinct(), sets, percent)
         if not new.isEmpty():
             links = links.union(new)
             labels = components(links)
         rest = left.join(chosen.select("key", F.col("a").alias("node")), ["key", "node"], "left_anti")
         left = materialize(_unsettled(rest.select("key", "node", "weight", "n", "v", "rest", "first"), labels), "left")
-    labels = components(links)
 
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = materialize(named.select("node", first.alias("first"), "component"), "named")
+    named = materialize(named.select("digest", first.alias("first"), "component"), "named")
     smallest = named.groupBy("component").agg(F.min("first").alias("first"))
-    firsts = materialize(named.select("node", "component").join(smallest, "component").select("node", "first"), "firsts")
-    return rows.drop("registers").join(firsts.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"),
+    firsts = materialize(named.select("digest", "component").join(smallest, "component").select("digest", "first"), "firsts")
+    return rows.drop("registers").join(firsts.withColumnRenamed("digest", "_digest"), F.col("digest") == F.col("_digest"),
                                        "left").select("doc_id", "text_hash", "n_shingles", "first")
 
 

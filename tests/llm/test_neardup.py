@@ -159,3 +159,20 @@ def test_shared_and_null_ids_stay_apart(spark):
     for x in ("e", "f"):                                       # one of two texts that share an id and a component
         assert sum(t.startswith(f"{x}w") for _, t in got) == 1
     assert [g for g in got if g[1][0] not in "ef"] == [(-1, say("b")), (1, say("c")), (1, say("d")), (3, say("a") + " end")]
+
+
+def test_small_and_large_buckets_share_a_round(spark, monkeypatch):
+    """Full sets move once for all buckets at first, then once a round, and classes are numbers."""
+    written = []
+    keep = N.materialize
+
+    def count(df, name):
+        written.append((name, dict(df.dtypes)))
+        return keep(df, name)
+    monkeypatch.setattr(N, "materialize", count)
+    docs = spark.createDataFrame(corpus(0), "doc_id bigint, text string").repartition(2)
+    assert got(N.near_duplicates(docs)) == brute(corpus(0))
+    names = [n for n, _ in written]
+    assert names.count("links") == names.count("chosen") + 1
+    assert {t["node"] for n, t in written if n in ("members", "left", "keys", "sets")} == {"bigint"}
+    assert set(next(t for n, t in written if n == "sets")) == {"node", "shingles", "n_shingles", "registers"}
